@@ -15,7 +15,7 @@ class Rule:
     name: str
     severity: str
     hold_seconds: int
-    # printf patterns; arguments are the label names listed, then the value for `description`.
+    # printf pattern, filled with the labels listed.
     summary: str
     labels: tuple[str, ...] = ()
 
@@ -41,16 +41,11 @@ def sustained(
     A sample that does not breach, or a pause longer than `max_gap_seconds`, starts over.
     """
     rows = samples.withColumn("breach", F.coalesce(breach, F.lit(False)))
-    rows = timeline.with_previous(rows, keys, "ts", ["breach"])
-    gap = F.unix_micros("ts") - F.unix_micros("previous.ts") > max_gap_seconds * 1_000_000
-    starts = F.col("breach") & (
-        F.col("previous").isNull() | ~F.col("previous.breach") | gap)
-    rows = rows.withColumn("started", F.when(starts, F.col("ts")))
-    rows = timeline.with_running_max(rows, keys, "ts", "started", "active_since")
-    held = F.unix_micros("ts") - F.unix_micros("active_since") >= hold_seconds * 1_000_000
+    rows = timeline.with_run_start(rows, keys, "ts", "breach", max_gap_seconds)
+    held = F.unix_micros("ts") - F.unix_micros("run_start") >= hold_seconds * 1_000_000
     return rows.where("breach").withColumn(
-        "state", F.when(held, "firing").otherwise("pending")).drop(
-        "breach", "previous", "started")
+        "state", F.when(held, "firing").otherwise("pending")).drop("breach").withColumnRenamed(
+        "run_start", "active_since")
 
 
 def evaluate(samples: DataFrame, rule: Rule, breach: Column, max_gap_seconds: int = 300,

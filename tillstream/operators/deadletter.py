@@ -25,8 +25,8 @@ def build_dlq(classified: DataFrame, failed_at: Column | None = None) -> DataFra
     """
     stamp = F.current_timestamp() if failed_at is None else failed_at
     rows = rejected(classified)
-    if "retry_count" not in rows.columns:
-        rows = rows.withColumn("retry_count", F.lit(0))
+    attempts = F.col("retry_count") if "retry_count" in rows.columns else F.lit(0)
+    rows = rows.withColumn("retry_count", F.coalesce(attempts, F.lit(0)))
     return rows.select(
         F.col("message_key").alias("key"),
         dlq_id("topic", "partition", "offset", "retry_count").alias("dlq_id"),
@@ -41,8 +41,9 @@ def build_dlq(classified: DataFrame, failed_at: Column | None = None) -> DataFra
     )
 
 
-def error_text(rejects: DataFrame) -> Column:
-    return F.array_join("errors", "; ")
+def error_text(errors: str = "errors") -> Column:
+    """All messages of a reject in one line."""
+    return F.array_join(errors, "; ")
 
 
 def dlq_messages(records: DataFrame) -> DataFrame:
@@ -108,7 +109,8 @@ def retry_input(records: DataFrame) -> DataFrame:
     `retry_count` is the number the record would carry if it failed once more.
     """
     return records.select(
-        F.col("key"), F.col("raw_payload").alias("value"),
+        F.col("key").cast("binary").alias("key"),
+        F.col("raw_payload").cast("binary").alias("value"),
         F.col("original_topic").alias("topic"),
         F.col("original_partition").alias("partition"),
         F.col("original_offset").alias("offset"),

@@ -2,7 +2,7 @@
 
 A window function puts a whole window partition into one task, and one busy series can be most of
 the data. Here a series is cut into time slices that are processed apart; what must cross a slice
-border is carried over from one summary row per series and slice.
+border is carried over from one summary row per series and slice. Series keys must not be null.
 """
 
 from __future__ import annotations
@@ -28,29 +28,53 @@ def with_previous(
     carried = sliced.groupBy(*keys, "slice").agg(F.max_by(sample, ts).alias("last")).select(
         *keys, "slice", F.lag("last").over(over_slices).alias("carried"))
     inside = sliced.withColumn("inside", F.lag(sample).over(in_slice))
-    return _join_slices(inside, carried, keys).withColumn(
+    return inside.join(carried, [*keys, "slice"], "left").withColumn(
         "previous", F.coalesce("inside", "carried")).drop("inside", "carried", "slice")
 
 
-def with_running_max(
-    rows: DataFrame, keys: list[str], ts: str, value: str, name: str,
+def with_run_start(
+    rows: DataFrame, keys: list[str], ts: str, flag: str, max_gap_seconds: float,
     seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Adds `name`: the greatest `value` of the series up to and including this sample."""
+    """Adds `run_start`: when the current run of flagged samples began.
+
+    A run ends at a sample without the flag or a pause longer than `max_gap_seconds`. Only
+    meaningful on flagged rows.
+    """
+    limit = int(max_gap_seconds * 1_000_000)
     sliced = rows.withColumn("slice", slice_of(F.col(ts), seconds))
-    in_slice = Window.partitionBy(*keys, "slice").orderBy(ts).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sliced.groupBy(*keys, "slice").agg(F.max(value).alias("most")).select(
-        *keys, "slice", F.max("most").over(before).alias("carried"))
-    inside = sliced.withColumn("inside", F.max(value).over(in_slice))
-    return _join_slices(inside, carried, keys).withColumn(
-        name, F.greatest("inside", "carried")).drop("inside", "carried", "slice")
+    in_slice = Window.partitionBy(*keys, "slice").orderBy(ts)
+    before = F.lag(F.struct(F.col(ts).alias("ts"), F.col(flag).alias("flag"))).over(in_slice)
+    inside = sliced.withColumn("before", before)
 
+    def begins(flagged: str, at: str, last_flagged: str, last_at: str) -> Column:
+        pause = F.unix_micros(at) - F.unix_micros(last_at) > limit
+        return F.col(flagged) & (~F.col(last_flagged) | pause)
 
-def _join_slices(inside: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys must not be null."""
-    return inside.join(carried, [*keys, "slice"], "left")
+    # The first sample of a slice is left open here and settled from the slice before.
+    began = F.when(begins(flag, ts, "before.flag", "before.ts"), F.col(ts))
+    inside = inside.withColumn("began", began)
+    inside = inside.withColumn("latest", F.max("began").over(
+        in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    ends = inside.groupBy(*keys, "slice").agg(
+        F.min(ts).alias("first_at"), F.min_by(flag, ts).alias("first_flag"),
+        F.max(ts).alias("last_at"), F.max_by(flag, ts).alias("last_flag"),
+        F.max("began").alias("began_inside"))
+    over_slices = Window.partitionBy(*keys).orderBy("slice")
+    ends = ends.withColumns({
+        "last_at": F.lag("last_at").over(over_slices),
+        "last_flag": F.lag("last_flag").over(over_slices),
+    })
+    opens = F.col("first_flag") & F.col("last_at").isNull() | begins(
+        "first_flag", "first_at", "last_flag", "last_at")
+    ends = ends.withColumn("opened", F.when(opens, F.col("first_at")))
+    earlier = F.max(F.coalesce("began_inside", "opened")).over(
+        over_slices.rowsBetween(Window.unboundedPreceding, -1))
+    carried = ends.select(*keys, "slice", F.coalesce("opened", earlier).alias("carried"))
+    return inside.join(carried, [*keys, "slice"], "left").withColumn(
+        "run_start", F.coalesce("latest", "carried")).drop(
+        "before", "began", "latest", "carried", "slice")
 
 
 def with_lookback(rows: DataFrame, ts: str, lookback: float, seconds: int = SLICE_SECONDS
@@ -62,4 +86,4 @@ def with_lookback(rows: DataFrame, ts: str, lookback: float, seconds: int = SLIC
     reaches = slice_of(F.timestamp_micros(F.unix_micros(ts) + int(lookback * 1_000_000)), seconds)
     slices = F.when(reaches > own, F.array(own, reaches)).otherwise(F.array(own))
     return rows.withColumn("slice", F.explode(slices)).withColumn(
-        "borrowed", F.col("slice") > slice_of(F.col(ts), seconds))
+        "borrowed", F.col("slice") > own)
