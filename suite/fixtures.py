@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.timing import iso_text
+from tillstream.operators.classify import classify
+from tillstream.operators.deadletter import build_dlq, dlq_messages, read_dlq, reprocess
 from tillstream.session import prepare
 
 TOPIC = "shop"
@@ -110,3 +114,98 @@ def clean_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`event number -> faultless payload`, the correction an operator would replay."""
     rows = _mapped(table(spark, sf_dir, "events"))
     return rows.select("n", _payload(False).alias("clean_payload"))
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(messages(spark, sf_dir))
+
+
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an earlier run already stored: events before 15 January 2024."""
+    return raw_events(spark, sf_dir).where(F.col("event_timestamp") < "2024-01-15")
+
+
+def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of the faulty messages; they failed when they were sent."""
+    return build_dlq(classified(spark, sf_dir), F.col("timestamp"))
+
+
+def retry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replayed dead letters: n % 5 attempts so far, corrected payload where n is even."""
+    records = dlq_records(spark, sf_dir).withColumn(
+        "n", F.floor(F.col("original_offset") / 2).cast("long"))
+    rows = records.join(clean_payloads(spark, sf_dir), "n").withColumns({
+        "retry_count": (F.col("n") % 5).cast("int"),
+        "raw_payload": F.when(F.col("n") % 2 == 0, F.col("clean_payload"))
+        .otherwise(F.col("raw_payload")),
+    })
+    return dlq_messages(rows)
+
+
+def retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reprocess(read_dlq(retry_messages(spark, sf_dir)))
+
+
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per hour, user group and type, the base of all metric samples."""
+    return table(spark, sf_dir, "events").groupBy(
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("ts"),
+        (F.col("user_id") % 3).cast("string").alias("part"), "event_type",
+    ).agg(F.count("*").alias("n"), F.max("value").alias("most"), F.min("value").alias("least"))
+
+
+def _samples(rows: DataFrame, metric: str, labels: dict, value: Column) -> DataFrame:
+    pairs = [part for name, text in labels.items() for part in (F.lit(name), text)]
+    return rows.select(
+        F.lit(metric).alias("metric"), F.create_map(*pairs).alias("labels"), "ts",
+        value.cast("double").alias("value"))
+
+
+def watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High watermark and committed offset (six samples earlier) per partition and hour."""
+    hours = _hourly(spark, sf_dir).groupBy("part", "ts").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("part").orderBy("ts")
+    high = hours.withColumn("high", F.sum("n").over(order))
+    return high.select(
+        F.lit(TOPIC).alias("topic"), F.col("part").cast("int").alias("partition"), "ts", "high",
+        F.lag("high", 6).over(order).alias("committed"))
+
+
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric samples `metric, labels, ts, value`, one per series and hour."""
+    base = _hourly(spark, sf_dir)
+    marks = watermarks(spark, sf_dir)
+    lag = F.greatest(F.col("high") - F.coalesce("committed", F.lit(0)), F.lit(0))
+    by_type = Window.partitionBy("event_type").orderBy("ts")
+    types = base.groupBy("event_type", "ts").agg(
+        F.sum("n").alias("n"), F.max("most").alias("most"), F.min("least").alias("least"))
+    counts = types.withColumn("running", F.sum("n").over(by_type))
+    instance = {"instance": F.col("event_type")}
+    root = {"instance": F.col("event_type"), "mountpoint": F.lit("/")}
+    parts = [
+        _samples(marks, "kafka_topic_partition_current_offset",
+                 {"topic": F.lit(TOPIC), "partition": F.col("partition").cast("string")},
+                 F.col("high")),
+        _samples(counts.where(F.col("event_type") == "error"),
+                 "kafka_topic_partition_current_offset",
+                 {"topic": F.lit(f"{TOPIC}-dlq"), "partition": F.lit("0")}, F.col("running")),
+        _samples(marks.groupBy("ts").agg(F.sum(lag).alias("lag")), "kafka_consumergroup_lag_sum",
+                 {"consumergroup": F.lit("ingestion-service"), "topic": F.lit(TOPIC)},
+                 F.col("lag")),
+        _samples(types.where(F.col("event_type") == "click"), "kafka_consumergroup_lag_sum",
+                 {"consumergroup": F.lit("retry-service"), "topic": F.lit(f"{TOPIC}-retry")},
+                 F.col("n")),
+        _samples(marks.groupBy("ts").agg(F.count("*").alias("members")),
+                 "kafka_consumergroup_members", {"consumergroup": F.lit("ingestion-service")},
+                 F.col("members")),
+        _samples(types, "up", {"job": F.col("event_type"), "instance": F.lit("a")},
+                 (F.col("n") >= 2).cast("int")),
+        _samples(counts, "node_cpu_seconds_total",
+                 {"cpu": F.col("event_type"), "mode": F.lit("idle")}, F.col("running") % 200),
+        _samples(types, "node_memory_MemTotal_bytes", instance, F.col("most")),
+        _samples(types, "node_memory_MemAvailable_bytes", instance, F.col("least")),
+        _samples(types, "node_filesystem_size_bytes", root, F.col("most")),
+        _samples(types, "node_filesystem_avail_bytes", root, F.col("least")),
+        _samples(types, "node_load1", instance, F.col("most")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
