@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstream.functions.timing import iso_text
 from tillstream.operators.classify import classify
 from tillstream.operators.deadletter import build_dlq, dlq_messages, read_dlq, reprocess
 from tillstream.session import prepare
@@ -19,101 +18,79 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _mapped(events: DataFrame) -> DataFrame:
-    """Columns shared by the clean rows and the messages."""
-    names = {
-        "signup": "USER_SIGNUP", "view": "PRODUCT_VIEW", "click": "ADD_TO_CART",
-        "purchase": "PURCHASE", "error": "CHECKOUT_STARTED",
-    }
-    event_type = F.col("event_type")
-    mapped = None
-    for source, name in names.items():
-        mapped = F.when(event_type == source, name) if mapped is None else mapped.when(
-            event_type == source, name)
-    return events.select(
-        F.col("event_id").alias("n"),
-        F.concat(F.lit("evt_"), F.col("event_id")).alias("event_id"),
-        mapped.alias("event_type"),
-        F.col("ts").cast("timestamp").alias("event_timestamp"),
-        F.concat(F.lit("user_"), F.col("user_id")).alias("user_id"),
-        F.when(
-            event_type.isin("view", "click", "purchase"),
-            F.concat(F.lit("prod_"), F.regexp_extract("props", "([0-9]+)", 1)),
-        ).alias("product_id"),
-        F.when(event_type.isin("click", "purchase"), F.col("event_id") % 5 + 1)
-        .cast("int").alias("quantity"),
-        F.when(event_type == "purchase", F.col("value").cast("decimal(10,2)")).alias("unit_price"),
-        (F.col("user_id") % 3).cast("int").alias("kafka_partition"),
-    )
+# The events table in shop terms.
+MAPPED = [
+    "event_id AS n",
+    "concat('evt_', event_id) AS event_id",
+    "CASE event_type WHEN 'signup' THEN 'USER_SIGNUP' WHEN 'view' THEN 'PRODUCT_VIEW' "
+    "WHEN 'click' THEN 'ADD_TO_CART' WHEN 'purchase' THEN 'PURCHASE' "
+    "WHEN 'error' THEN 'CHECKOUT_STARTED' END AS event_type",
+    "cast(ts AS timestamp) AS event_timestamp",
+    "concat('user_', user_id) AS user_id",
+    "CASE WHEN event_type IN ('view', 'click', 'purchase') "
+    "THEN concat('prod_', regexp_extract(props, '([0-9]+)', 1)) END AS product_id",
+    "CASE WHEN event_type IN ('click', 'purchase') THEN cast(event_id % 5 + 1 AS int) END "
+    "AS quantity",
+    "CASE WHEN event_type = 'purchase' THEN cast(value AS decimal(10,2)) END AS unit_price",
+    "cast(user_id % 3 AS int) AS kafka_partition",
+]
+
+
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(*MAPPED)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted events as the raw table holds them; stored n % 90 seconds after they happened."""
-    rows = _mapped(table(spark, sf_dir, "events"))
-    return rows.select(
+    return _mapped(spark, sf_dir).selectExpr(
         "event_id", "event_type", "event_timestamp", "user_id", "product_id", "quantity",
-        "unit_price",
-        (F.col("event_timestamp") + F.make_dt_interval(secs=F.col("n") % 90)).alias("ingested_at"),
-        "kafka_partition", F.col("n").cast("long").alias("kafka_offset"),
-        F.col("event_timestamp").cast("date").alias("event_date"),
-    )
-
-
-def _payload(faulty: bool) -> Column:
-    c = F.col("n") % 100
-    pick = (lambda at, bad, good: F.when(c == at, bad).otherwise(good)) if faulty else (
-        lambda at, bad, good: good)
-    number = lambda text: pick(6, F.concat(F.lit('"'), text, F.lit('"')), text)
-    text = lambda name, value: F.concat(F.lit(f'"{name}": "'), value, F.lit('"'))
-    event_type = pick(6, F.lower("event_type"), pick(5, F.lit("UNKNOWN_EVENT"), F.col("event_type")))
-    quantity = F.when(
-        F.col("quantity").isNotNull(),
-        pick(2, F.lit('"INVALID"'), number(F.col("quantity").cast("string"))),
-    )
-    price = F.when(
-        F.col("unit_price").isNotNull(),
-        pick(3, F.lit('"N/A"'), number(F.col("unit_price").cast("string"))),
-    )
-    user = text("user_id", F.col("user_id"))
-    whole = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ", ",
-            text("event_id", F.col("event_id")),
-            text("event_type", event_type),
-            text("timestamp", pick(4, F.lit("not-a-timestamp"), iso_text(F.col("event_timestamp")))),
-            F.when(c != 1, user) if faulty else user,
-            text("product_id", F.col("product_id")),
-            F.concat(F.lit('"quantity": '), quantity),
-            F.concat(F.lit('"unit_price": '), price),
-        ),
-        F.lit("}"),
-    )
-    cut = F.concat(F.lit("{"), text("event_id", F.col("event_id")), F.lit(', "event_type"'))
-    return pick(0, cut, whole)
+        "unit_price", "event_timestamp + make_dt_interval(0, 0, 0, n % 90) AS ingested_at",
+        "kafka_partition", "cast(n AS bigint) AS kafka_offset",
+        "cast(event_timestamp AS date) AS event_date")
+
+
+def _payload(event_type: str, time: str, user: str, quantity: str, price: str) -> str:
+    return f"""concat('{{"event_id": "', event_id, '", "event_type": "', {event_type},
+        '", "timestamp": "', {time}, '"', {user},
+        coalesce(concat(', "product_id": "', product_id, '"'), ''),
+        coalesce(concat(', "quantity": ', {quantity}), ''),
+        coalesce(concat(', "unit_price": ', {price}), ''), '}}')"""
+
+
+ISO = "date_format(event_timestamp, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+USER = """concat(', "user_id": "', user_id, '"')"""
+CLEAN_PAYLOAD = _payload("event_type", ISO, USER, "quantity", "unit_price")
+# Faults by c = n % 100: cut off, no user, bad quantity, price or time, unknown type; 6 is messy
+# but good.
+FAULTY_PAYLOAD = f"""CASE WHEN c = 0 THEN concat('{{"event_id": "', event_id, '", "event_type"')
+    ELSE {_payload(
+        "CASE c WHEN 5 THEN 'UNKNOWN_EVENT' WHEN 6 THEN lower(event_type) ELSE event_type END",
+        f"CASE c WHEN 4 THEN 'not-a-timestamp' ELSE {ISO} END",
+        f"CASE c WHEN 1 THEN '' ELSE {USER} END",
+        """CASE WHEN c = 2 AND quantity IS NOT NULL THEN '"INVALID"'
+            WHEN c = 6 THEN concat('"', quantity, '"') ELSE cast(quantity AS string) END""",
+        """CASE WHEN c = 3 AND unit_price IS NOT NULL THEN '"N/A"'
+            WHEN c = 6 THEN concat('"', unit_price, '"') ELSE cast(unit_price AS string) END""",
+    )} END"""
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic rows with faults by n % 100; n % 100 % 33 = 7 is sent twice, n % 10 minutes apart."""
-    rows = _mapped(table(spark, sf_dir, "events")).withColumn("payload", _payload(True))
-    twice = (F.col("n") % 100) % 33 == 7
-    copies = F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = rows.withColumn("copy", F.explode(copies))
-    return sent.select(
-        F.col("user_id").cast("binary").alias("key"),
-        F.col("payload").cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        F.col("kafka_partition").alias("partition"),
-        (2 * F.col("n") + F.col("copy")).cast("long").alias("offset"),
-        (F.col("event_timestamp") + F.make_dt_interval(mins=F.col("copy") * (F.col("n") % 10)))
-        .alias("timestamp"),
-    )
+    rows = _mapped(spark, sf_dir).selectExpr("*", "n % 100 AS c")
+    sent = rows.selectExpr(
+        "*", "explode(if(c % 33 = 7, array(0, 1), array(0))) AS copy")
+    return sent.selectExpr(
+        "cast(user_id AS binary) AS key",
+        f"cast({FAULTY_PAYLOAD} AS binary) AS value",
+        f"'{TOPIC}' AS topic",
+        "kafka_partition AS partition",
+        "cast(2 * n + copy AS bigint) AS offset",
+        "event_timestamp + make_dt_interval(0, 0, cast(copy * (n % 10) AS int), 0) AS timestamp")
 
 
 def clean_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`event number -> faultless payload`, the correction an operator would replay."""
-    rows = _mapped(table(spark, sf_dir, "events"))
-    return rows.select("n", _payload(False).alias("clean_payload"))
+    return _mapped(spark, sf_dir).selectExpr("n", f"{CLEAN_PAYLOAD} AS clean_payload")
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,7 +197,8 @@ ORACLES = {
         GROUP BY topic""",
     "topic_peek": f"""WITH {MSG} SELECT 'shop' AS topic, kafka_partition AS "partition", "offset",
         user_id AS key, CASE WHEN c = 0 THEN payload
-          ELSE replace(replace(payload, '": ', '":'), ', "', ',"') END AS value
+          ELSE regexp_replace(replace(replace(payload, '": ', '":'), ', "', ',"'),
+            '("unit_price":[0-9]+\\.[0-9])0}}$', '\\1}}') END AS value
         FROM msg ORDER BY kafka_partition, "offset" LIMIT 20""",
     "parse_events": f"""WITH {MSG} SELECT kafka_partition AS "partition", "offset",
         c <> 0 AS parsed, CASE WHEN c <> 0 THEN event_id END AS event_id FROM msg""",

@@ -53,14 +53,20 @@ def is_json(text: str) -> str:
     return f"(try_parse_json({text}) IS NOT NULL AND {is_single_value(text)})"
 
 
+def _stripped_match(text: str, pattern: str) -> str:
+    """The text, stripped where that is needed, when it fits the pattern."""
+    return f"""CASE WHEN {text} RLIKE r'{pattern}' THEN {text}
+        WHEN {strip(text)} RLIKE r'{pattern}' THEN {strip(text)} END"""
+
+
 def integer_text(text: str) -> str:
     """Digits of an int-like value, else null."""
-    return f"CASE WHEN {strip(text)} RLIKE r'{INTEGER}' THEN {strip(text)} END"
+    return _stripped_match(text, INTEGER)
 
 
 def number(text: str) -> str:
     """Double of a numeric value, else null."""
-    return f"CASE WHEN {strip(text)} RLIKE r'{NUMBER}' THEN try_cast({strip(text)} AS double) END"
+    return f"try_cast({_stripped_match(text, NUMBER)} AS double)"
 
 
 def event_time(text: str) -> str:

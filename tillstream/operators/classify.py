@@ -70,7 +70,8 @@ def normalize_messages(parsed: DataFrame) -> DataFrame:
     rows = _add(
         parsed,
         event_id="wire.event_id",
-        event_type=f"upper({strip('wire.event_type')})",
+        event_type=f"""CASE WHEN wire.event_type IN ({_list(EVENT_TYPES)}) THEN wire.event_type
+            ELSE upper({strip('wire.event_type')}) END""",
         event_timestamp=parsing.event_time("wire.timestamp"),
         user_id="wire.user_id",
         product_id="wire.product_id",
@@ -105,8 +106,8 @@ KINDS = "named_struct({})".format(", ".join(
 
 _NUMERIC = r"r'^(BIGINT|DECIMAL|DOUBLE|FLOAT)'"
 
-MISSING = "array_compact(CASE event_type {} END)".format(" ".join(
-    "WHEN '{}' THEN array({})".format(event_type, ", ".join(
+MISSING = "CASE event_type {} END".format(" ".join(
+    "WHEN '{}' THEN concat_ws(', ', {})".format(event_type, ", ".join(
         f"""if(kind.{name} IS NULL, "'{name}'", NULL)"""
         for name in sorted(REQUIRED_FIELDS[event_type])
     ))
@@ -119,75 +120,78 @@ FALSY_ID = f"""CASE WHEN kind.event_id = 'VOID' THEN true
     ELSE wire.event_id IN ({_list(EMPTY_ID_TEXTS)}) END"""
 
 
-def _issue(condition: str, label: str, field: str | None = None, text: str = "") -> str:
-    kind = f"kind.{field}" if field else "'TEXT'"
-    text = text or f"wire.{field}"
-    return f"""CASE WHEN {condition} THEN named_struct(
-        'label', '{label}', 'kind', {kind}, 'text', {text}) END"""
+def _shown(field: str, text: str = "") -> str:
+    """A value as error messages show it, by its JSON type."""
+    kind, text = f"kind.{field}", text or f"wire.{field}"
+    double = f"try_cast({text} AS double)"
+    return f"""CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN 'None'
+        WHEN {kind} = 'BOOLEAN' THEN initcap({text})
+        WHEN {kind} = 'STRING' THEN {quoted(text)}
+        WHEN {kind} RLIKE r'^(DECIMAL|DOUBLE|FLOAT)' AND {text} RLIKE r'[.eE]'
+        THEN coalesce({float_text(double)}, {text})
+        ELSE {text} END"""
 
 
-def _number_issue(field: str, typed: str, sane: str, read: str) -> str:
-    """Not a positive number where one is needed, too big for the column, or unfit for it."""
+def _number_error(field: str, positive: str, read: str, shown: str) -> str:
+    """Not a positive number where one is needed, too big for the column, or unfit for it.
+
+    `read` is null when the value is no number at all, `shown` is a number as messages show it.
+    """
     there, needed = f"kind.{field} IS NOT NULL", _needs(field)
-    issue = f"""'kind', if({read} IS NULL, kind.{field}, 'NUMBER'),
-        'text', coalesce({typed}, wire.{field})"""
+    shown = f"coalesce({shown}, {_shown(field)})"
     return f"""CASE
-        WHEN {needed} AND {there} AND NOT coalesce({sane}, false)
-        THEN named_struct('label', 'invalid {field}: ', {issue})
+        WHEN {needed} AND {there} AND NOT coalesce({positive}, false)
+        THEN concat('invalid {field}: ', {shown})
         WHEN {read} IS NOT NULL AND {field} IS NULL
-        THEN named_struct('label', '{field} out of range: ', {issue})
+        THEN concat('{field} out of range: ', {shown})
         WHEN NOT {needed} AND {there} AND kind.{field} <> 'VOID' AND {field} IS NULL
-        THEN named_struct('label', 'invalid {field}: ', {issue}) END"""
+            AND NOT coalesce({LOOSE_QUANTITY if field == "quantity" else "false"}, false)
+        THEN concat('invalid {field}: ', {shown}) END"""
+
 
+# A fractional JSON number in a quantity nobody checks is rounded by the column.
+ROUNDED_QUANTITY = "try_cast(round(try_cast(wire.quantity AS decimal(38,10))) AS int)"
+LOOSE_QUANTITY = f"""NOT {_needs("quantity")} AND quantity IS NULL
+    AND kind.quantity RLIKE {_NUMERIC} AND {ROUNDED_QUANTITY} IS NOT NULL"""
+_DIGITS = "try_cast(quantity_text AS decimal(38,0))"
 
 # What is wrong with a readable event, in order; an unknown type hides everything else.
-ISSUES = f"""CASE
+ERRORS = f"""CASE
     WHEN NOT coalesce(event_type IN ({_list(EVENT_TYPES)}), false)
-    THEN array({_issue("true", "unknown event_type: ", "event_type", "event_type")})
+    THEN array(concat('unknown event_type: ', {_shown("event_type", "event_type")}))
     ELSE array_compact(array(
-        {_issue("size(missing) > 0", "missing required fields: ",
-                text="concat('[', array_join(missing, ', '), ']')")},
-        {_issue(f"kind.event_id IS NOT NULL AND {FALSY_ID}", "empty event_id", text="''")},
-        {_issue("kind.timestamp IS NOT NULL AND "
-                "(event_timestamp IS NULL OR kind.timestamp <> 'STRING')",
-                "invalid timestamp: ", "timestamp")},
-        {_number_issue("quantity", "cast(try_cast(quantity_text AS decimal(38,0)) AS string)",
-                       "try_cast(quantity_text AS decimal(38,0)) > 0", "quantity_text")},
-        {_number_issue("unit_price", float_text("price"), "price > 0", "price")}
+        CASE WHEN {MISSING} <> ''
+             THEN concat('missing required fields: [', {MISSING}, ']') END,
+        CASE WHEN kind.event_id IS NOT NULL AND {FALSY_ID} THEN 'empty event_id' END,
+        CASE WHEN kind.timestamp IS NOT NULL
+                  AND (event_timestamp IS NULL OR kind.timestamp <> 'STRING')
+             THEN concat('invalid timestamp: ', {_shown("timestamp")}) END,
+        {_number_error("quantity", f"{_DIGITS} > 0", "quantity_text",
+                       f"cast({_DIGITS} AS string)")},
+        {_number_error("unit_price", "price > 0", "price", float_text("price"))}
     )) END"""
 
-# Values are shown by their JSON type.
-SHOWN = f"""concat(issue.label, CASE
-    WHEN issue.kind IS NULL OR issue.kind = 'VOID' THEN 'None'
-    WHEN issue.kind = 'BOOLEAN' THEN initcap(issue.text)
-    WHEN issue.kind = 'STRING' THEN {quoted("issue.text")}
-    WHEN issue.kind RLIKE r'^(DECIMAL|DOUBLE|FLOAT)' AND issue.text RLIKE r'[.eE]'
-    THEN coalesce({float_text("try_cast(issue.text AS double)")}, issue.text)
-    ELSE issue.text END)"""
+# The second look at events that are not plainly valid. A lambda over one element is skipped for
+# all others, and keeps this long expression out of the code compiled for every row.
+SECOND_LOOK = f"""element_at(transform(transform(
+    CASE WHEN parsed AND NOT plain THEN array(try_parse_json(payload)) END,
+    document -> {KINDS}),
+    kind -> named_struct(
+        'errors', {ERRORS},
+        'quantity', CASE WHEN {LOOSE_QUANTITY} THEN {ROUNDED_QUANTITY} ELSE quantity END)), 1)"""
 
 
 def validate_messages(normalized: DataFrame) -> DataFrame:
     """Adds `outcome` and `errors` (empty for a valid event)."""
     rows = _add(normalized, plain=PLAINLY_VALID)
-    rows = _add(rows, document="CASE WHEN parsed AND NOT plain THEN try_parse_json(payload) END")
-    rows = _add(rows, kind=f"CASE WHEN parsed AND NOT plain THEN {KINDS} END")
-    rows = _add(
-        rows,
-        missing=f"CASE WHEN parsed AND NOT plain THEN {MISSING} END",
-        # A fractional JSON number in a quantity nobody checks is rounded by the column.
-        quantity=f"""CASE WHEN quantity IS NULL AND NOT {_needs("quantity")}
-            AND kind.quantity RLIKE {_NUMERIC}
-            THEN try_cast(round(try_cast(wire.quantity AS decimal(38,10))) AS int)
-            ELSE quantity END""",
-    )
-    rows = _add(rows, issues=f"CASE WHEN parsed AND NOT plain THEN {ISSUES} END")
+    rows = _add(rows, second=SECOND_LOOK)
     return _add(
         rows,
         errors=f"""CASE WHEN plain THEN cast(array() AS array<string>)
-            WHEN NOT parsed THEN array({PARSE_ERROR})
-            ELSE transform(issues, issue -> {SHOWN}) END""",
+            WHEN NOT parsed THEN array({PARSE_ERROR}) ELSE second.errors END""",
         outcome=f"""CASE WHEN plain THEN '{VALID}' WHEN NOT parsed THEN '{UNPARSEABLE}'
-            WHEN size(issues) > 0 THEN '{VALIDATION_FAILED}' ELSE '{VALID}' END""",
+            WHEN size(second.errors) > 0 THEN '{VALIDATION_FAILED}' ELSE '{VALID}' END""",
+        quantity="CASE WHEN plain OR NOT parsed THEN quantity ELSE second.quantity END",
     )
 
 
