@@ -124,7 +124,7 @@ def to_messages(spark, sf_dir):
 @query
 def idempotent_insert(spark, sf_dir):
     """Rows a table that already holds some events gains from all messages."""
-    store = EventStore(spark, scratch_folder(spark, "store"), id_splits=16)
+    store = EventStore(spark, scratch_folder(spark, "store"), id_splits=4)
     store.insert(fx.stored_events(spark, sf_dir).drop("event_date"))
     store.insert(classify.valid_events(fx.classified(spark, sf_dir)))
     return _plain(store.events().drop("ingested_at", "event_date"))
@@ -538,7 +538,7 @@ def _message_files(spark, sf_dir) -> str:
 
 def _ingested(spark, sf_dir) -> EventStore:
     stream = message_source.file_stream(spark, _message_files(spark, sf_dir), max_files=2)
-    store = EventStore(spark, scratch_folder(spark, "store"), id_splits=16)
+    store = EventStore(spark, scratch_folder(spark, "store"), id_splits=4)
     ingest.start(stream, store, scratch_folder(spark, "offsets"),
                  until_drained=True).awaitTermination()
     return store

@@ -138,15 +138,13 @@ def _number_error(field: str, positive: str, read: str, shown: str) -> str:
     `read` is null when the value is no number at all, `shown` is a number as messages show it.
     """
     there, needed = f"kind.{field} IS NOT NULL", _needs(field)
-    shown = f"coalesce({shown}, {_shown(field)})"
-    return f"""CASE
-        WHEN {needed} AND {there} AND NOT coalesce({positive}, false)
-        THEN concat('invalid {field}: ', {shown})
-        WHEN {read} IS NOT NULL AND {field} IS NULL
-        THEN concat('{field} out of range: ', {shown})
+    rounds = LOOSE_QUANTITY if field == "quantity" else "false"
+    label = f"""CASE
+        WHEN {needed} AND {there} AND NOT coalesce({positive}, false) THEN 'invalid {field}: '
+        WHEN {read} IS NOT NULL AND {field} IS NULL THEN '{field} out of range: '
         WHEN NOT {needed} AND {there} AND kind.{field} <> 'VOID' AND {field} IS NULL
-            AND NOT coalesce({LOOSE_QUANTITY if field == "quantity" else "false"}, false)
-        THEN concat('invalid {field}: ', {shown}) END"""
+            AND NOT coalesce({rounds}, false) THEN 'invalid {field}: ' END"""
+    return f"concat({label}, coalesce({shown}, {_shown(field)}))"
 
 
 # A fractional JSON number in a quantity nobody checks is rounded by the column.
@@ -160,8 +158,7 @@ ERRORS = f"""CASE
     WHEN NOT coalesce(event_type IN ({_list(EVENT_TYPES)}), false)
     THEN array(concat('unknown event_type: ', {_shown("event_type", "event_type")}))
     ELSE array_compact(array(
-        CASE WHEN {MISSING} <> ''
-             THEN concat('missing required fields: [', {MISSING}, ']') END,
+        concat('missing required fields: [', nullif({MISSING}, ''), ']'),
         CASE WHEN kind.event_id IS NOT NULL AND {FALSY_ID} THEN 'empty event_id' END,
         CASE WHEN kind.timestamp IS NOT NULL
                   AND (event_timestamp IS NULL OR kind.timestamp <> 'STRING')

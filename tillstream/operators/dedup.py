@@ -20,9 +20,13 @@ def first_wins(
     events: DataFrame, keys: tuple[str, ...] = ("event_id",),
     order: tuple[str, ...] = ("kafka_partition", "kafka_offset"),
 ) -> DataFrame:
-    """One row per key, the one that comes first in `order`; copies collapse before the shuffle."""
-    first = F.min_by(F.struct(*events.columns), F.struct(*order)).alias("row")
-    return events.groupBy(*keys).agg(first).select("row.*")
+    """One row per key, the one that comes first in `order`.
+
+    The limit of one row per key is applied within each task before the shuffle as well, so an id
+    with very many copies sends one row per task.
+    """
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return events.withColumn("nth_copy", nth).where(F.col("nth_copy") == 1).drop("nth_copy")
 
 
 def surplus_copies(events: DataFrame, key: str = "event_id") -> DataFrame:
@@ -104,7 +108,8 @@ def _follow_anchors(times: DataFrame, key: str, ttl: int) -> DataFrame:
         step = reached.join(links, [key, "at"]).select(key, F.col("next").alias("at")).checkpoint()
         if step.isEmpty():
             return reached
-        reached = reached.unionByName(step).checkpoint()
+        # Each part is a written result, so the union repeats no work.
+        reached = reached.unionByName(step)
         onward = links.select(key, F.col("at").alias("next"), F.col("next").alias("far"))
         links = links.join(onward, [key, "next"]).select(
             key, "at", F.col("far").alias("next")).checkpoint()

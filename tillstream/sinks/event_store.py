@@ -2,7 +2,8 @@
 
 Parquet has no unique constraint, so there must be one writer at a time. The id table has one
 narrow column, split by a hash of the id: a batch reads only the splits its ids fall into and
-never the events themselves.
+never the events themselves. Every batch adds small files to it, so it is rewritten as a new
+generation from time to time; it can always be derived from the events again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +29,15 @@ DEAD_LETTER_SCHEMA = T.StructType([T.StructField("key", T.StringType()), *DLQ_SC
 
 
 class EventStore:
-    def __init__(self, spark: SparkSession, root: str, id_splits: int = 256):
+    def __init__(
+        self, spark: SparkSession, root: str, id_splits: int = 256, compact_every: int = 200,
+    ):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
         self.id_splits = id_splits
+        self.compact_every = compact_every
+        self._batches = 0
+        self._generation = self._newest_generation()
         # A batch may be a repeat of one that was cut off, but only the first after a start.
         self._may_repeat = True
         for path, schema, split in [
@@ -47,7 +53,7 @@ class EventStore:
 
     @property
     def ids_path(self) -> str:
-        return f"{self.root}/raw/event_ids"
+        return f"{self.root}/raw/event_ids/generation={self._generation}"
 
     @property
     def dead_letters_path(self) -> str:
@@ -70,30 +76,48 @@ class EventStore:
         Events are written before their ids. When a run is cut off in between, the batch comes
         again and its ids are looked up in the events of the days it touches as well.
         """
-        split = F.pmod(F.xxhash64("event_id"), F.lit(self.id_splits)).cast("int")
-        batch = first_wins(events).withColumn("id_split", split).persist(
+        batch = first_wins(events).withColumn("id_split", self._split()).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
-            known = stored_hits(self._touched_ids(batch), batch)
-            unknown = new_rows(batch, known)
-            fresh = self._not_in_events(unknown) if self._may_repeat else unknown
-            observed = Observation()
-            (
-                fresh.drop("id_split")
-                .withColumn("event_date", F.col("event_timestamp").cast("date"))
-                .observe(observed, F.count(F.lit(1)).alias("rows"))
-                .hint("rebalance", "event_date")
-                .write.mode("append").partitionBy("event_date").parquet(self.events_path)
-            )
-            (
-                new_rows(batch, known).select("event_id", "id_split")
-                .hint("rebalance", "id_split")
-                .write.mode("append").partitionBy("id_split").parquet(self.ids_path)
-            )
-            self._may_repeat = False
-            return observed.get["rows"]
+            unknown = new_rows(batch, stored_hits(self._touched_ids(batch), batch)).persist(
+                StorageLevel.MEMORY_AND_DISK)
+            try:
+                inserted = self._write(unknown, unknown.count())
+            finally:
+                unknown.unpersist()
         finally:
             batch.unpersist()
+        self._may_repeat = False
+        self._batches += 1
+        if self._batches % self.compact_every == 0:
+            self.compact_ids()
+        return inserted
+
+    def _write(self, unknown: DataFrame, count: int) -> int:
+        """Adds rows whose ids are not in the id table; on a repeat some may be stored already."""
+        if count == 0:
+            return 0
+        fresh = unknown
+        if self._may_repeat:
+            fresh = self._not_in_events(unknown)
+            count = fresh.count()
+        if count:
+            self._add_events(fresh)
+        self._add_ids(unknown)
+        return count
+
+    def _add_events(self, fresh: DataFrame) -> None:
+        dated = fresh.drop("id_split").withColumn(
+            "event_date", F.col("event_timestamp").cast("date"))
+        dated.hint("rebalance", "event_date").write.mode("append").partitionBy(
+            "event_date").parquet(self.events_path)
+
+    def _add_ids(self, unknown: DataFrame) -> None:
+        unknown.select("event_id", "id_split").hint("rebalance", "id_split").write.mode(
+            "append").partitionBy("id_split").parquet(self.ids_path)
+
+    def _split(self) -> Column:
+        return F.pmod(F.xxhash64("event_id"), F.lit(self.id_splits)).cast("int")
 
     def _touched_ids(self, batch: DataFrame) -> DataFrame:
         touched = [row.id_split for row in batch.select("id_split").distinct().collect()]
@@ -104,11 +128,30 @@ class EventStore:
     def _not_in_events(self, unknown: DataFrame) -> DataFrame:
         day = F.col("event_timestamp").cast("date")
         first, last = unknown.agg(F.min(day), F.max(day)).first()
-        if first is None:
-            return unknown
         written = self.events().where(F.col("event_date").between(first, last))
         return new_rows(unknown, stored_hits(written, unknown))
 
+    def _newest_generation(self) -> int:
+        """The last generation of the id table that was written to its end."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/raw/event_ids")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        done = files.globStatus(
+            jvm.org.apache.hadoop.fs.Path(folder, "generation=*/_SUCCESS")) or []
+        names = [status.getPath().getParent().getName() for status in done]
+        return max((int(name.split("=")[1]) for name in names), default=0)
+
+    def compact_ids(self) -> None:
+        """Rewrites the id table into few files per split, as the next generation.
+
+        A rewrite that is cut off leaves a generation without its end marker, which is ignored
+        and written over. Earlier generations are left for the operator to remove.
+        """
+        ids = self.ids().withColumn("id_split", self._split()).hint("rebalance", "id_split")
+        following = f"{self.root}/raw/event_ids/generation={self._generation + 1}"
+        ids.write.mode("overwrite").partitionBy("id_split").parquet(following)
+        self._generation += 1
+
     def add_dead_letters(self, records: DataFrame) -> None:
         records.select(*DEAD_LETTER_SCHEMA.fieldNames()).write.mode("append").parquet(
             self.dead_letters_path)

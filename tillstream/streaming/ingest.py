@@ -10,7 +10,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,18 +32,17 @@ def store_batch(store: EventStore, batch: DataFrame, settings: Settings) -> dict
     """Classifies a batch once and writes both outcomes; returns its counters."""
     prepare(batch.sparkSession)
     now = F.lit(datetime.now(timezone.utc))
-    observed = Observation()
-    classified = classify(batch).observe(
-        observed, F.count(F.lit(1)).alias("consumed"),
-        F.count_if(F.col("outcome") != VALID).alias("invalid"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = classify(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        counts = classified.agg(
+            F.count("*").alias("consumed"),
+            F.count_if(F.col("outcome") != VALID).alias("invalid")).first().asDict()
         inserted = store.insert_with_retry(
             valid_events(classified, now), settings.write_attempts, settings.write_backoff_seconds)
-        store.add_dead_letters(deadletter.build_dlq(classified, now))
+        if counts["invalid"]:
+            store.add_dead_letters(deadletter.build_dlq(classified, now))
     finally:
         classified.unpersist()
-    counts = dict(observed.get)
     counts["inserted"] = inserted
     counts["duplicates"] = counts["consumed"] - counts["invalid"] - inserted
     return counts
