@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillstream.operators.classify import classify
 from tillstream.operators.deadletter import build_dlq, dlq_messages, read_dlq, reprocess
 from tillstream.session import prepare
+from tillstream.sources.messages import spread
 
 TOPIC = "shop"
 
@@ -76,7 +77,8 @@ FAULTY_PAYLOAD = f"""CASE WHEN c = 0 THEN concat('{{"event_id": "', event_id, '"
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic rows with faults by n % 100; n % 100 % 33 = 7 is sent twice, n % 10 minutes apart."""
-    rows = _mapped(spark, sf_dir).selectExpr("*", "n % 100 AS c")
+    rows = spread(table(spark, sf_dir, "events")).selectExpr(*MAPPED).selectExpr(
+        "*", "n % 100 AS c")
     sent = rows.selectExpr(
         "*", "explode(if(c % 33 = 7, array(0, 1), array(0))) AS copy")
     return sent.selectExpr(

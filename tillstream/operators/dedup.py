@@ -101,7 +101,6 @@ def _follow_anchors(times: DataFrame, key: str, ttl: int) -> DataFrame:
     Every join is on (id, time), which is unique, so an id that owns most rows is spread evenly.
     The number of rounds is the logarithm of the longest chain.
     """
-    enable_checkpoints(times.sparkSession)
     links = _next_anchor(times, key, ttl).checkpoint()
     reached = times.groupBy(key).agg(F.min("at").alias("at")).checkpoint()
     while True:
@@ -125,13 +124,13 @@ def ttl_anchors(
     sighting that last entered the cache. Hits do not refresh the anchor.
     """
     ttl = int(ttl_seconds * 1_000_000)
-    times = _sighting_times(sightings, key, ts)
+    enable_checkpoints(sightings.sparkSession)
+    # Written once: what led to the sightings (parsing, as a rule) is not run again below.
+    times = _sighting_times(sightings, key, ts).checkpoint()
     hot = times.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > fold_limit)
-    hot = hot.select(key)
+    hot = hot.select(key).checkpoint()
     if hot.isEmpty():
         return _fold_anchors(times, key, ttl)
-    enable_checkpoints(times.sparkSession)
-    hot = hot.checkpoint()
     folded = _fold_anchors(times.join(hot, key, "left_anti"), key, ttl)
     return folded.unionByName(_follow_anchors(times.join(hot, key, "left_semi"), key, ttl))
 
