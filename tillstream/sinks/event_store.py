@@ -38,14 +38,14 @@ class EventStore:
         self.compact_every = compact_every
         self._batches = 0
         self._generation = self._newest_generation()
-        # A batch may be a repeat of one that was cut off, but only the first after a start.
-        self._may_repeat = True
         for path, schema, split in [
             (self.events_path, RAW_TABLE_SCHEMA, "event_date"), (self.ids_path, ID_SCHEMA, "id_split"),
             (self.dead_letters_path, DEAD_LETTER_SCHEMA, None),
         ]:
             writer = spark.createDataFrame([], schema).write.mode("ignore")
             (writer.partitionBy(split) if split else writer).parquet(path)
+        # A batch may be a repeat of one that was cut off, but only the first after a start.
+        self._may_repeat = not self.events().isEmpty()
 
     @property
     def events_path(self) -> str:
