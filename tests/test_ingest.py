@@ -93,10 +93,22 @@ def test_repeat_between_the_two_writes(spark, tmp_path, messages, event):
     batch.where("event_id = 'a'").withColumn(
         "event_date", F.col("event_timestamp").cast("date")).write.mode("append").partitionBy(
         "event_date").parquet(store.events_path)
+    store = store_at(spark, tmp_path / "store")
     assert store.insert(batch) == 1
     assert store.events().count() == 2 and store.ids().count() == 2
 
 
+def test_same_store_after_a_failed_write(spark, tmp_path, messages, event, monkeypatch):
+    batch = valid_events(classify(messages([event(event_id="a"), event(event_id="b")])))
+    store = store_at(spark, tmp_path / "store")
+    monkeypatch.setattr(EventStore, "_add_ids", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.insert(batch)
+    monkeypatch.undo()
+    assert store.insert_with_retry(batch, 1, 0.0) == 0
+    assert store.events().count() == 2 and store.ids().count() == 2
+
+
 def test_lost_checkpoint(spark, tmp_path, messages, event):
     publish(messages([event(event_id=f"e{i}") for i in range(20)]), tmp_path / "in")
     store = store_at(spark, tmp_path / "store")

@@ -44,7 +44,8 @@ class EventStore:
         ]:
             writer = spark.createDataFrame([], schema).write.mode("ignore")
             (writer.partitionBy(split) if split else writer).parquet(path)
-        # A batch may be a repeat of one that was cut off, but only the first after a start.
+        # A batch may be a repeat of one that was cut off, but only the first after a start or a
+        # failed write.
         self._may_repeat = not self.events().isEmpty()
 
     @property
@@ -82,7 +83,8 @@ class EventStore:
             unknown = new_rows(batch, stored_hits(self._touched_ids(batch), batch)).persist(
                 StorageLevel.MEMORY_AND_DISK)
             try:
-                inserted = self._write(unknown, unknown.count())
+                repeat, self._may_repeat = self._may_repeat, True
+                inserted = self._write(unknown, unknown.count(), repeat)
             finally:
                 unknown.unpersist()
         finally:
@@ -93,12 +95,12 @@ class EventStore:
             self.compact_ids()
         return inserted
 
-    def _write(self, unknown: DataFrame, count: int) -> int:
+    def _write(self, unknown: DataFrame, count: int, repeat: bool) -> int:
         """Adds rows whose ids are not in the id table; on a repeat some may be stored already."""
         if count == 0:
             return 0
         fresh = unknown
-        if self._may_repeat:
+        if repeat:
             fresh = self._not_in_events(unknown)
             count = fresh.count()
         if count:
@@ -158,16 +160,10 @@ class EventStore:
 
     def insert_with_retry(self, events: DataFrame, attempts: int = 5, backoff: float = 2.0) -> int:
         """Tries again after a failed write, as after a cut-off run; the last failure is raised."""
+        return with_retry(lambda: self.insert(events), attempts, backoff)
 
-        def again() -> None:
-            self._may_repeat = True
 
-        return with_retry(lambda: self.insert(events), attempts, backoff, again)
-
-
-def with_retry(
-    action: Callable, attempts: int, backoff: float, before_retry: Callable = lambda: None,
-):
+def with_retry(action: Callable, attempts: int, backoff: float):
     for attempt in range(1, attempts + 1):
         try:
             return action()
@@ -176,4 +172,3 @@ def with_retry(
             if attempt == attempts:
                 raise
             time.sleep(backoff)
-            before_retry()
