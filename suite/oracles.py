@@ -28,16 +28,14 @@ MSG = RAW + """, faults AS (
     CAST(unit_price AS VARCHAR) AS price_text
   FROM raw), sent AS (
   SELECT *, unnest(CASE WHEN c % 33 = 7 THEN [0, 1] ELSE [0] END) AS copy,
-    CASE WHEN c = 0 THEN 'UNPARSEABLE'
-      WHEN c IN (1, 4, 5) OR (c = 2 AND quantity IS NOT NULL)
-        OR (c = 3 AND unit_price IS NOT NULL) THEN 'VALIDATION_FAILED'
-      ELSE 'VALID' END AS outcome,
-    CASE WHEN c = 0 THEN 'malformed JSON payload'
-      WHEN c = 1 THEN 'missing required fields: [''user_id'']'
+    CASE WHEN c = 1 THEN 'missing required fields: [''user_id'']'
       WHEN c = 2 AND quantity IS NOT NULL THEN 'invalid quantity: ''INVALID'''
       WHEN c = 3 AND unit_price IS NOT NULL THEN 'invalid unit_price: ''N/A'''
       WHEN c = 4 THEN 'invalid timestamp: ''not-a-timestamp'''
-      WHEN c = 5 THEN 'unknown event_type: ''UNKNOWN_EVENT''' END AS error,
+      WHEN c = 5 THEN 'unknown event_type: ''UNKNOWN_EVENT''' END AS fault,
+    -- Prices must be above zero; some purchases in the table are not.
+    CASE WHEN unit_price <= 0 AND c NOT IN (0, 3, 5)
+      THEN 'invalid unit_price: ' || CAST(CAST(unit_price AS DOUBLE) AS VARCHAR) END AS free,
     '{"event_id": "' || event_id || '", "event_type"' AS cut,
     '{"event_id": "' || event_id || '", "event_type": "'
       || CASE c WHEN 6 THEN lower(event_type) WHEN 5 THEN 'UNKNOWN_EVENT' ELSE event_type END
@@ -56,9 +54,14 @@ MSG = RAW + """, faults AS (
       || coalesce(', "quantity": ' || quantity, '')
       || coalesce(', "unit_price": ' || price_text, '') || '}' AS clean_payload
   FROM faults), msg AS (
-  SELECT *, 2 * n + copy AS "offset", event_timestamp + to_minutes(copy * (n % 10)) AS "timestamp",
+  SELECT *, CASE WHEN c = 0 THEN 'UNPARSEABLE' WHEN fault IS NOT NULL OR free IS NOT NULL
+      THEN 'VALIDATION_FAILED' ELSE 'VALID' END AS outcome,
+    CASE WHEN c = 0 THEN 'malformed JSON payload' WHEN fault IS NOT NULL OR free IS NOT NULL
+      THEN concat_ws('; ', fault, free) END AS error,
+    2 * n + copy AS "offset", event_timestamp + to_minutes(copy * (n % 10)) AS "timestamp",
     CASE WHEN c = 0 THEN cut ELSE whole END AS payload,
-    CASE WHEN error IS NULL THEN '[]' ELSE '["' || error || '"]' END AS errors
+    CASE WHEN c = 0 THEN '["malformed JSON payload"]'
+      ELSE '[' || concat_ws(',', '"' || fault || '"', '"' || free || '"') || ']' END AS errors
   FROM sent)"""
 
 DLQ = MSG + """, dlq AS (
@@ -70,8 +73,10 @@ DLQ = MSG + """, dlq AS (
   SELECT * REPLACE (CAST(n % 5 AS INTEGER) AS retry_count,
       CASE WHEN n % 2 = 0 THEN clean_payload ELSE raw_payload END AS raw_payload),
     outcome AS reason, errors AS first_errors,
-    CASE WHEN n % 2 = 0 THEN 'VALID' ELSE outcome END AS new_outcome,
-    CASE WHEN n % 2 = 0 THEN '[]' ELSE errors END AS new_errors
+    CASE WHEN n % 2 = 1 THEN outcome WHEN unit_price <= 0 THEN 'VALIDATION_FAILED'
+      ELSE 'VALID' END AS new_outcome,
+    CASE WHEN n % 2 = 1 THEN errors WHEN unit_price <= 0 THEN '["invalid unit_price: '
+      || CAST(CAST(unit_price AS DOUBLE) AS VARCHAR) || '"]' ELSE '[]' END AS new_errors
   FROM dlq)"""
 
 EVENT = "event_id, event_type, event_second AS event_timestamp, user_id, product_id, quantity"
@@ -213,8 +218,7 @@ ORACLES = {
     "valid_events": f"""WITH {MSG} SELECT {EVENT}, {PRICE}, kafka_partition,
         "offset" AS kafka_offset FROM msg WHERE outcome = 'VALID'""",
     "route_counts": f"WITH {MSG} SELECT outcome, count(*) AS messages FROM msg GROUP BY outcome",
-    "shape_check": f"""WITH {MSG} SELECT outcome = 'VALID'
-          AND NOT (c = 6 AND event_type IS NOT NULL) AS well_shaped,
+    "shape_check": f"""WITH {MSG} SELECT fault IS NULL AND c NOT IN (0, 6) AS well_shaped,
         count(*) AS messages FROM msg GROUP BY 1""",
     "dlq_error_text": f"""WITH {MSG} SELECT kafka_partition AS "partition", "offset",
         error AS text FROM msg WHERE error IS NOT NULL""",
