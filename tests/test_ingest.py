@@ -190,6 +190,7 @@ def test_read_dlq_defaults_and_skips(spark):
     row = found[0]
     assert (row.retry_count, row.raw_payload, row.original_topic, row.original_partition,
             row.original_offset, row.key) == (0, "", "unknown", -1, -1, "k")
+    assert deadletter.skipped(rows).count() == 3
 
 
 def test_replay_selection_and_severity(spark, messages):

@@ -53,12 +53,8 @@ def dlq_messages(records: DataFrame) -> DataFrame:
                           value.cast("binary").alias("value"))
 
 
-def read_dlq(messages: DataFrame) -> DataFrame:
-    """Dead-letter topic messages as records; messages that are not JSON objects are skipped.
-
-    Members that are absent get their defaults: retry_count 0, raw_payload '', topic 'unknown',
-    partition and offset -1.
-    """
+def _parsed_records(messages: DataFrame) -> DataFrame:
+    """Messages with their `record` and whether they are a record at all (`is_record`)."""
     prepare(messages.sparkSession)
     schema = f"{DLQ_SCHEMA.simpleString()[7:-1].replace(':', ' ')}, corrupt string"
     rows = messages.withColumns({
@@ -68,10 +64,24 @@ def read_dlq(messages: DataFrame) -> DataFrame:
     rows = rows.withColumn("record", F.from_json("text", schema, {
         "columnNameOfCorruptRecord": "corrupt", "allowSingleQuotes": "false",
         "allowNonNumericNumbers": "false"}))
-    rows = rows.where(
-        F.expr("coalesce(is_valid_utf8(cast(value AS string)), false)")
+    return rows.withColumn("is_record", F.coalesce(
+        F.expr("is_valid_utf8(cast(value AS string))")
         & F.col("record").isNotNull() & F.col("record.corrupt").isNull()
-        & F.expr(parsing.is_one_object("text")))
+        & F.expr(parsing.is_one_object("text")), F.lit(False)))
+
+
+def skipped(messages: DataFrame) -> DataFrame:
+    """Messages on a retry topic that are not JSON objects; they are reported, never re-queued."""
+    return _parsed_records(messages).where(~F.col("is_record")).select(*messages.columns)
+
+
+def read_dlq(messages: DataFrame) -> DataFrame:
+    """Dead-letter topic messages as records; messages that are not JSON objects are skipped.
+
+    Members that are absent get their defaults: retry_count 0, raw_payload '', topic 'unknown',
+    partition and offset -1.
+    """
+    rows = _parsed_records(messages).where("is_record")
     defaults = {"retry_count": 0, "raw_payload": "", "original_topic": "unknown",
                 "original_partition": -1, "original_offset": -1}
     return rows.select(F.col("message_key").alias("key"), *[
