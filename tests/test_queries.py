@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from suite.compare import connect, differences, type_differences
+from suite.oracles import ORACLES
+from suite.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,14 +18,16 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     rows = contract.queries()[name](spark, SF_DIR)
     sql = contract.oracle_sql()[name]
