@@ -16,11 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# With this the shuffle files of a write go when it is done, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(rows: DataFrame, name: str) -> DataFrame:
     """Writes rows below the shared folder and reads them again: cuts lineage, computes once."""
-    folder = scratch_folder(rows.sparkSession, name)
-    rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    spark = rows.sparkSession
+    folder = scratch_folder(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        rows.write.option("compression", "zstd").parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
 def ascii_lower(text: Column) -> Column:
