@@ -41,7 +41,7 @@ def test_windows_that_are_equal_select_the_same_gram(prose):
 
     text, levels = prose(400, 1, 30), np.zeros(1 << 20, np.int8)
     both = [op.segments(op.grams(pa.scalar(t)), levels) for t in (text, f"x y z {text} q r")]
-    of_window = [np.repeat(g, n) for g, _, n in both]
+    of_window = [np.repeat(g, n) for g, _, n, _ in both]
     assert (of_window[1][3:3 + len(of_window[0])] == of_window[0]).all()
 
 
@@ -55,6 +55,8 @@ def test_against_brute_force(documents, prose):
             parts += [rng.choice(shared), prose(rng.randrange(0, 30), 1000 + i)]
         rows.append((i * 3, " \n".join(parts)))
     rows += [(500 + i, rows[5][1]) for i in range(4)] + [(600, "a " * 300), (601, "a " * 50)]
+    rows += [(700 + n, " ".join("pqrstuvwxyz"[i % n] + str(n) for i in range(20 + n // 2 + 3)))
+             for n in range(2, 11)]
     assert results(documents(rows)) == brute.without_repeats(rows)
 
 

@@ -148,6 +148,10 @@ def _dealt(listed: DataFrame, buckets: int) -> DataFrame:
 
 # --- signature trees -------------------------------------------------------------------------
 
+def _bits(maps: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+
+
 class SignatureTree:
     """Sets that list one shingle, as nodes with OR bitmaps, size ranges and contracted groups."""
 
@@ -157,7 +161,7 @@ class SignatureTree:
         self.order = np.lexsort((maps[:, 0], sizes, groups))
         self.percent = percent
         maps, sizes, groups = maps[self.order], sizes[self.order], groups[self.order]
-        spare = sizes - np.bitwise_count(maps).sum(axis=1)
+        spare = sizes - _bits(maps)
         self.levels = [(maps, sizes, sizes, spare, groups, groups)]
         self.fans = []
         fan = LEAF
@@ -174,8 +178,7 @@ class SignatureTree:
     def _possible(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether members of two nodes may overlap enough and are not all connected already."""
         maps, least, most, spare, first, last = self.levels[level]
-        shared = np.bitwise_count(maps[i] & maps[j]).sum(axis=1).astype(np.int64)
-        shared += np.minimum(spare[i], spare[j])
+        shared = _bits(maps[i] & maps[j]) + np.minimum(spare[i], spare[j])
         shared = np.minimum(shared, np.minimum(most[i], most[j]))
         fits = shared >= least_overlap(least[i], least[j], self.percent)
         # The larger of two sizes counts against what the smaller set can share.
@@ -212,7 +215,7 @@ def _near(tree_rows: tuple, token: int, percent: int) -> tuple[np.ndarray, np.nd
     """Each row with the centre and with a neighbour in an order of the shingle's own."""
     owners, maps, sizes, groups = tree_rows
     tree = SignatureTree.__new__(SignatureTree)
-    spare = sizes - np.bitwise_count(maps).sum(axis=1)
+    spare = sizes - _bits(maps)
     tree.levels, tree.percent = [(maps, sizes, sizes, spare, groups, groups)], percent
     rows = np.arange(len(owners))
     centre = np.full(len(owners), int(owners.argmin()))

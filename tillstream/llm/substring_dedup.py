@@ -9,7 +9,7 @@ cannot be broadcast. It is cut into shards that can be matched on their own inst
    equal windows select the same one. Consecutive windows with the same gram form a segment. The
    levels are sketched over all documents and keep grams of common lines out, so that a segment
    hangs on what is particular to it.
-2. A segment whose gram is selected only once in the corpus cannot repeat and is left out. Equal
+2. A segment whose gram is there only once in the corpus cannot repeat and is left out. Equal
    segments fold into one passage with its first place, before anything is shuffled by gram, so
    that thousands of copies are one row.
 3. A shard holds the passages of some grams. Its suffix automaton keeps the earliest place of
@@ -30,6 +30,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,11 +50,13 @@ def grams(text: pa.Scalar, gram: int = GRAM) -> np.ndarray:
 
 
 def segments(found: np.ndarray, levels: np.ndarray, window: int = WINDOW,
-             gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(selected gram, first window, number of windows) of a document's segments."""
+             gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(selected gram, first window, number of windows, whether the document has that gram more
+    than once) of a document's segments."""
     width = window - gram + 1
     if len(found) < width:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        nothing = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), nothing, nothing, np.zeros(0, bool)
     rank = levels[slot(found)].astype(np.uint64) << np.uint64(64 - LEVEL_BITS)
     rank |= mixed(found) >> np.uint64(LEVEL_BITS)
     least, reach = rank, 1
@@ -63,27 +66,30 @@ def segments(found: np.ndarray, levels: np.ndarray, window: int = WINDOW,
     if reach < width:
         least = np.minimum(least[:len(found) - width + 1], least[width - reach:])
     first = np.flatnonzero(np.diff(least, prepend=~least[:1]))
-    return least[first], first, np.diff(first, append=len(least))
+    selected = least[first]
+    doubled = np.unique(rank[pd.Series(rank).duplicated().to_numpy()])
+    return selected, first, np.diff(first, append=len(least)), np.isin(selected, doubled)
 
 
 def _segments(docs: DataFrame, levels, window: int) -> DataFrame:
-    """(doc_id, text_hash, gram, start, windows) of all segments of all documents."""
+    """(doc_id, text_hash, gram, start, windows, doubled) of all segments of all documents."""
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [segments(grams(text), levels.value, window) for text in batch.column(2)]
             sizes = [len(p[0]) for p in parts]
             row = np.repeat(np.arange(len(parts)), sizes)
-            gram, start, count = (np.concatenate(c) if parts else np.zeros(0, np.int64)
-                                  for c in (zip(*parts, strict=True) if parts else ((),) * 3))
+            if not parts:
+                continue
+            gram, start, count, doubled = (np.concatenate(c) for c in zip(*parts, strict=True))
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at),
                  pa.array(gram.view(np.int64)), pa.array(start.astype(np.int32)),
-                 pa.array(count.astype(np.int32))],
-                names=["doc_id", "text_hash", "gram", "start", "windows"])
+                 pa.array(count.astype(np.int32)), pa.array(doubled)],
+                names=["doc_id", "text_hash", "gram", "start", "windows", "doubled"])
 
     return docs.mapInArrow(
-        select, "doc_id long, text_hash long, gram long, start int, windows int")
+        select, "doc_id long, text_hash long, gram long, start int, windows int, doubled boolean")
 
 
 def _passages(found: DataFrame, window: int) -> DataFrame:
@@ -175,8 +181,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     levels = docs.sparkSession.sparkContext.broadcast(
         frequency_levels(docs.select("text"), grams))
     selected = written(_segments(docs, levels, window), "segments")
-    again = selected.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter(
-        "times > 1").select("gram")
+    again = selected.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("times"), F.max("doubled").alias("doubled")).filter(
+        "times > 1 OR doubled").select("gram")
     spans = selected.join(again, "gram").groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.struct("gram", "start", "windows")).alias("spans"))
     spans = written(spans, "candidate-segments")
