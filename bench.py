@@ -40,9 +40,9 @@ def timed(run) -> float:
 def ingest_rate(spark, sf_dir: str) -> tuple[float, float]:
     """Seconds and messages per second for the whole stream, from files to stored events."""
     folder = scratch_folder(spark, "messages")
-    fixtures.messages(spark, sf_dir).repartition(8, "key").write.parquet(folder)
+    fixtures.messages(spark, sf_dir).write.parquet(folder)
     count = spark.read.parquet(folder).count()
-    store = EventStore(spark, scratch_folder(spark, "store"), id_splits=4)
+    store = EventStore(spark, scratch_folder(spark, "store"))
     seconds = timed(lambda: ingest.start(
         file_stream(spark, folder), store, scratch_folder(spark, "offsets"),
         until_drained=True).awaitTermination())

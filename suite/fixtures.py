@@ -62,17 +62,17 @@ ISO = "date_format(event_timestamp, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 USER = """concat(', "user_id": "', user_id, '"')"""
 CLEAN_PAYLOAD = _payload("event_type", ISO, USER, "quantity", "unit_price")
 # Faults by c = n % 100: cut off, no user, bad quantity, price or time, unknown type; 6 is messy
-# but good.
+# but good; 8 has a line separator that is no JSON space behind it, 9 a line end in its time.
 FAULTY_PAYLOAD = f"""CASE WHEN c = 0 THEN concat('{{"event_id": "', event_id, '", "event_type"')
     ELSE {_payload(
         "CASE c WHEN 5 THEN 'UNKNOWN_EVENT' WHEN 6 THEN lower(event_type) ELSE event_type END",
-        f"CASE c WHEN 4 THEN 'not-a-timestamp' ELSE {ISO} END",
+        f"CASE c WHEN 4 THEN 'not-a-timestamp' WHEN 9 THEN concat({ISO}, '\\\\n') ELSE {ISO} END",
         f"CASE c WHEN 1 THEN '' ELSE {USER} END",
         """CASE WHEN c = 2 AND quantity IS NOT NULL THEN '"INVALID"'
             WHEN c = 6 THEN concat('"', quantity, '"') ELSE cast(quantity AS string) END""",
         """CASE WHEN c = 3 AND unit_price IS NOT NULL THEN '"N/A"'
             WHEN c = 6 THEN concat('"', unit_price, '"') ELSE cast(unit_price AS string) END""",
-    )} END"""
+    )} END || CASE WHEN c <> 8 THEN '' WHEN n % 200 = 8 THEN '\\u2028' ELSE '\\u0085' END"""
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,15 +110,25 @@ def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replayed dead letters: n % 5 attempts so far, corrected payload where n is even."""
+    """Replayed dead letters: n % 5 attempts so far, corrected payload where n is even.
+
+    Where n ends in 3 a letter comes twice, with different payloads that are both still wrong;
+    where it ends in 7 the record does not say where the message came from.
+    """
     records = dlq_records(spark, sf_dir).withColumn(
         "n", F.floor(F.col("original_offset") / 2).cast("long"))
-    rows = records.join(clean_payloads(spark, sf_dir), "n").withColumns({
+    rows = records.join(clean_payloads(spark, sf_dir), "n").withColumn("copy", F.explode(
+        F.when(F.col("n") % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    rows = rows.withColumns({
         "retry_count": (F.col("n") % 5).cast("int"),
-        "raw_payload": F.when(F.col("n") % 2 == 0, F.col("clean_payload"))
-        .otherwise(F.col("raw_payload")),
+        "raw_payload": F.when(F.col("n") % 2 == 0, F.col("clean_payload")).otherwise(
+            F.concat("raw_payload", F.when(F.col("copy") == 1, " ").otherwise(""))),
+        **{name: F.when(F.col("n") % 10 != 7, F.col(name)) for name in (
+            "original_topic", "original_partition", "original_offset")},
     })
-    return dlq_messages(rows)
+    # Retry messages stand at offsets of their own.
+    return dlq_messages(rows, F.lit("retry").alias("topic"), F.lit(0).alias("partition"),
+                        (2 * F.col("n") + F.col("copy")).alias("offset"))
 
 
 def retried(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,8 +145,12 @@ def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _samples(rows: DataFrame, metric: str, labels: dict, value: Column) -> DataFrame:
     pairs = [part for name, text in labels.items() for part in (F.lit(name), text)]
+    # Series are sampled at different seconds, by their first two labels.
+    first, second = [*labels.values(), F.lit("")][:2]
+    late = (len(metric) * 11 + F.ascii(first) * 3 + F.ascii(second) * 7) % 1800
     return rows.select(
-        F.lit(metric).alias("metric"), F.create_map(*pairs).alias("labels"), "ts",
+        F.lit(metric).alias("metric"), F.create_map(*pairs).alias("labels"),
+        (F.col("ts") + F.make_dt_interval(secs=late)).alias("ts"),
         value.cast("double").alias("value"))
 
 
@@ -151,7 +165,7 @@ def watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metric samples `metric, labels, ts, value`, one per series and hour."""
+    """Metric samples `metric, labels, ts, value`, one per series and hour, seconds apart."""
     base = _hourly(spark, sf_dir)
     marks = watermarks(spark, sf_dir)
     lag = F.greatest(F.col("high") - F.coalesce("committed", F.lit(0)), F.lit(0))

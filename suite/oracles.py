@@ -5,7 +5,10 @@ Messages are never parsed here: what each one must become is known from how it w
 
 from __future__ import annotations
 
-from suite.queries import RANGE
+from suite.queries import (
+    DLQ_HOURS, DLQ_LIMIT, DLQ_RANGE_HOURS, DOWN_HOURS, LAG_HOURS, LAG_LIMIT, LOOKBACK, RANGE, RATE_RANGE,
+    STEP,
+)
 
 RAW = """raw AS (
   SELECT event_id AS n, 'evt_' || event_id AS event_id,
@@ -32,14 +35,15 @@ MSG = RAW + """, faults AS (
       WHEN c = 2 AND quantity IS NOT NULL THEN 'invalid quantity: ''INVALID'''
       WHEN c = 3 AND unit_price IS NOT NULL THEN 'invalid unit_price: ''N/A'''
       WHEN c = 4 THEN 'invalid timestamp: ''not-a-timestamp'''
+      WHEN c = 9 THEN 'invalid timestamp: ''' || iso || '\\n'''
       WHEN c = 5 THEN 'unknown event_type: ''UNKNOWN_EVENT''' END AS fault,
     -- Prices must be above zero; some purchases in the table are not.
-    CASE WHEN unit_price <= 0 AND c NOT IN (0, 3, 5)
+    CASE WHEN unit_price <= 0 AND c NOT IN (0, 3, 5, 8)
       THEN 'invalid unit_price: ' || CAST(CAST(unit_price AS DOUBLE) AS VARCHAR) END AS free,
     '{"event_id": "' || event_id || '", "event_type"' AS cut,
     '{"event_id": "' || event_id || '", "event_type": "'
       || CASE c WHEN 6 THEN lower(event_type) WHEN 5 THEN 'UNKNOWN_EVENT' ELSE event_type END
-      || '", "timestamp": "' || CASE c WHEN 4 THEN 'not-a-timestamp' ELSE iso END || '"'
+      || '", "timestamp": "' || CASE c WHEN 4 THEN 'not-a-timestamp' WHEN 9 THEN iso || '\\n' ELSE iso END || '"'
       || CASE c WHEN 1 THEN '' ELSE ', "user_id": "' || user_id || '"' END
       || coalesce(', "product_id": "' || product_id || '"', '')
       || CASE WHEN quantity IS NULL THEN '' WHEN c = 2 THEN ', "quantity": "INVALID"'
@@ -47,21 +51,22 @@ MSG = RAW + """, faults AS (
           ELSE ', "quantity": ' || quantity END
       || CASE WHEN unit_price IS NULL THEN '' WHEN c = 3 THEN ', "unit_price": "N/A"'
           WHEN c = 6 THEN ', "unit_price": "' || price_text || '"'
-          ELSE ', "unit_price": ' || price_text END || '}' AS whole,
+          ELSE ', "unit_price": ' || price_text END || '}'
+      || CASE WHEN c <> 8 THEN '' WHEN n % 200 = 8 THEN chr(8232) ELSE chr(133) END AS whole,
     '{"event_id": "' || event_id || '", "event_type": "' || event_type
       || '", "timestamp": "' || iso || '", "user_id": "' || user_id || '"'
       || coalesce(', "product_id": "' || product_id || '"', '')
       || coalesce(', "quantity": ' || quantity, '')
       || coalesce(', "unit_price": ' || price_text, '') || '}' AS clean_payload
   FROM faults), msg AS (
-  SELECT *, CASE WHEN c = 0 THEN 'UNPARSEABLE' WHEN fault IS NOT NULL OR free IS NOT NULL
+  SELECT *, CASE WHEN c IN (0, 8) THEN 'UNPARSEABLE' WHEN fault IS NOT NULL OR free IS NOT NULL
       THEN 'VALIDATION_FAILED' ELSE 'VALID' END AS outcome,
-    CASE WHEN c = 0 THEN 'malformed JSON payload' WHEN fault IS NOT NULL OR free IS NOT NULL
+    CASE WHEN c IN (0, 8) THEN 'malformed JSON payload' WHEN fault IS NOT NULL OR free IS NOT NULL
       THEN concat_ws('; ', fault, free) END AS error,
     2 * n + copy AS "offset", event_timestamp + to_minutes(copy * (n % 10)) AS "timestamp",
     CASE WHEN c = 0 THEN cut ELSE whole END AS payload,
-    CASE WHEN c = 0 THEN '["malformed JSON payload"]'
-      ELSE '[' || concat_ws(',', '"' || fault || '"', '"' || free || '"') || ']' END AS errors
+    CASE WHEN c IN (0, 8) THEN '["malformed JSON payload"]'
+      ELSE '[' || concat_ws(',', '"' || replace(fault, '\\', '\\\\') || '"', '"' || free || '"') || ']' END AS errors
   FROM sent)"""
 
 DLQ = MSG + """, dlq AS (
@@ -69,15 +74,27 @@ DLQ = MSG + """, dlq AS (
     "offset" AS original_offset, payload AS raw_payload,
     strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ') AS failed_at, 0 AS retry_count,
     md5('shop:' || kafka_partition || ':' || "offset" || ':0') AS dlq_id
-  FROM msg WHERE outcome <> 'VALID'), retry AS (
+  FROM msg WHERE outcome <> 'VALID'), sent_again AS (
+  SELECT * REPLACE (unnest(CASE WHEN n % 10 = 3 THEN [0, 1] ELSE [0] END) AS copy) FROM dlq),
+retry AS (
   SELECT * REPLACE (CAST(n % 5 AS INTEGER) AS retry_count,
-      CASE WHEN n % 2 = 0 THEN clean_payload ELSE raw_payload END AS raw_payload),
+      CASE WHEN n % 2 = 0 THEN clean_payload ELSE raw_payload || repeat(' ', copy) END
+        AS raw_payload,
+      CASE WHEN n % 10 = 7 THEN 'unknown' ELSE original_topic END AS original_topic,
+      CASE WHEN n % 10 = 7 THEN -1 ELSE original_partition END AS original_partition,
+      CASE WHEN n % 10 = 7 THEN -1 ELSE original_offset END AS original_offset),
     outcome AS reason, errors AS first_errors,
     CASE WHEN n % 2 = 1 THEN outcome WHEN unit_price <= 0 THEN 'VALIDATION_FAILED'
       ELSE 'VALID' END AS new_outcome,
     CASE WHEN n % 2 = 1 THEN errors WHEN unit_price <= 0 THEN '["invalid unit_price: '
       || CAST(CAST(unit_price AS DOUBLE) AS VARCHAR) || '"]' ELSE '[]' END AS new_errors
-  FROM dlq)"""
+  FROM sent_again), again AS (
+  SELECT key, md5(original_topic || ':' || original_partition || ':' || original_offset || ':'
+      || (retry_count + 1) || ':' || md5(raw_payload) || ':retry:0:' || (2 * n + copy)) AS dlq_id,
+    new_outcome AS reason, new_errors AS errors, original_topic, original_partition,
+    original_offset, raw_payload, retry_count + 1 AS retry_count,
+    CASE WHEN retry_count + 1 >= 3 THEN 'CRITICAL' ELSE 'WARNING' END AS severity
+  FROM retry WHERE new_outcome <> 'VALID')"""
 
 EVENT = "event_id, event_type, event_second AS event_timestamp, user_id, product_id, quantity"
 PRICE = "CAST(unit_price AS DOUBLE) AS unit_price"
@@ -88,6 +105,8 @@ SALES = f"""sales AS (
     CAST(sum(quantity) AS BIGINT) AS units_sold,
     CAST(sum(quantity * unit_price) AS DOUBLE) AS revenue
   FROM raw WHERE event_type = 'PURCHASE' GROUP BY 1)"""
+NEGATIVE_SALES = SALES.replace("FROM raw", """FROM (SELECT * REPLACE (
+    CASE WHEN n % 3 = 0 THEN -quantity ELSE quantity END AS quantity) FROM raw)""")
 FIRST = f"""SELECT {EVENT}, {PRICE}, kafka_partition, 2 * n AS kafka_offset
   FROM msg WHERE outcome = 'VALID' AND copy = 0"""
 
@@ -118,7 +137,7 @@ lags AS (SELECT 'shop' AS topic, CAST(part AS INTEGER) AS "partition", ts, high,
 types AS (SELECT event_type, ts, sum(n) AS n, max(most) AS most, min(least) AS least
   FROM base GROUP BY ALL),
 counts AS (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY ts) AS running FROM types),
-metrics AS (
+hourly AS (
   SELECT 'kafka_topic_partition_current_offset' AS metric,
     '[{"key":"partition","value":"' || part || '"},{"key":"topic","value":"shop"}]' AS series,
     'shop' AS a, part AS b, ts, CAST(high AS DOUBLE) AS value FROM marks
@@ -151,7 +170,17 @@ metrics AS (
     '[{"key":"instance","value":"' || event_type || '"},{"key":"mountpoint","value":"/"}]',
     event_type, '/', ts, least FROM types
   UNION ALL SELECT 'node_load1',
-    '[{"key":"instance","value":"' || event_type || '"}]', event_type, NULL, ts, most FROM types)"""
+    '[{"key":"instance","value":"' || event_type || '"}]', event_type, NULL, ts, most FROM types),
+metrics AS (
+  SELECT * REPLACE (ts + to_seconds(
+    (length(metric) * 11 + ascii(a) * 3 + coalesce(ascii(b), 0) * 7) % 1800) AS ts) FROM hourly)"""
+
+STEPPED = f"""{BASE}, served AS (
+  SELECT *, unnest(range({-(-LOOKBACK // STEP) + 1})) * {STEP}
+    + CAST(ceil(epoch(ts) / {STEP}) AS BIGINT) * {STEP} AS step FROM metrics),
+stepped AS (
+  SELECT metric, series, a, b, make_timestamp(step * 1000000) AS ts, arg_max(value, served.ts) AS value
+  FROM served WHERE step - epoch(served.ts) < {LOOKBACK} GROUP BY metric, series, a, b, step)"""
 
 
 def _rate(condition: str, hours: int) -> str:
@@ -167,6 +196,20 @@ def _rate(condition: str, hours: int) -> str:
   FROM spans WHERE ts > first_ts)"""
 
 
+def _rate_at_steps(condition: str, seconds: int) -> str:
+    return f"""{BASE}, step AS (
+  SELECT *, value - lag(value) OVER (PARTITION BY series ORDER BY ts) AS d
+  FROM metrics WHERE {condition}), rises AS (
+  SELECT *, CASE WHEN d IS NULL THEN 0 WHEN d < 0 THEN value ELSE d END AS rise,
+    CAST(ceil(epoch(ts) / {STEP}) AS BIGINT) * {STEP} AS own FROM step), grid AS (
+  SELECT DISTINCT series, own + k * {STEP} AS t FROM rises, range({seconds // STEP}) steps(k)),
+rates AS (
+  SELECT r.metric, r.a, r.b, r.series, make_timestamp(t * 1000000) AS ts,
+    (sum(rise) - arg_min(rise, r.ts)) / (epoch(max(r.ts)) - epoch(min(r.ts))) AS value
+  FROM grid g JOIN rises r ON r.series = g.series AND epoch(r.ts) <= t AND epoch(r.ts) > t - {seconds}
+  GROUP BY r.metric, r.a, r.b, r.series, t HAVING max(r.ts) > min(r.ts))"""
+
+
 def _islands(source: str, breach: str, hold_hours: int) -> str:
     return f"""marked AS (
   SELECT *, {breach} AS breach, lag({breach}) OVER s AS breach_before, lag(ts) OVER s AS ts_before
@@ -201,24 +244,25 @@ ORACLES = {
         UNION ALL SELECT topic, NULL, NULL, NULL, CAST(sum(high - low) AS BIGINT) FROM per
         GROUP BY topic""",
     "topic_peek": f"""WITH {MSG} SELECT 'shop' AS topic, kafka_partition AS "partition", "offset",
-        user_id AS key, CASE WHEN c = 0 THEN payload
+        user_id AS key, CASE WHEN c IN (0, 8) THEN payload
           ELSE regexp_replace(replace(replace(payload, '": ', '":'), ', "', ',"'),
             '("unit_price":[0-9]+\\.[0-9])0}}$', '\\1}}') END AS value
         FROM msg ORDER BY kafka_partition, "offset" LIMIT 20""",
     "parse_events": f"""WITH {MSG} SELECT kafka_partition AS "partition", "offset",
-        c <> 0 AS parsed, CASE WHEN c <> 0 THEN event_id END AS event_id FROM msg""",
+        c NOT IN (0, 8) AS parsed, CASE WHEN c NOT IN (0, 8) THEN event_id END AS event_id
+        FROM msg""",
     "normalize_events": f"""WITH {MSG} SELECT kafka_partition AS "partition", "offset",
         CASE c WHEN 5 THEN 'UNKNOWN_EVENT' ELSE event_type END AS event_type,
-        CASE WHEN c <> 4 THEN event_second END AS event_timestamp,
+        CASE WHEN c NOT IN (4, 9) THEN event_second END AS event_timestamp,
         CASE WHEN c <> 2 THEN quantity END AS quantity,
         CASE WHEN c <> 3 THEN CAST(unit_price AS DOUBLE) END AS unit_price
-        FROM msg WHERE c <> 0""",
+        FROM msg WHERE c NOT IN (0, 8)""",
     "validate_events": f"""WITH {MSG} SELECT kafka_partition AS "partition", "offset", outcome,
         errors FROM msg""",
     "valid_events": f"""WITH {MSG} SELECT {EVENT}, {PRICE}, kafka_partition,
         "offset" AS kafka_offset FROM msg WHERE outcome = 'VALID'""",
     "route_counts": f"WITH {MSG} SELECT outcome, count(*) AS messages FROM msg GROUP BY outcome",
-    "shape_check": f"""WITH {MSG} SELECT fault IS NULL AND c NOT IN (0, 6) AS well_shaped,
+    "shape_check": f"""WITH {MSG} SELECT fault IS NULL AND c NOT IN (0, 6, 8) AS well_shaped,
         count(*) AS messages FROM msg GROUP BY 1""",
     "dlq_error_text": f"""WITH {MSG} SELECT kafka_partition AS "partition", "offset",
         error AS text FROM msg WHERE error IS NOT NULL""",
@@ -247,7 +291,7 @@ ORACLES = {
     "dedup_ttl_by_user": _ttl("user_id", 6).format(kind="BIGINT"),
     "dedup_ttl_hot_key": _ttl("event_type", 1).format(kind="VARCHAR"),
     "duplicate_summary": f"""WITH {MSG}, copies AS (
-          SELECT event_id, count(*) AS n FROM msg WHERE c <> 0 GROUP BY 1)
+          SELECT event_id, count(*) AS n FROM msg WHERE c NOT IN (0, 8) GROUP BY 1)
         SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_ids,
         count(*) FILTER (WHERE n > 1) AS repeated_ids,
         CAST(sum(n - 1) AS BIGINT) AS surplus_copies FROM copies""",
@@ -269,20 +313,17 @@ ORACLES = {
     "failed_by_reason": f"""WITH {DLQ} SELECT outcome AS reason, count(*) AS failed FROM dlq
         GROUP BY 1""",
     "dlq_replay": f"""WITH {DLQ} SELECT key, '{{"dlq_id":"' || dlq_id || '","reason":"' || reason
-        || '","errors":' || errors || ',"original_topic":"shop","original_partition":'
-        || original_partition || ',"original_offset":' || original_offset || ',"raw_payload":"'
-        || replace(raw_payload, '"', '\\"') || '","failed_at":"' || failed_at
+        || '","errors":' || errors || CASE WHEN n % 10 = 7 THEN
+          ',"original_topic":null,"original_partition":null,"original_offset":null'
+          ELSE ',"original_topic":"shop","original_partition":' || original_partition
+            || ',"original_offset":' || original_offset END || ',"raw_payload":"'
+        || replace(replace(raw_payload, '\\', '\\\\'), '"', '\\"') || '","failed_at":"' || failed_at
         || '","retry_count":' || retry_count || '}}' AS value FROM retry WHERE retry_count < 3""",
-    "dlq_listing": f"""WITH {DLQ} SELECT dlq_id, reason, retry_count, '[shop p'
+    "dlq_listing": f"""WITH {DLQ} SELECT dlq_id, reason, retry_count, '[' || original_topic || ' p'
         || original_partition || ' o' || original_offset || ']' AS original FROM retry""",
     "retry_outcomes": f"""WITH {DLQ} SELECT dlq_id AS retried_id, new_outcome AS outcome,
         new_errors AS errors FROM retry""",
-    "retry_requeued": f"""WITH {DLQ} SELECT key, md5('shop:' || original_partition || ':'
-        || original_offset || ':' || (retry_count + 1)) AS dlq_id, new_outcome AS reason,
-        new_errors AS errors, original_topic, original_partition, original_offset, raw_payload,
-        retry_count + 1 AS retry_count,
-        CASE WHEN retry_count + 1 >= 3 THEN 'CRITICAL' ELSE 'WARNING' END AS severity
-        FROM retry WHERE new_outcome <> 'VALID'""",
+    "retry_requeued": f"WITH {DLQ} SELECT * FROM again",
     "retry_recovered": f"""WITH {DLQ} SELECT {EVENT}, {PRICE}, kafka_partition,
         original_offset AS kafka_offset FROM retry WHERE new_outcome = 'VALID'""",
     "retry_stats": f"""WITH {DLQ} SELECT count(*) AS consumed,
@@ -359,17 +400,21 @@ ORACLES = {
         AND ts > TIMESTAMP '2024-01-20 10:30:00' GROUP BY 1, 2""",
     "counter_rate": f"""WITH {_rate("metric = 'node_cpu_seconds_total'", 6)}
         SELECT a AS cpu, metric, ts, round(value, 9) AS value FROM rates""",
-    "events_per_sec": f"""WITH {_rate(
-        "metric = 'kafka_topic_partition_current_offset' AND a = 'shop'", 1)}
+    "events_per_sec": f"""WITH {_rate_at_steps(
+        "metric = 'kafka_topic_partition_current_offset' AND a = 'shop'", RATE_RANGE)}
         SELECT ts, round(sum(value), 9) AS value FROM rates GROUP BY ts""",
-    "cpu_usage": f"""WITH {_rate("metric = 'node_cpu_seconds_total'", 1)}
+    "cpu_usage": f"""WITH {_rate_at_steps("metric = 'node_cpu_seconds_total'", RATE_RANGE)}
         SELECT ts, round(100 - avg(value) * 100, 7) AS value FROM rates GROUP BY ts""",
-    "cpu_cores": f"""WITH {BASE} SELECT ts, count(*) AS value FROM metrics
+    "cpu_cores": f"""WITH {STEPPED} SELECT ts, count(*) AS value FROM stepped
         WHERE metric = 'node_cpu_seconds_total' GROUP BY ts""",
-    "memory_used": f"""WITH {BASE} SELECT event_type AS instance, ts, most - least AS value
-        FROM types""",
-    "disk_used": f"""WITH {BASE} SELECT event_type AS instance, ts, most - least AS value
-        FROM types""",
+    "memory_used": f"""WITH {STEPPED} SELECT l.a AS instance, l.ts, l.value - r.value AS value
+        FROM stepped l JOIN stepped r ON l.series = r.series AND l.ts = r.ts
+        WHERE l.metric = 'node_memory_MemTotal_bytes'
+        AND r.metric = 'node_memory_MemAvailable_bytes'""",
+    "disk_used": f"""WITH {STEPPED} SELECT l.a AS instance, l.ts, l.value - r.value AS value
+        FROM stepped l JOIN stepped r ON l.series = r.series AND l.ts = r.ts
+        WHERE l.metric = 'node_filesystem_size_bytes'
+        AND r.metric = 'node_filesystem_avail_bytes'""",
     "dlq_total": f"""WITH {BASE} SELECT arg_max(value, ts) AS value FROM metrics
         WHERE metric = 'kafka_topic_partition_current_offset' AND a = 'shop-dlq'
         AND ts <= TIMESTAMP '2024-01-20 12:30:00' AND ts > TIMESTAMP '2024-01-20 10:30:00'""",
@@ -385,40 +430,49 @@ ORACLES = {
         SELECT topic, "partition", ts, high, committed, lag, CASE WHEN before IS NULL THEN ' '
           WHEN lag > before THEN '^' WHEN lag < before THEN 'v' ELSE '=' END AS trend FROM p""",
     "alert_lag": f"""WITH {BASE}, source AS (SELECT * FROM metrics
-        WHERE metric = 'kafka_consumergroup_lag_sum'), {_islands('source', 'value > 85', 3)}
+        WHERE metric = 'kafka_consumergroup_lag_sum'),
+        {_islands('source', f'value > {LAG_LIMIT}', LAG_HOURS)}
         SELECT a AS consumergroup, b AS topic, 'ConsumerLagGrowingUnbounded' AS alert,
         'critical' AS severity, ts, value, active_since, state,
-        a || ' lag stuck above 1000 on ' || b AS summary FROM alerts""",
-    "alert_dlq_rate": f"""WITH {_rate(
-        "metric = 'kafka_topic_partition_current_offset' AND a = 'shop-dlq'", 6)},
+        a || ' lag stuck above {LAG_LIMIT} on ' || b AS summary,
+        'Consumer group ' || a || chr(39) || 's lag on ' || b || ' has been above {LAG_LIMIT} '
+        || 'messages for at least {LAG_HOURS * 60} minutes (' || CAST(value AS BIGINT)
+        || ' now): it is not keeping up or has stopped.' AS description FROM alerts""",
+    "alert_dlq_rate": f"""WITH {_rate_at_steps(
+        "metric = 'kafka_topic_partition_current_offset' AND a = 'shop-dlq'",
+        DLQ_RANGE_HOURS * 3600)},
         source AS (SELECT '' AS series, ts, sum(value) AS value FROM rates GROUP BY ts),
-        {_islands('source', 'value > 0.0008', 2)}
+        {_islands('source', f'value > {DLQ_LIMIT}', DLQ_HOURS)}
         SELECT 'DLQVolumeSpiking' AS alert, 'warning' AS severity, ts, round(value, 9) AS value,
-        active_since, state, 'DLQ receiving messages faster than expected' AS summary
-        FROM alerts""",
+        active_since, state, 'DLQ receiving messages faster than expected' AS summary,
+        'Dead letters have been growing at ' || printf('%.2f', value) || ' msg/sec for at least '
+        || '{DLQ_HOURS * 60} minutes: something upstream keeps producing events that are rejected.'
+        AS description FROM alerts""",
     "alert_down": f"""WITH {BASE}, source AS (SELECT * FROM metrics WHERE metric = 'up'),
-        {_islands('source', 'value = 0', 2)}
+        {_islands('source', 'value = 0', DOWN_HOURS)}
         SELECT a AS job, 'ServiceHealthCheckFailing' AS alert, 'critical' AS severity, ts, value,
-        active_since, state, a || ' target down' AS summary FROM alerts""",
+        active_since, state, a || ' target down' AS summary, 'job=' || a || ' (instance=' || b
+        || ') could not be scraped for at least {DOWN_HOURS * 60} minutes.' AS description
+        FROM alerts""",
     "dq_not_null": f"""WITH {MSG} SELECT 'event_id' AS column_name,
-        count(*) FILTER (WHERE c = 0) AS failures FROM msg
-        UNION ALL SELECT 'event_type', count(*) FILTER (WHERE c = 0) FROM msg
-        UNION ALL SELECT 'event_timestamp', count(*) FILTER (WHERE c IN (0, 4)) FROM msg
-        UNION ALL SELECT 'user_id', count(*) FILTER (WHERE c IN (0, 1)) FROM msg""",
+        count(*) FILTER (WHERE c IN (0, 8)) AS failures FROM msg
+        UNION ALL SELECT 'event_type', count(*) FILTER (WHERE c IN (0, 8)) FROM msg
+        UNION ALL SELECT 'event_timestamp', count(*) FILTER (WHERE c IN (0, 4, 8, 9)) FROM msg
+        UNION ALL SELECT 'user_id', count(*) FILTER (WHERE c IN (0, 1, 8)) FROM msg""",
     "dq_unique": f"""WITH {MSG} SELECT event_id AS value, count(*) AS n_records FROM msg
-        WHERE c <> 0 GROUP BY 1 HAVING count(*) > 1""",
+        WHERE c NOT IN (0, 8) GROUP BY 1 HAVING count(*) > 1""",
     "dq_accepted": f"""WITH {MSG} SELECT 'UNKNOWN_EVENT' AS value, count(*) AS n_records FROM msg
         WHERE c = 5""",
-    "dq_non_negative": f"""WITH {RAW}, {SALES} SELECT * FROM sales
+    "dq_non_negative": f"""WITH {RAW}, {NEGATIVE_SALES} SELECT * FROM sales
         WHERE orders < 0 OR units_sold < 0 OR revenue < 0""",
     "dq_report": f"""WITH {MSG}, {SALES}, k AS (
         SELECT 'unique_event_id' AS "check", (SELECT count(*) FROM (SELECT event_id FROM msg
-          WHERE c <> 0 GROUP BY 1 HAVING count(*) > 1)) AS failures
-        UNION ALL SELECT 'not_null_event_id', count(*) FILTER (WHERE c = 0) FROM msg
-        UNION ALL SELECT 'not_null_event_type', count(*) FILTER (WHERE c = 0) FROM msg
+          WHERE c NOT IN (0, 8) GROUP BY 1 HAVING count(*) > 1)) AS failures
+        UNION ALL SELECT 'not_null_event_id', count(*) FILTER (WHERE c IN (0, 8)) FROM msg
+        UNION ALL SELECT 'not_null_event_type', count(*) FILTER (WHERE c IN (0, 8)) FROM msg
         UNION ALL SELECT 'accepted_values_event_type',
           CAST(max(CASE WHEN c = 5 THEN 1 ELSE 0 END) AS BIGINT) FROM msg
-        UNION ALL SELECT 'not_null_event_timestamp', count(*) FILTER (WHERE c IN (0, 4)) FROM msg
+        UNION ALL SELECT 'not_null_event_timestamp', count(*) FILTER (WHERE c IN (0, 4, 8, 9)) FROM msg
         UNION ALL SELECT 'unique_interval_start', count(*) - count(DISTINCT interval_start) FROM sales
         UNION ALL SELECT 'not_null_interval_start', count(*) - count(interval_start) FROM sales
         UNION ALL SELECT 'not_null_orders', count(*) - count(orders) FROM sales
@@ -429,7 +483,10 @@ ORACLES = {
         SELECT *, failures = 0 AS passed FROM k""",
     "stream_ingest": f"WITH {MSG} {FIRST}",
     "stream_dead_letters": f"""WITH {DLQ} SELECT key, dlq_id, outcome AS reason, errors,
-        original_topic, original_partition, original_offset, raw_payload, retry_count FROM dlq""",
+        original_topic, original_partition, original_offset, raw_payload, retry_count,
+        CAST(NULL AS VARCHAR) AS severity FROM dlq""",
+    "stream_retry": f"""WITH {DLQ} SELECT *, (SELECT count(*) FROM events WHERE event_id % 50 = 1)
+        AS skipped FROM again""",
     "stream_sales": f"WITH {RAW}, {SALES} SELECT * FROM sales",
     "dedup_stream": f"WITH {MSG} SELECT event_id FROM msg WHERE outcome = 'VALID' AND copy = 0",
 }

@@ -124,7 +124,7 @@ def to_messages(spark, sf_dir):
 @query
 def idempotent_insert(spark, sf_dir):
     """Rows a table that already holds some events gains from all messages."""
-    store = EventStore(spark, scratch_folder(spark, "store"), id_splits=4)
+    store = EventStore(spark, scratch_folder(spark, "store"))
     store.insert(fx.stored_events(spark, sf_dir).drop("event_date"))
     store.insert(classify.valid_events(fx.classified(spark, sf_dir)))
     return _plain(store.events().drop("ingested_at", "event_date"))
@@ -235,6 +235,7 @@ def retry_outcomes(spark, sf_dir):
 
 @query
 def retry_requeued(spark, sf_dir):
+    """What failed again, among it two corrections of one letter and records without origin."""
     return _plain(deadletter.requeue(fx.retried(spark, sf_dir)).drop("failed_at"))
 
 
@@ -372,6 +373,17 @@ def processing_latency(spark, sf_dir):
 
 # --- metric samples --------------------------------------------------------------------------
 
+# Evaluation steps, the range of rates and the lookback, in seconds; samples come hourly.
+STEP, RATE_RANGE, LOOKBACK = 1800, 7200, 5400
+LAG_LIMIT, LAG_HOURS = 85, 3
+DLQ_LIMIT, DLQ_RANGE_HOURS, DLQ_HOURS = 0.0008, 6, 2
+DOWN_HOURS = 2
+
+
+def _stepped(samples: DataFrame) -> DataFrame:
+    return series.at_steps(samples, STEP, LOOKBACK)
+
+
 def _labelled(rows: DataFrame, *names: str) -> DataFrame:
     labels = [F.col("labels")[name].alias(name) for name in names]
     return rows.select(*labels, *[c for c in rows.columns if c not in ("labels", "series")])
@@ -402,26 +414,28 @@ def counter_rate(spark, sf_dir):
 def events_per_sec(spark, sf_dir):
     offsets = series.select(
         fx.metrics(spark, sf_dir), "kafka_topic_partition_current_offset", {"topic": fx.TOPIC})
-    return series.total(series.rate(offsets, 3600)).withColumn("value", F.round("value", 9))
+    rates = series.rate_at_steps(offsets, RATE_RANGE, STEP)
+    return series.total(rates).withColumn("value", F.round("value", 9))
 
 
 @query
 def cpu_usage(spark, sf_dir):
     cpu = series.select(fx.metrics(spark, sf_dir), "node_cpu_seconds_total", {"mode": "idle"})
-    return series.busy_percent(series.rate(cpu, 3600)).withColumn("value", F.round("value", 7))
+    return series.busy_percent(series.rate_at_steps(cpu, RATE_RANGE, STEP)).withColumn(
+        "value", F.round("value", 7))
 
 
 @query
 def cpu_cores(spark, sf_dir):
-    return series.count(
-        series.select(fx.metrics(spark, sf_dir), "node_cpu_seconds_total", {"mode": "idle"}))
+    return series.count(_stepped(series.select(
+        fx.metrics(spark, sf_dir), "node_cpu_seconds_total", {"mode": "idle"})))
 
 
 @query
 def memory_used(spark, sf_dir):
     samples = fx.metrics(spark, sf_dir)
-    used = series.minus(series.select(samples, "node_memory_MemTotal_bytes"),
-                        series.select(samples, "node_memory_MemAvailable_bytes"))
+    used = series.minus(_stepped(series.select(samples, "node_memory_MemTotal_bytes")),
+                        _stepped(series.select(samples, "node_memory_MemAvailable_bytes")))
     return _labelled(used, "instance")
 
 
@@ -429,8 +443,8 @@ def memory_used(spark, sf_dir):
 def disk_used(spark, sf_dir):
     samples = fx.metrics(spark, sf_dir)
     used = series.minus(
-        series.select(samples, "node_filesystem_size_bytes", {"mountpoint": "/"}),
-        series.select(samples, "node_filesystem_avail_bytes", {"mountpoint": "/"}))
+        _stepped(series.select(samples, "node_filesystem_size_bytes", {"mountpoint": "/"})),
+        _stepped(series.select(samples, "node_filesystem_avail_bytes", {"mountpoint": "/"})))
     return _labelled(used, "instance")
 
 
@@ -472,22 +486,24 @@ def _marks(spark, sf_dir):
 
 @query
 def alert_lag(spark, sf_dir):
-    rows = alerts.lag_alert(fx.metrics(spark, sf_dir), threshold=85, max_gap_seconds=3600,
-                            hold_seconds=3 * 3600)
+    rows = alerts.lag_alert(fx.metrics(spark, sf_dir), threshold=LAG_LIMIT, max_gap_seconds=3600,
+                            hold_seconds=LAG_HOURS * 3600)
     return _labelled(rows, "consumergroup", "topic")
 
 
 @query
 def alert_dlq_rate(spark, sf_dir):
     rows = alerts.dlq_alert(
-        fx.metrics(spark, sf_dir), f"{fx.TOPIC}-dlq", threshold=0.0008, range_seconds=6 * 3600,
-        max_gap_seconds=3600, hold_seconds=2 * 3600)
+        fx.metrics(spark, sf_dir), f"{fx.TOPIC}-dlq", threshold=DLQ_LIMIT,
+        range_seconds=DLQ_RANGE_HOURS * 3600, max_gap_seconds=3600,
+        hold_seconds=DLQ_HOURS * 3600, step_seconds=STEP)
     return rows.drop("labels").withColumn("value", F.round("value", 9))
 
 
 @query
 def alert_down(spark, sf_dir):
-    rows = alerts.down_alert(fx.metrics(spark, sf_dir), max_gap_seconds=3600, hold_seconds=7200)
+    rows = alerts.down_alert(fx.metrics(spark, sf_dir), max_gap_seconds=3600,
+                             hold_seconds=DOWN_HOURS * 3600)
     return _labelled(rows, "job")
 
 
@@ -517,8 +533,11 @@ def dq_accepted(spark, sf_dir):
 
 @query
 def dq_non_negative(spark, sf_dir):
-    model = sales.sales_by_interval(fx.raw_events(spark, sf_dir))
-    return _plain(model.where("orders < 0 OR units_sold < 0 OR revenue < 0"))
+    """Sales of events of which every third has a negative quantity."""
+    events = fx.raw_events(spark, sf_dir).withColumn("quantity", F.expr(
+        "if(kafka_offset % 3 = 0, -quantity, quantity)"))
+    return _plain(sales.sales_by_interval(events).where(
+        "orders < 0 OR units_sold < 0 OR revenue < 0"))
 
 
 @query
@@ -530,15 +549,20 @@ def dq_report(spark, sf_dir):
 
 # --- streams ---------------------------------------------------------------------------------
 
-def _message_files(spark, sf_dir) -> str:
-    folder = scratch_folder(spark, "messages")
-    fx.messages(spark, sf_dir).repartition(4, "key").write.parquet(folder)
+def _files(rows: DataFrame, name: str, by: str) -> str:
+    """Rows in several files that each span the whole time, as a replay or backfill brings them."""
+    folder = scratch_folder(rows.sparkSession, name)
+    rows.repartition(max(4, rows.count() // 1_000_000), by).write.parquet(folder)
     return folder
 
 
+def _message_files(spark, sf_dir) -> str:
+    return _files(fx.messages(spark, sf_dir), "messages", "offset")
+
+
 def _ingested(spark, sf_dir) -> EventStore:
     stream = message_source.file_stream(spark, _message_files(spark, sf_dir), max_files=2)
-    store = EventStore(spark, scratch_folder(spark, "store"), id_splits=4)
+    store = EventStore(spark, scratch_folder(spark, "store"))
     ingest.start(stream, store, scratch_folder(spark, "offsets"),
                  until_drained=True).awaitTermination()
     return store
@@ -554,11 +578,32 @@ def stream_dead_letters(spark, sf_dir):
     return _plain(_ingested(spark, sf_dir).dead_letters().drop("failed_at"))
 
 
+@query
+def stream_retry(spark, sf_dir):
+    """Letters of retries that failed again, and how many retry messages were no records."""
+    retry = fx.retry_messages(spark, sf_dir).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    junk = fx.table(spark, sf_dir, "events").where("event_id % 50 = 1").selectExpr(
+        "cast(NULL AS binary) AS key", "cast(concat('no record ', event_id) AS binary) AS value",
+        "'retry' AS topic", "0 AS partition", "-event_id AS offset",
+        "cast(NULL AS timestamp) AS timestamp")
+    columns = message_source.COLUMNS
+    rows = retry.select(*columns).unionByName(junk.select(*columns))
+    stream = ingest.with_retries(
+        message_source.file_stream(spark, _message_files(spark, sf_dir)),
+        message_source.file_stream(spark, _files(rows, "retry", "offset"), max_files=1))
+    store = EventStore(spark, scratch_folder(spark, "store"))
+    skipped = []
+    ingest.start(stream, store, scratch_folder(spark, "offsets"), until_drained=True,
+                 on_batch=lambda _, counts: skipped.append(counts["skipped"])).awaitTermination()
+    letters = store.dead_letters().where("retry_count > 0").drop("failed_at")
+    return _plain(letters).withColumn("skipped", F.lit(sum(skipped)).cast("long"))
+
+
 @query
 def stream_sales(spark, sf_dir):
-    folder = scratch_folder(spark, "events")
-    fx.raw_events(spark, sf_dir).write.parquet(folder)
-    stream = spark.readStream.schema(fx.raw_events(spark, sf_dir).schema).parquet(folder)
+    events = fx.raw_events(spark, sf_dir)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(
+        _files(events, "events", "event_id"))
     changes = scratch_folder(spark, "sales")
     sales_stream.start(stream, changes, scratch_folder(spark, "offsets"),
                        until_drained=True).awaitTermination()
@@ -567,7 +612,7 @@ def stream_sales(spark, sf_dir):
 
 @query
 def dedup_stream(spark, sf_dir):
-    stream = message_source.file_stream(spark, _message_files(spark, sf_dir))
+    stream = message_source.file_stream(spark, _message_files(spark, sf_dir), max_files=1)
     events = classify.valid_events(classify.classify(stream))
     once = dedup.drop_recent_stream(events).select("event_id")
     out = scratch_folder(spark, "ids")

@@ -88,6 +88,8 @@ CASES = [
     ({"timestamp": "2024-02-30T00:00:00Z"}, ["invalid timestamp: '2024-02-30T00:00:00Z'"]),
     ({"timestamp": "0000-01-01T00:00:00Z"}, ["invalid timestamp: '0000-01-01T00:00:00Z'"]),
     ({"timestamp": "2024-01-15T24:00:00Z"}, ["invalid timestamp: '2024-01-15T24:00:00Z'"]),
+    ({"timestamp": "2024-01-15T10:00:00Z\n"}, ["invalid timestamp: '2024-01-15T10:00:00Z\\n'"]),
+    ({"timestamp": "2024-01-15T10:00:00Z\r"}, ["invalid timestamp: '2024-01-15T10:00:00Z\\r'"]),
     ({"timestamp": "2024-01-15T10:00:00"}, ["invalid timestamp: '2024-01-15T10:00:00'"]),
     # Fields the type does not need: anything that fits the column passes.
     ({"event_type": "USER_SIGNUP", "quantity": -4, "unit_price": -3}, []),
@@ -112,7 +114,7 @@ def test_price_is_rounded_half_up(messages, event):
     assert classify(messages([event(unit_price=1.005)])).first().unit_price == Decimal("1.01")
 
 
-@pytest.mark.parametrize("tail", [" x", "}", "]", ",", '{"a":1}', ',"a":1', "] {}", "} {}"])
+@pytest.mark.parametrize("tail", ["\u2028", "\u2029", "\u0085", " x", "}", "]", ",", '{"a":1}', ',"a":1', "] {}", "} {}"])
 def test_trailing_text_is_unparseable(messages, event, tail):
     payload = json.dumps(event())
     nested = json.dumps(event(extra={"deep": [1, {"x": "}{"}]}))

@@ -67,6 +67,21 @@ def test_first_wins(spark):
     assert {r.note for r in dedup.first_wins(rows).collect()} == {"first", "only"}
 
 
+def test_ties_have_a_fixed_winner(spark):
+    rows = [("a", 0, 5, note) for note in "qwertz"]
+    schema = "event_id string, kafka_partition int, kafka_offset long, note string"
+    winners = {dedup.first_wins(spark.createDataFrame(order, schema)).first().note
+               for order in (rows, rows[::-1], rows[3:] + rows[:3])}
+    assert len(winners) == 1
+
+
+def test_long_histories_in_small_slices(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SLICE_SPANS", 3)
+    pick = random.Random(4)
+    times = [("hot", pick.choice([0, 900, 40_000]) + pick.randrange(3_000)) for _ in range(300)]
+    assert anchors(sightings(spark, times), 70, 10) == brute_force_anchors(times, 70)
+
+
 def test_copies_are_dropped_before_the_shuffle(spark):
     rows = spark.range(10).select(
         (F.col("id") % 3).cast("string").alias("event_id"),

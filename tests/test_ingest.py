@@ -17,8 +17,8 @@ from tillstream.streaming import sales as sales_stream
 FAST = Settings(write_attempts=2, write_backoff_seconds=0.0)
 
 
-def store_at(spark, path, **options):
-    return EventStore(spark, str(path), id_splits=2, **options)
+def store_at(spark, path):
+    return EventStore(spark, str(path))
 
 
 def run(spark, source, store, offsets, on_batch=None, settings=FAST, retry=None, max_files=1):
@@ -45,7 +45,8 @@ def test_end_to_end(spark, tmp_path, messages, event):
     letter = store.dead_letters().first()
     assert (letter.reason, letter.errors, letter.retry_count, letter.key) == (
         "VALIDATION_FAILED", ["invalid quantity: 'NOT_A_NUMBER'"], 0, "user_1")
-    assert counts == [{"consumed": 4, "invalid": 1, "inserted": 2, "duplicates": 1}]
+    assert counts == [
+        {"consumed": 4, "skipped": 0, "invalid": 1, "inserted": 2, "duplicates": 1}]
 
 
 def test_shuffled_copies(spark, tmp_path, messages, event):
@@ -55,15 +56,13 @@ def test_shuffled_copies(spark, tmp_path, messages, event):
     for part in range(4):
         publish(messages([event(event_id=i) for i in ids[part::4]], first_offset=100 * part),
                 tmp_path / "in")
-    store = store_at(spark, tmp_path / "store", compact_every=2)
+    store = store_at(spark, tmp_path / "store")
     run(spark, tmp_path / "in", store, tmp_path / "offsets")
     assert dedup.surplus_copies(store.events()).first().asDict() == {
         "total_rows": 40, "distinct_ids": 40, "repeated_ids": 0, "surplus_copies": 0}
-    assert store.ids_path.endswith("generation=2") and store.ids().count() == 40
-    assert store_at(spark, tmp_path / "store").ids().count() == 40
 
 
-@pytest.mark.parametrize("broken", ["_add_events", "_add_ids", "add_dead_letters"])
+@pytest.mark.parametrize("broken", ["_add_candidates", "_add_events", "add_dead_letters"])
 def test_restart_after_a_cut_off_batch(spark, tmp_path, messages, event, monkeypatch, broken):
     """The stream dies at one of its writes; a restart loses and repeats nothing."""
     publish(messages([event(event_id=f"e{i}", user_id=f"user_{i % 5}") for i in range(150)]
@@ -76,37 +75,76 @@ def test_restart_after_a_cut_off_batch(spark, tmp_path, messages, event, monkeyp
     monkeypatch.setattr(store, broken, fail)
     with pytest.raises(Exception, match="disk gone"):
         run(spark, tmp_path / "in", store, tmp_path / "offsets")
-    assert store.events().count() == (0 if broken == "_add_events" else 150)
+    assert store.events().count() == (150 if broken == "add_dead_letters" else 0)
     monkeypatch.undo()
     store = store_at(spark, tmp_path / "store")
     run(spark, tmp_path / "in", store, tmp_path / "offsets")
     assert store.events().count() == 150
     assert store.events().select("event_id").distinct().count() == 150
-    assert store.ids().count() == 150
     assert store.dead_letters().count() == 1
 
 
-def test_repeat_between_the_two_writes(spark, tmp_path, messages, event):
-    """Events stored, ids not: the repeated batch finds them in the events themselves."""
+def test_batch_cut_off_while_it_was_added(spark, tmp_path, messages, event, monkeypatch):
+    """Some rows are in the events, the stream did not get to commit: only the rest is added."""
     batch = valid_events(classify(messages([event(event_id="a"), event(event_id="b")])))
     store = store_at(spark, tmp_path / "store")
-    batch.where("event_id = 'a'").withColumn(
-        "event_date", F.col("event_timestamp").cast("date")).write.mode("append").partitionBy(
-        "event_date").parquet(store.events_path)
-    store = store_at(spark, tmp_path / "store")
-    assert store.insert(batch) == 1
-    assert store.events().count() == 2 and store.ids().count() == 2
+    add = EventStore._add_events
+
+    def half(self, rows):
+        add(self, rows.where("event_id = 'a'"))
+        raise OSError("disk gone")
+
+    monkeypatch.setattr(EventStore, "_add_events", half)
+    with pytest.raises(Exception, match="disk gone"):
+        store.insert(batch)
+    monkeypatch.undo()
+    assert store_at(spark, tmp_path / "store").insert(batch) == 1
+    assert sorted(r.event_id for r in store.events().collect()) == ["a", "b"]
 
 
 def test_same_store_after_a_failed_write(spark, tmp_path, messages, event, monkeypatch):
     batch = valid_events(classify(messages([event(event_id="a"), event(event_id="b")])))
     store = store_at(spark, tmp_path / "store")
-    monkeypatch.setattr(EventStore, "_add_ids", lambda *_: 1 / 0)
-    with pytest.raises(ZeroDivisionError):
+    monkeypatch.setattr(EventStore, "_add_events", lambda *_: 1 / 0)
+    with pytest.raises(Exception, match="division by zero"):
         store.insert(batch)
     monkeypatch.undo()
+    assert store.insert_with_retry(batch, 1, 0.0) == 2
     assert store.insert_with_retry(batch, 1, 0.0) == 0
-    assert store.events().count() == 2 and store.ids().count() == 2
+    assert store.events().count() == 2
+
+
+def test_lost_state_is_filled_from_the_events(spark, tmp_path, messages, event):
+    import shutil
+
+    store = store_at(spark, tmp_path / "store")
+    rows = valid_events(classify(messages([event(event_id=i) for i in "abc"])))
+    assert store.insert(rows) == 3
+    shutil.rmtree(store.state_path)
+    later = valid_events(classify(messages([
+        event(event_id=i, timestamp="2025-01-01T00:00:00Z") for i in "bcd"])))
+    assert store_at(spark, tmp_path / "store").insert(later) == 1
+    assert sorted(r.event_id for r in store.events().collect()) == list("abcd")
+
+
+def test_cost_follows_the_batch(spark, tmp_path, messages, event, monkeypatch):
+    """The twentieth batch reads as many rows as the second, and none of the events."""
+    store = store_at(spark, tmp_path / "store")
+    store.insert(valid_events(classify(messages([event(event_id="first")]))))
+    read = []
+    monkeypatch.setattr(store, "events", lambda: 1 / 0)
+    append = store._append
+
+    def watch(fresh):
+        read.append(store.spark.read.parquet(store.candidates_path).count())
+        return append(fresh)
+
+    monkeypatch.setattr(store, "_append", watch)
+    for batch in range(2, 21):
+        rows = messages([event(event_id=f"e{batch}-{i}") for i in range(30)])
+        assert store.insert(valid_events(classify(rows))) == 30
+    # Candidates of the batch before are deleted while the next one runs.
+    assert read[0] <= 31 and max(read) <= 60
 
 
 def test_lost_checkpoint(spark, tmp_path, messages, event):
@@ -181,6 +219,49 @@ def test_dead_letter_round_trip(spark, tmp_path, messages, event):
     assert {r.original_topic for r in again} == {"shop"}
 
 
+def test_retry_path_of_a_running_job(spark, tmp_path, messages, event):
+    """Records, corrections and non-records: letters stay apart, go out, and junk is counted."""
+    publish(messages([event(event_id="x", quantity="x")]), tmp_path / "in")
+    store = store_at(spark, tmp_path / "store")
+    run(spark, tmp_path / "in", store, tmp_path / "offsets")
+    letter = store.dead_letters().withColumn("retry_count", F.lit(2))
+    replay = [deadletter.dlq_messages(letter.withColumn("raw_payload", F.lit(p)))
+              for p in ("{broken", "{also broken", json.dumps(event(event_id="x")))]
+    nowhere = spark.createDataFrame([(None, json.dumps({"raw_payload": f"{{{i}"}).encode())
+                                     for i in range(5)], "key binary, value binary")
+    junk = spark.createDataFrame([(None, b"junk"), (None, b"[1]")], "key binary, value binary")
+    rows = replay[0].unionByName(replay[1]).unionByName(replay[2]).unionByName(nowhere).unionByName(
+        junk).select("key", "value", F.lit("retry").alias("topic"), F.lit(0).alias("partition"),
+                     F.monotonically_increasing_id().alias("offset"),
+                     F.lit(None).cast("timestamp").alias("timestamp"))
+    publish(rows, tmp_path / "retry")
+    counts, sent = [], []
+    stream = ingest.with_retries(file_stream(spark, str(tmp_path / "in")),
+                                 file_stream(spark, str(tmp_path / "retry")))
+    ingest.start(stream, store, str(tmp_path / "offsets2"), FAST, until_drained=True,
+                 on_batch=lambda _, c: counts.append(c),
+                 publish=lambda m: sent.append(m.count())).awaitTermination()
+    assert sum(c["skipped"] for c in counts) == 2
+    assert [r.event_id for r in store.events().collect()] == ["x"]
+    again = store.dead_letters().where("retry_count > 0").collect()
+    assert sorted((r.retry_count, r.severity) for r in again) == (
+        [(1, "WARNING")] * 5 + [(3, "CRITICAL")] * 2)
+    assert sum(sent) == 8  # with the first failure, which was read again
+
+
+def test_stop_lets_the_batch_end(spark, tmp_path, messages, event):
+    publish(messages([event()]), tmp_path / "in")
+    store = store_at(spark, tmp_path / "store")
+    ended = []
+    query = ingest.start(file_stream(spark, str(tmp_path / "in")), store, str(tmp_path / "o"), FAST,
+                         on_batch=lambda *_: ended.append(1))
+    while not query.status["isTriggerActive"] and not ended:
+        pass
+    ingest.stop_after_batch(query)
+    assert not query.isActive and query.exception() is None
+    assert store.events().count() == len(ended) <= 1
+
+
 def test_read_dlq_defaults_and_skips(spark):
     rows = spark.createDataFrame(
         [(b"k", b'{"dlq_id": "1"}'), (None, b"[1]"), (None, b"{"), (None, b'{"dlq_id":"2"} x')],
@@ -217,6 +298,31 @@ def test_recent_ids_in_a_stream(spark, tmp_path, messages, event):
     assert sorted(r.event_id for r in found) == ["a", "b"]
 
 
+def test_streams_never_lose_late_rows(spark, tmp_path, messages, event):
+    """Days out of order, one file per micro-batch: a sale 40 days late counts all the same."""
+    days = ["2024-03-01", "2024-01-20", "2024-02-28", "2024-01-20"]
+    store = store_at(spark, tmp_path / "store")
+    for i, day in enumerate(days):
+        part = messages([event(event_id=f"e{min(i, 2)}", timestamp=f"{day}T10:00:00Z")],
+                        first_offset=i)
+        publish(part, tmp_path / "in")
+        valid_events(classify(part)).withColumn("event_date", F.col("event_timestamp").cast("date")
+                                                ).write.mode("append").parquet(str(tmp_path / "ev"))
+    once = dedup.drop_recent_stream(valid_events(classify(file_stream(
+        spark, str(tmp_path / "in"), 1))))
+    once.select("event_id").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "o")).trigger(availableNow=True).start(
+    ).awaitTermination()
+    found = spark.read.schema("event_id string").parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.event_id for r in found) == ["e0", "e1", "e2"]
+    stream = spark.readStream.schema(store.events().schema).option("maxFilesPerTrigger", 1).parquet(
+        str(tmp_path / "ev"))
+    sales_stream.start(stream, str(tmp_path / "sales"), str(tmp_path / "o2"),
+                       until_drained=True).awaitTermination()
+    rows = sales_stream.current(spark, str(tmp_path / "sales")).orderBy("interval_start").collect()
+    assert [(r.interval_start.month, r.orders) for r in rows] == [(1, 2), (2, 1), (3, 1)]
+
+
 def test_sales_stream_over_batches_and_replay(spark, tmp_path, messages, event):
     store = store_at(spark, tmp_path / "store")
     schema = store.events().schema

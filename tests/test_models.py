@@ -51,7 +51,7 @@ def test_partial_aggregation_and_pruning(spark, tmp_path, golden):
 
 
 def test_time_range_reaches_the_partitions(spark, tmp_path, golden):
-    store = EventStore(spark, str(tmp_path), id_splits=1)
+    store = EventStore(spark, str(tmp_path))
     store.insert(golden)
     rows = time_range(store.events(), "2020-06-15 11:00:00", "2020-06-15 12:00:00")
     assert rows.count() == 3
@@ -60,7 +60,7 @@ def test_time_range_reaches_the_partitions(spark, tmp_path, golden):
 
 
 def test_layers_build_and_tests(spark, tmp_path, golden):
-    store = EventStore(spark, str(tmp_path / "store"), id_splits=1)
+    store = EventStore(spark, str(tmp_path / "store"))
     store.insert(golden)
     warehouse.create_layers(spark, str(tmp_path / "wh"))
     warehouse.register_events(spark, store.events_path)
@@ -177,7 +177,9 @@ def test_source_options(monkeypatch):
     settings = Settings()
     assert message_source.kafka_options(settings) == {
         "kafka.bootstrap.servers": "broker:1", "startingOffsets": "earliest",
-        "failOnDataLoss": "true", "subscribe": "mine"}
+        "failOnDataLoss": "true", "subscribe": "mine", "groupIdPrefix": "ingestion-service"}
+    assert message_source.kafka_options(settings, settings.retry_topic)["groupIdPrefix"] == (
+        "retry-service")
     picked = message_source.kafka_options(settings, partitions=[2], starting="latest")
     assert picked["assign"] == '{"mine": [2]}' and picked["startingOffsets"] == "latest"
     assert relational.jdbc_options(settings, "raw.events")["url"] == (

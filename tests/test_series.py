@@ -76,6 +76,40 @@ def test_sum_average_count_minus(spark):
     assert series.busy_percent(samples(spark, [("i", {}, 0, 0.25)])).first().value == 75
 
 
+def test_steps_line_series_up(spark):
+    """Three counters at 1/s each, scraped 7 s apart: 3/s in total at every step."""
+    rows = samples(spark, [("c", {"s": str(k)}, t + 7 * k, t + 7 * k)
+                           for k in range(3) for t in range(0, 600, 30)])
+    found = {seconds(r.ts): r.value
+             for r in series.total(series.rate_at_steps(rows, 120, 30)).collect()}
+    assert all(found[t] == pytest.approx(3.0) for t in range(90, 600, 30))
+
+
+def test_values_at_steps(spark):
+    rows = samples(spark, [("m", {"a": "x"}, 10, 1), ("m", {"a": "x"}, 55, 2),
+                           ("m", {"a": "x"}, 60, 3), ("m", {"a": "x"}, 200, 4)])
+    found = sorted((seconds(r.ts), r.value) for r in series.at_steps(rows, 30, 70).collect())
+    assert found == [(30, 1.0), (60, 3.0), (90, 3.0), (120, 3.0), (210, 4.0), (240, 4.0)]
+
+
+def test_rate_at_steps_against_brute_force(spark):
+    pick = random.Random(8)
+    rows, points, t, total = [], [], 0, 0
+    for _ in range(150):
+        t += pick.choice([3, 10, 25, 90])
+        total = pick.randrange(4) if pick.random() < 0.1 else total + pick.randrange(9)
+        points.append((t, total))
+    rows = samples(spark, [("c", {}, t, v) for t, v in points])
+    expected = {}
+    for step in range(0, t + 120, 20):
+        inside = [p for p in points if step - 80 < p[0] <= step]
+        if len(inside) > 1:
+            rise = sum(b - a if b >= a else b for (_, a), (_, b) in zip(inside, inside[1:]))
+            expected[step] = rise / (inside[-1][0] - inside[0][0])
+    found = {seconds(r.ts): r.value for r in series.rate_at_steps(rows, 80, 20).collect()}
+    assert found == pytest.approx(expected)
+
+
 def test_previous_is_carried_over_slices(spark):
     rows = samples(spark, [("m", {}, s, s) for s in (0, 50, 99, 100, 500, 501)]).withColumn(
         "k", F.lit("k"))
@@ -125,10 +159,16 @@ def test_lag_and_dlq_rules(spark):
     assert {r.labels["consumergroup"] for r in firing} == {"ingestion-service"}
     assert min(seconds(r.ts) for r in firing) == 600
     assert firing[0].summary == "ingestion-service lag stuck above 1000 on t"
+    assert "above 1000 messages for at least 10 minutes (1001 now)" in firing[0].description
+    low = alerts.lag_alert(samples(spark, groups), threshold=85, hold_seconds=90).first()
+    assert "above 85 on" in low.summary and "above 85 messages for at least 1.5 minutes" in (
+        low.description)
     offsets = [("kafka_topic_partition_current_offset", {"topic": "d", "partition": "0"}, s, s / 5)
                for s in range(0, 901, 60)]
     firing = alerts.dlq_alert(samples(spark, offsets), "d").where("state = 'firing'").collect()
+    # Two samples, 60 s apart, give the first rate.
     assert min(seconds(r.ts) for r in firing) == 360
+    assert "growing at 0.20 msg/sec" in firing[0].description
 
 
 def test_consumer_lag_and_trend(spark):

@@ -10,11 +10,12 @@ from tillstream.schemas import WIRE_FIELDS
 
 # Token shapes.
 JSON_SPACE = r"[ \t\r\n]*"
-INTEGER = r"^[+-]?[0-9]+$"
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# `$` would also match before a last line end, `\z` does not.
+INTEGER = r"^[+-]?[0-9]+\z"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 EVENT_TIME = (
     r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-    r"[Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}[Zz]$"
+    r"[Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}[Zz]\z"
 )
 
 
@@ -44,7 +45,7 @@ def is_one_object(text: str) -> str:
     ordinary events the two extra scans of `is_single_value`.
     """
     return f"""CASE
-        WHEN {text} RLIKE r'^{JSON_SPACE}\\{{[^{{}}]*\\}}{JSON_SPACE}$' THEN true
+        WHEN {text} RLIKE r'^{JSON_SPACE}\\{{[^{{}}]*\\}}{JSON_SPACE}\\z' THEN true
         WHEN {text} RLIKE r'^{JSON_SPACE}\\{{' THEN {is_single_value(text)}
         ELSE false END"""
 

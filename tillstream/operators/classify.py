@@ -45,6 +45,10 @@ def _add(rows: DataFrame, **columns: str) -> DataFrame:
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Adds `payload`, `parsed` (the JSON object was readable) and `wire` (its fields as text)."""
+    return once(_parse(messages))
+
+
+def _parse(messages: DataFrame) -> DataFrame:
     prepare(messages.sparkSession)
     rows = _add(
         messages,
@@ -192,17 +196,14 @@ def validate_messages(normalized: DataFrame) -> DataFrame:
     )
 
 
-def _once(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """The same rows, computed once each.
+def once(rows: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
+    """The same rows, or those columns of them, computed once each.
 
-    A filter on `outcome` or a field would otherwise be pushed down by copying the expressions
-    behind it, parsing every payload again per copy. Filters stop at a generator. Payloads that
-    could not be read have no fields.
+    A filter on a field would otherwise be pushed down by copying the expressions behind it,
+    parsing every payload again per copy. Filters stop at a generator.
     """
-    row = ", ".join(
-        f"'{name}', " + (f"if(parsed, {name}, NULL)" if name in EVENT_COLUMNS else f"`{name}`")
-        for name in columns
-    )
+    columns = columns or {name: f"`{name}`" for name in rows.columns}
+    row = ", ".join(f"'{name}', {value}" for name, value in columns.items())
     return rows.select(F.expr(f"inline(array(named_struct({row})))"))
 
 
@@ -212,8 +213,11 @@ def classify(messages: DataFrame) -> DataFrame:
     Takes `key, value, topic, partition, offset, timestamp`; further columns are carried along.
     """
     extra = [name for name in messages.columns if name not in MESSAGE_COLUMNS]
-    rows = validate_messages(normalize_messages(parse_messages(messages)))
-    return _once(rows, [*CLASSIFIED_COLUMNS, *extra])
+    rows = validate_messages(normalize_messages(_parse(messages)))
+    # Payloads that could not be read have no fields.
+    return once(rows, {
+        name: f"if(parsed, {name}, NULL)" if name in EVENT_COLUMNS else f"`{name}`"
+        for name in [*CLASSIFIED_COLUMNS, *extra]})
 
 
 def valid_events(classified: DataFrame, ingested_at: Column | None = None) -> DataFrame:

@@ -14,18 +14,21 @@ from tillstream.session import enable_checkpoints
 
 # Ids with more distinct sighting times than this are followed by joins, not folded as an array.
 FOLD_LIMIT = 1024
+# How many time-to-live spans of an id are ordered together.
+SLICE_SPANS = 4096
 
 
 def first_wins(
     events: DataFrame, keys: tuple[str, ...] = ("event_id",),
     order: tuple[str, ...] = ("kafka_partition", "kafka_offset"),
 ) -> DataFrame:
-    """One row per key, the one that comes first in `order`.
+    """One row per key, the one that comes first in `order`; of equals always the same one.
 
     The limit of one row per key is applied within each task before the shuffle as well, so an id
     with very many copies sends one row per task.
     """
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    tie = F.xxhash64(*[c for c in events.columns if c != "ingested_at"])
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, tie))
     return events.withColumn("nth_copy", nth).where(F.col("nth_copy") == 1).drop("nth_copy")
 
 
@@ -72,7 +75,7 @@ def _next_anchor(times: DataFrame, key: str, ttl: int) -> DataFrame:
 
     Time is cut into spans of `ttl`. A limit `at + ttl` falls into the span after `at`'s own, so
     each span of an id is searched on its own; failing that, the next span that holds anything
-    starts with the answer. Only one row per id and span is ever ordered over a whole id.
+    starts with the answer.
     """
     span = (F.col("at") - F.pmod("at", F.lit(ttl))) / ttl
     points = times.select(
@@ -84,10 +87,7 @@ def _next_anchor(times: DataFrame, key: str, ttl: int) -> DataFrame:
     both = points.unionByName(limits)
     later_in_span = Window.partitionBy(key, "span").orderBy(F.desc("at")).rangeBetween(
         Window.unboundedPreceding, -1)
-    later_spans = Window.partitionBy(key).orderBy(F.desc("span")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    spans = both.groupBy(key, "span").agg(F.min("point").alias("first")).select(
-        key, "span", F.min("first").over(later_spans).alias("after"))
+    spans = _with_later(both.groupBy(key, "span").agg(F.min("point").alias("first")), key)
     found = both.withColumn("inside", F.min("point").over(later_in_span)).where(
         F.col("origin").isNotNull())
     return found.join(spans, [key, "span"]).select(
@@ -95,6 +95,23 @@ def _next_anchor(times: DataFrame, key: str, ttl: int) -> DataFrame:
     ).where(F.col("next").isNotNull())
 
 
+def _with_later(spans: DataFrame, key: str) -> DataFrame:
+    """Adds `after`, the least `first` of an id's later spans.
+
+    Spans are looked at in slices of `SLICE_SPANS`; what lies beyond a slice comes from one row
+    per id and slice, so that an id seen for years at a short ttl is not ordered in one task.
+    """
+    sliced = spans.withColumn("slice", F.floor(F.col("span") / SLICE_SPANS))
+    backward = [Window.unboundedPreceding, -1]
+    in_slice = Window.partitionBy(key, "slice").orderBy(F.desc("span")).rowsBetween(*backward)
+    over_slices = Window.partitionBy(key).orderBy(F.desc("slice")).rowsBetween(*backward)
+    beyond = sliced.groupBy(key, "slice").agg(F.min("first").alias("first")).select(
+        key, "slice", F.min("first").over(over_slices).alias("beyond"))
+    inside = sliced.withColumn("inside", F.min("first").over(in_slice))
+    return inside.join(beyond, [key, "slice"]).select(
+        key, "span", F.coalesce("inside", "beyond").alias("after"))
+
+
 def _follow_anchors(times: DataFrame, key: str, ttl: int) -> DataFrame:
     """Anchors of ids with long histories: follow the next-anchor links, doubling the stride.
 
@@ -153,7 +170,11 @@ def drop_recent(
 
 def drop_recent_stream(
     stream: DataFrame, ttl_seconds: float = 300.0, key: str = "event_id",
-    ts: str = "event_timestamp",
 ) -> DataFrame:
-    """Streaming form: state is kept for one time-to-live of event time, then forgotten."""
-    return stream.withWatermark(ts, f"{ttl_seconds} seconds").dropDuplicatesWithinWatermark([key])
+    """Streaming form: an id is remembered for one time-to-live after it was first seen.
+
+    What counts is the time at which the stream sees a row, so no row is ever too late, whatever
+    time it carries; a first sighting always passes.
+    """
+    return stream.withColumn("seen_at", F.current_timestamp()).withWatermark(
+        "seen_at", f"{ttl_seconds} seconds").dropDuplicatesWithinWatermark([key]).drop("seen_at")

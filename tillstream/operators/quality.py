@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.session import enable_checkpoints
+
 
 @dataclass(frozen=True)
 class NotNull:
@@ -45,7 +47,8 @@ class NoRowWhere:
     condition: str
 
     def failures(self) -> Column:
-        return F.count_if(F.expr(self.condition))
+        """Over a table in which the condition is a column of this name."""
+        return F.count_if(F.col(self.name))
 
 
 @dataclass(frozen=True)
@@ -81,7 +84,14 @@ def unaccepted_values(table: DataFrame, column: str, accepted: list) -> DataFram
 
 
 def report(table: DataFrame, checks: list) -> DataFrame:
-    """`check, failures, passed` - one pass for all row tests, one aggregation per unique column."""
+    """`check, failures, passed` - one pass for all row tests, one aggregation per unique column.
+
+    What the tests look at is written once, so that a table that parses its input parses it once.
+    """
+    enable_checkpoints(table.sparkSession)
+    columns = sorted({c.column for c in checks if not isinstance(c, NoRowWhere)})
+    table = table.select(*columns, *[
+        F.expr(c.condition).alias(c.name) for c in checks if isinstance(c, NoRowWhere)]).checkpoint()
     row_checks = [c for c in checks if not isinstance(c, Unique)]
     parts = []
     if row_checks:

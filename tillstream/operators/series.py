@@ -27,7 +27,7 @@ def select(
     for name, value in (equal or {}).items():
         rows = rows.where(F.coalesce(F.col("labels")[name], F.lit("")) == value)
     for name, pattern in (matching or {}).items():
-        rows = rows.where(F.coalesce(F.col("labels")[name], F.lit("")).rlike(f"^(?:{pattern})$"))
+        rows = rows.where(F.coalesce(F.col("labels")[name], F.lit("")).rlike(rf"^(?:{pattern})\z"))
     return rows
 
 
@@ -66,6 +66,64 @@ def rate(samples: DataFrame, range_seconds: int) -> DataFrame:
         ((F.col("total") - F.col("start.total")) / seconds).alias("value"))
 
 
+def _step_of(ts: str, step_seconds: int) -> Column:
+    """Microseconds of the first step at or after a time."""
+    step = step_seconds * 1_000_000
+    return (F.ceil(F.unix_micros(ts) / F.lit(step)) * step).cast("long")
+
+
+def at_steps(samples: DataFrame, step_seconds: int, lookback_seconds: int = 300) -> DataFrame:
+    """The value of each series at every step: its last sample, unless older than the lookback.
+
+    Steps are multiples of `step_seconds`, the same for all series, so that sums and differences
+    of series sampled at different times line up. Only the last sample before a step counts, and
+    only that is passed on to the steps within the lookback.
+    """
+    step = step_seconds * 1_000_000
+    last = samples.withColumn("series", series_key(F.col("labels"))).groupBy(
+        "metric", "series", _step_of("ts", step_seconds).alias("first")).agg(
+        F.max_by("labels", "ts").alias("labels"), F.max_by("value", "ts").alias("value"),
+        F.max(F.unix_micros("ts")).alias("at"))
+    reach = F.col("at") + lookback_seconds * 1_000_000 - 1
+    served = last.where(F.col("first") <= reach).withColumn(
+        "step", F.explode(F.sequence("first", reach, F.lit(step).cast("long"))))
+    return served.groupBy("metric", "series", "step").agg(
+        F.max_by("labels", "at").alias("labels"), F.max_by("value", "at").alias("value")).select(
+        "metric", "series", "labels", F.timestamp_micros("step").alias("ts"), "value")
+
+
+def rate_at_steps(samples: DataFrame, range_seconds: int, step_seconds: int) -> DataFrame:
+    """Increase per second of each counter at every step, over the samples of the range before it.
+
+    As `rate`, but at times that all series share; the range is open at its start and a multiple
+    of the step. Samples are folded to one row per series and step before ranges are taken.
+    """
+    if range_seconds % step_seconds:
+        raise ValueError("the range must be a multiple of the step")
+    step, reach = step_seconds * 1_000_000, (range_seconds - step_seconds) * 1_000_000
+    rows = timeline.with_previous(
+        samples.withColumn("series", series_key(F.col("labels"))), ["metric", "series"], "ts",
+        ["value"])
+    before = F.col("previous.value")
+    rise = F.when(before.isNull(), F.lit(0.0)).when(
+        F.col("value") >= before, F.col("value") - before).otherwise(F.col("value"))
+    folded = rows.withColumn("rise", rise).groupBy(
+        "metric", "series", _step_of("ts", step_seconds).alias("own")).agg(
+        F.max_by("labels", "ts").alias("labels"), F.sum("rise").alias("rise"),
+        F.min_by("rise", "ts").alias("first_rise"),
+        F.min(F.unix_micros("ts")).alias("first_at"), F.max(F.unix_micros("ts")).alias("last_at"))
+    served = folded.withColumn("step", F.explode(F.sequence(
+        "own", F.col("own") + reach, F.lit(step).cast("long"))))
+    # What the earliest sample rose lies before the range.
+    rates = served.groupBy("metric", "series", "step").agg(
+        F.max_by("labels", "last_at").alias("labels"),
+        (F.sum("rise") - F.min_by("first_rise", "first_at")).alias("rise"),
+        ((F.max("last_at") - F.min("first_at")) / F.lit(1_000_000)).alias("seconds"))
+    return rates.where("seconds > 0").select(
+        "metric", "series", "labels", F.timestamp_micros("step").alias("ts"),
+        (F.col("rise") / F.col("seconds")).alias("value"))
+
+
 def _aggregate(samples: DataFrame, value: Column, by: tuple[str, ...]) -> DataFrame:
     names = [F.col("labels")[name].alias(name) for name in by]
     return samples.groupBy("ts", *names).agg(value.alias("value"))

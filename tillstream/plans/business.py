@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tillstream.plans.sales import amount, purchases
 
+LATENCY_BIN = 4096
+
 
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole to two digits, 0 when there is no whole."""
@@ -56,9 +58,9 @@ def event_breakdown(events: DataFrame) -> DataFrame:
 
 
 def type_mix(events: DataFrame, column: str = "event_type") -> DataFrame:
-    """Events per type with their percentage of all; the total is a scalar, not a window."""
-    total = events.agg(F.count("*").alias("total")).scalar()
+    """Events per type with their percentage of all; the total is summed from the counts."""
     counts = events.groupBy(column).agg(F.count("*").alias("count"))
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
     return counts.withColumn("share", F.round(F.lit(100) * F.col("count") / total, 1))
 
 
@@ -125,18 +127,39 @@ def events_per_minute(events: DataFrame) -> DataFrame:
 
 def processing_latency(events: DataFrame, percentiles: tuple[float, ...] = (0.5, 0.95, 0.99)
                        ) -> DataFrame:
-    """Whole seconds from event to storage: percentiles over all events.
+    """Whole seconds from event to storage: percentiles over all events, between ranks in line.
 
-    Equal latencies are counted first, so what is ranked is a histogram as long as the widest
-    latency in seconds, whatever the number of events.
+    Equal latencies are counted first. Ranks come from two levels of cumulated counts, bins of
+    `LATENCY_BIN` seconds and the seconds inside a bin, so no task orders all latencies.
     """
     latency = F.floor(
         (F.unix_micros("ingested_at") - F.unix_micros("event_timestamp")) / F.lit(1_000_000))
-    histogram = events.groupBy(latency.cast("long").alias("seconds")).agg(F.count("*").alias("n"))
-    return histogram.agg(
-        F.sum("n").alias("events"), F.max("seconds").alias("max_seconds"),
-        *[F.percentile("seconds", p, F.col("n")).alias(f"p{round(p * 100)}_seconds")
-          for p in percentiles])
+    histogram = events.where(latency.isNotNull()).groupBy(
+        latency.cast("long").alias("seconds")).agg(F.count("*").alias("n")).withColumn(
+        "bin", F.floor(F.col("seconds") / LATENCY_BIN))
+    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("bin").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    bins = histogram.groupBy("bin").agg(F.sum("n").alias("n")).select(
+        "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below"),
+        F.sum("n").over(everything).alias("events"))
+    in_bin = Window.partitionBy("bin").orderBy("seconds").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = histogram.withColumn("inside", F.sum("n").over(in_bin)).join(bins, "bin").select(
+        "seconds", "n", "events", (F.col("below") + F.col("inside")).alias("upto"))
+
+    def at_rank(rank: Column) -> Column:
+        here = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+        return F.max(F.when(here, F.col("seconds")))
+
+    figures = [F.coalesce(F.max("events"), F.lit(0)).alias("events"),
+               F.max("seconds").alias("max_seconds")]
+    for p in percentiles:
+        rank = F.lit(p) * (F.col("events") - 1)
+        low, high = at_rank(F.floor(rank)), at_rank(F.ceil(rank))
+        part = F.max(rank - F.floor(rank))
+        figures.append((low + (high - low) * part).alias(f"p{round(p * 100)}_seconds"))
+    return ranked.agg(*figures)
 
 
 def user_events(events: DataFrame, user_id: str) -> DataFrame:

@@ -26,7 +26,6 @@ class Settings:
     # Offsets advance once per micro-batch, so this is both the batch and the commit size.
     max_per_batch: int = _number("COMMIT_BATCH_SIZE", 5_000_000)
     batch_interval_seconds: float = _number("COMMIT_INTERVAL_SECONDS", 2.0, float)
-    dedup_ttl_seconds: float = _number("DEDUP_CACHE_TTL_SECONDS", 300.0, float)
     write_attempts: int = _number("DB_RETRY_ATTEMPTS", 5)
     write_backoff_seconds: float = _number("DB_RETRY_BACKOFF_SECONDS", 2.0, float)
     retry_max_attempts: int = _number("RETRY_MAX_ATTEMPTS", 3)

@@ -1,9 +1,10 @@
-"""The raw table, the ids it holds, and the dead letters, as parquet below one folder.
+"""The raw table and the dead letters, as parquet below one folder.
 
-Parquet has no unique constraint, so there must be one writer at a time. The id table has one
-narrow column, split by a hash of the id: a batch reads only the splits its ids fall into and
-never the events themselves. Every batch adds small files to it, so it is rewritten as a new
-generation from time to time; it can always be derived from the events again.
+Parquet has no unique constraint, so there must be one writer at a time. What a batch wants to add
+is written as candidates, each id once; a stream reads these, drops the ids its state has seen and
+appends the rest to the events. The state holds every id ever stored (in RocksDB, saved as
+changes), so what a batch costs follows the batch and not the history. Candidates are deleted once
+they are stored. Should the state be lost, it is filled again from the ids of the stored events.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,38 +25,41 @@ from tillstream.session import prepare
 
 logger = logging.getLogger(__name__)
 
-ID_SCHEMA = T.StructType([
-    T.StructField("event_id", T.StringType()), T.StructField("id_split", T.IntegerType())])
-DEAD_LETTER_SCHEMA = T.StructType([T.StructField("key", T.StringType()), *DLQ_SCHEMA.fields])
+DEAD_LETTER_SCHEMA = T.StructType([
+    T.StructField("key", T.StringType()), *DLQ_SCHEMA.fields,
+    T.StructField("severity", T.StringType())])
+# `stored` marks ids that only have to become known.
+CANDIDATE_SCHEMA = T.StructType([
+    *(T.StructField(f.name, f.dataType) for f in RAW_TABLE_SCHEMA),
+    T.StructField("stored", T.BooleanType())])
 
 
 class EventStore:
-    def __init__(
-        self, spark: SparkSession, root: str, id_splits: int = 256, compact_every: int = 200,
-    ):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
-        self.id_splits = id_splits
-        self.compact_every = compact_every
-        self._batches = 0
-        self._generation = self._newest_generation()
         for path, schema, split in [
-            (self.events_path, RAW_TABLE_SCHEMA, "event_date"), (self.ids_path, ID_SCHEMA, "id_split"),
+            (self.events_path, RAW_TABLE_SCHEMA, "event_date"),
+            (self.candidates_path, CANDIDATE_SCHEMA, None),
             (self.dead_letters_path, DEAD_LETTER_SCHEMA, None),
         ]:
             writer = spark.createDataFrame([], schema).write.mode("ignore")
             (writer.partitionBy(split) if split else writer).parquet(path)
-        # A batch may be a repeat of one that was cut off, but only the first after a start or a
-        # failed write.
-        self._may_repeat = not self.events().isEmpty()
+        # Whether candidates of a run that was cut off may be waiting, or be half stored.
+        self._unsettled = True
+        self._settling = self._rebuilding = False
 
     @property
     def events_path(self) -> str:
         return f"{self.root}/raw/events"
 
     @property
-    def ids_path(self) -> str:
-        return f"{self.root}/raw/event_ids/generation={self._generation}"
+    def candidates_path(self) -> str:
+        return f"{self.root}/raw/candidates"
+
+    @property
+    def state_path(self) -> str:
+        return f"{self.root}/raw/state"
 
     @property
     def dead_letters_path(self) -> str:
@@ -63,9 +68,6 @@ class EventStore:
     def events(self) -> DataFrame:
         return self.spark.read.schema(RAW_TABLE_SCHEMA).parquet(self.events_path)
 
-    def ids(self) -> DataFrame:
-        return self.spark.read.schema(ID_SCHEMA).parquet(self.ids_path)
-
     def dead_letters(self) -> DataFrame:
         """Dead letters, once each: a repeated batch writes the same ids again."""
         rows = self.spark.read.schema(DEAD_LETTER_SCHEMA).parquet(self.dead_letters_path)
@@ -74,87 +76,79 @@ class EventStore:
     def insert(self, events: DataFrame) -> int:
         """Stores events whose id is new and returns how many; of several copies the first wins.
 
-        Events are written before their ids. When a run is cut off in between, the batch comes
-        again and its ids are looked up in the events of the days it touches as well.
+        What an earlier, failed call left behind is stored first and counted as well.
         """
-        batch = first_wins(events).withColumn("id_split", self._split()).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        try:
-            unknown = new_rows(batch, stored_hits(self._touched_ids(batch), batch)).persist(
-                StorageLevel.MEMORY_AND_DISK)
-            try:
-                repeat, self._may_repeat = self._may_repeat, True
-                inserted = self._write(unknown, unknown.count(), repeat)
-            finally:
-                unknown.unpersist()
-        finally:
-            batch.unpersist()
-        self._may_repeat = False
-        self._batches += 1
-        if self._batches % self.compact_every == 0:
-            self.compact_ids()
+        inserted = self._settle()
+        self._unsettled = True
+        self._add_candidates(first_wins(events).withColumns({
+            "event_date": F.col("event_timestamp").cast("date"), "stored": F.lit(False)}))
+        inserted += self._drain()
+        self._unsettled = False
         return inserted
 
-    def _write(self, unknown: DataFrame, count: int, repeat: bool) -> int:
-        """Adds rows whose ids are not in the id table; on a repeat some may be stored already."""
-        if count == 0:
+    def _settle(self) -> int:
+        if not self._unsettled:
             return 0
-        fresh = unknown
-        if repeat:
-            fresh = self._not_in_events(unknown)
-            count = fresh.count()
-        if count:
-            self._add_events(fresh)
-        self._add_ids(unknown)
+        if not self._has_state() and not self.events().isEmpty():
+            self._rebuilding = True
+            self._add_candidates(self.events().withColumn("stored", F.lit(True)))
+        self._settling = True
+        inserted = self._drain()
+        self._unsettled = self._settling = self._rebuilding = False
+        return inserted
+
+    def _has_state(self) -> bool:
+        try:
+            return not self.spark.read.text(f"{self.state_path}/metadata").isEmpty()
+        except AnalysisException:
+            return False
+
+    def _add_candidates(self, rows: DataFrame) -> None:
+        rows.select(*CANDIDATE_SCHEMA.fieldNames()).write.mode("append").parquet(
+            self.candidates_path)
+
+    def _drain(self) -> int:
+        """Passes waiting candidates through the stream that knows all ids."""
+        added: list[int] = []
+
+        def append(batch: DataFrame, _: int) -> None:
+            added.append(self._append(batch.where("NOT stored").drop("stored")))
+
+        waiting = self.spark.readStream.schema(CANDIDATE_SCHEMA).option(
+            "cleanSource", "delete").parquet(self.candidates_path)
+        waiting.dropDuplicates(["event_id"]).writeStream.foreachBatch(append).option(
+            "checkpointLocation", self.state_path).trigger(availableNow=True).start(
+        ).awaitTermination()
+        return sum(added)
+
+    def _append(self, fresh: DataFrame) -> int:
+        """Adds rows with new ids; a batch that was cut off while it was added comes again."""
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        rest = fresh
+        try:
+            if self._rebuilding:
+                rest = new_rows(fresh, self.events())
+            elif self._settling and not fresh.isEmpty():
+                rest = self._not_in_events(fresh)
+            count = rest.count()
+            if count:
+                self._add_events(rest)
+        finally:
+            fresh.unpersist()
         return count
 
-    def _add_events(self, fresh: DataFrame) -> None:
-        dated = fresh.drop("id_split").withColumn(
-            "event_date", F.col("event_timestamp").cast("date"))
-        dated.hint("rebalance", "event_date").write.mode("append").partitionBy(
+    def _add_events(self, rows: DataFrame) -> None:
+        rows.hint("rebalance", "event_date").write.mode("append").partitionBy(
             "event_date").parquet(self.events_path)
 
-    def _add_ids(self, unknown: DataFrame) -> None:
-        unknown.select("event_id", "id_split").hint("rebalance", "id_split").write.mode(
-            "append").partitionBy("id_split").parquet(self.ids_path)
-
-    def _split(self) -> Column:
-        return F.pmod(F.xxhash64("event_id"), F.lit(self.id_splits)).cast("int")
-
-    def _touched_ids(self, batch: DataFrame) -> DataFrame:
-        touched = [row.id_split for row in batch.select("id_split").distinct().collect()]
-        if len(touched) == self.id_splits:
-            return self.ids()
-        return self.ids().where(F.col("id_split").isin(touched))
-
-    def _not_in_events(self, unknown: DataFrame) -> DataFrame:
-        day = F.col("event_timestamp").cast("date")
-        first, last = unknown.agg(F.min(day), F.max(day)).first()
+    def _not_in_events(self, fresh: DataFrame) -> DataFrame:
+        first, last = fresh.agg(F.min("event_date"), F.max("event_date")).first()
         written = self.events().where(F.col("event_date").between(first, last))
-        return new_rows(unknown, stored_hits(written, unknown))
-
-    def _newest_generation(self) -> int:
-        """The last generation of the id table that was written to its end."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/raw/event_ids")
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = files.globStatus(
-            jvm.org.apache.hadoop.fs.Path(folder, "generation=*/_SUCCESS")) or []
-        names = [status.getPath().getParent().getName() for status in done]
-        return max((int(name.split("=")[1]) for name in names), default=0)
-
-    def compact_ids(self) -> None:
-        """Rewrites the id table into few files per split, as the next generation.
-
-        A rewrite that is cut off leaves a generation without its end marker, which is ignored
-        and written over. Earlier generations are left for the operator to remove.
-        """
-        ids = self.ids().withColumn("id_split", self._split()).hint("rebalance", "id_split")
-        following = f"{self.root}/raw/event_ids/generation={self._generation + 1}"
-        ids.write.mode("overwrite").partitionBy("id_split").parquet(following)
-        self._generation += 1
+        return new_rows(fresh, stored_hits(written, fresh))
 
     def add_dead_letters(self, records: DataFrame) -> None:
+        if "severity" not in records.columns:
+            records = records.withColumn("severity", F.lit(None).cast("string"))
         records.select(*DEAD_LETTER_SCHEMA.fieldNames()).write.mode("append").parquet(
             self.dead_letters_path)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ def to_messages(events: DataFrame) -> DataFrame:
 
 def write_topic(messages: DataFrame, settings: Settings, topic: str) -> int:
     """Publishes `key, value` and returns how many were sent; a failed write raises."""
+    if messages.isEmpty():
+        return 0
     counted, observed = _counted(messages)
     counted.write.format("kafka").options(**{
         "kafka.bootstrap.servers": settings.bootstrap_servers,
@@ -30,23 +33,23 @@ def write_topic(messages: DataFrame, settings: Settings, topic: str) -> int:
         "kafka.retry.backoff.ms": "500",
         "topic": topic,
     }).save()
-    return _sent(observed)
+    return observed.get["sent"]
+
+
+def publisher(settings: Settings, topic: str | None = None) -> Callable[[DataFrame], int]:
+    """What sends messages to a topic, the dead-letter topic unless another is named."""
+    return lambda messages: write_topic(messages, settings, topic or settings.dlq_topic)
 
 
 def write_files(messages: DataFrame, path: str) -> int:
+    # Spark does not run a plan that it knows to be empty, and then nothing would be counted.
+    if messages.isEmpty():
+        return 0
     counted, observed = _counted(messages)
     counted.write.mode("append").parquet(path)
-    return _sent(observed)
+    return observed.get["sent"]
 
 
 def _counted(messages: DataFrame) -> tuple[DataFrame, Observation]:
     observed = Observation()
     return messages.observe(observed, F.count(F.lit(1)).alias("sent")), observed
-
-
-def _sent(observed: Observation) -> int:
-    try:
-        return observed.get["sent"]
-    except Py4JJavaError:
-        # A plan that is known to be empty is not run, so nothing was counted.
-        return 0

@@ -26,6 +26,9 @@ def kafka_options(
         "kafka.bootstrap.servers": settings.bootstrap_servers,
         "startingOffsets": starting,
         "failOnDataLoss": "true",
+        # Shows up in the broker's tools only; offsets are kept in the checkpoint.
+        "groupIdPrefix": settings.retry_consumer_group if topic == settings.retry_topic
+        else settings.consumer_group,
     }
     if partitions is None:
         options["subscribe"] = topic

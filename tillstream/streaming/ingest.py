@@ -6,6 +6,8 @@ again unchanged; stored ids make the second run add nothing.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -21,42 +23,62 @@ from tillstream.session import prepare
 from tillstream.settings import Settings
 from tillstream.sinks.event_store import EventStore
 
+logger = logging.getLogger(__name__)
+Publish = Callable[[DataFrame], object]
+
 
 def with_retries(messages: DataFrame, retry_messages: DataFrame) -> DataFrame:
     """New messages and replayed dead letters as one stream, so that one writer sees both."""
-    replayed = deadletter.retry_input(deadletter.read_dlq(retry_messages)).drop("retried_id")
-    return messages.unionByName(replayed, allowMissingColumns=True)
+    return messages.unionByName(
+        deadletter.unwrapped(retry_messages).drop("retried_id"), allowMissingColumns=True)
+
 
+def store_batch(store: EventStore, batch: DataFrame, settings: Settings,
+                publish: Publish | None = None) -> dict[str, int]:
+    """Classifies a batch once and writes both outcomes; returns its counters.
 
-def store_batch(store: EventStore, batch: DataFrame, settings: Settings) -> dict[str, int]:
-    """Classifies a batch once and writes both outcomes; returns its counters."""
+    Dead letters are stored with the severity of their notice and, where `publish` is given, sent
+    on as messages. Retry messages that are no records are counted and go no further.
+    """
     prepare(batch.sparkSession)
     now = F.lit(datetime.now(timezone.utc))
     classified = classify(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    skipped = F.coalesce("skipped", F.lit(False)) if "skipped" in batch.columns else F.lit(False)
     try:
         counts = classified.agg(
-            F.count("*").alias("consumed"),
-            F.count_if(F.col("outcome") != VALID).alias("invalid")).first().asDict()
+            F.count("*").alias("consumed"), F.count_if(skipped).alias("skipped"),
+            F.count_if(~skipped & (F.col("outcome") != VALID)).alias("invalid")).first().asDict()
+        read = classified.where(~skipped)
         inserted = store.insert_with_retry(
-            valid_events(classified, now), settings.write_attempts, settings.write_backoff_seconds)
+            valid_events(read, now), settings.write_attempts, settings.write_backoff_seconds)
         if counts["invalid"]:
-            store.add_dead_letters(deadletter.build_dlq(classified, now))
+            letters = deadletter.build_dlq(read, now).withColumn(
+                "severity", deadletter.severity(settings.retry_max_attempts))
+            store.add_dead_letters(letters)
+            if publish:
+                publish(deadletter.dlq_messages(letters))
     finally:
         classified.unpersist()
+    if counts["skipped"]:
+        logger.warning("%d retry messages are no dead-letter records", counts["skipped"])
     counts["inserted"] = inserted
-    counts["duplicates"] = counts["consumed"] - counts["invalid"] - inserted
+    counts["duplicates"] = counts["consumed"] - counts["skipped"] - counts["invalid"] - inserted
     return counts
 
 
 def start(
     messages: DataFrame, store: EventStore, checkpoint: str, settings: Settings | None = None,
     until_drained: bool = False, on_batch: Callable[[int, dict[str, int]], None] | None = None,
+    publish: Publish | None = None,
 ) -> StreamingQuery:
-    """Starts the stream; `until_drained` stops it once everything there now is stored."""
+    """Starts the stream; `until_drained` stops it once everything there now is stored.
+
+    `publish` takes dead letters as `key, value`; `sinks.messages.publisher` makes one for a topic.
+    """
     settings = settings or Settings()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        counts = store_batch(store, batch, settings)
+        counts = store_batch(store, batch, settings, publish)
         if on_batch:
             on_batch(batch_id, counts)
 
@@ -64,3 +86,11 @@ def start(
     if until_drained:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{settings.batch_interval_seconds} seconds").start()
+
+
+def stop_after_batch(query: StreamingQuery, patience_seconds: float = 600.0) -> None:
+    """Stops a stream between two micro-batches, so that the one in progress is not cut off."""
+    deadline = time.monotonic() + patience_seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+        time.sleep(0.2)
+    query.stop()

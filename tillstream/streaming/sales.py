@@ -1,41 +1,33 @@
 """Sales per interval, kept up to date from the stream of stored events.
 
-Each micro-batch appends the buckets it changed, stamped with its number; the newest version of a
-bucket is the current one. A repeated batch appends equal rows, which changes nothing. Events more
-than the watermark behind are left to the next full rebuild.
+The state is one row per interval that ever saw a purchase, whatever the number of events, and is
+never given up: an event counts however late it comes. Every micro-batch rebuilds the small table
+from it, as a scheduled rebuild would; a repeated batch writes the same rows again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.plans.sales import sales_totals
 
-SALES_SCHEMA = (
-    "interval_start timestamp, orders bigint, units_sold bigint, revenue decimal(31,2), "
-    "batch_id bigint"
-)
+SALES_SCHEMA = "interval_start timestamp, orders bigint, units_sold bigint, revenue decimal(31,2)"
 
 
 def start(
-    events: DataFrame, path: str, checkpoint: str, watermark: str = "1 day",
-    interval: str = "15 minutes", until_drained: bool = False,
+    events: DataFrame, path: str, checkpoint: str, interval: str = "15 minutes",
+    until_drained: bool = False,
 ) -> StreamingQuery:
-    changed = sales_totals(events.withWatermark("event_timestamp", watermark), interval)
+    def rebuild(batch: DataFrame, _: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(path)
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
-
-    writer = changed.writeStream.outputMode("update").foreachBatch(append).option(
-        "checkpointLocation", checkpoint)
+    writer = sales_totals(events, interval).writeStream.outputMode("complete").foreachBatch(
+        rebuild).option("checkpointLocation", checkpoint)
     if until_drained:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    versions = spark.read.schema(SALES_SCHEMA).parquet(path)
-    newest = F.max_by(F.struct("orders", "units_sold", "revenue"), "batch_id").alias("newest")
-    return versions.groupBy("interval_start").agg(newest).select("interval_start", "newest.*")
+    return spark.read.schema(SALES_SCHEMA).parquet(path)
