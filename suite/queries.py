@@ -556,8 +556,9 @@ def _files(rows: DataFrame, name: str, by: str) -> str:
     return folder
 
 
-def _message_files(spark, sf_dir) -> str:
-    return _files(fx.messages(spark, sf_dir), "messages", "offset")
+def _message_files(spark, sf_dir, by: str = "key") -> str:
+    """By key as a topic is, where copies of a message stay in order, or all mixed up."""
+    return _files(fx.messages(spark, sf_dir), "messages", by)
 
 
 def _ingested(spark, sf_dir) -> EventStore:
@@ -612,7 +613,7 @@ def stream_sales(spark, sf_dir):
 
 @query
 def dedup_stream(spark, sf_dir):
-    stream = message_source.file_stream(spark, _message_files(spark, sf_dir), max_files=1)
+    stream = message_source.file_stream(spark, _message_files(spark, sf_dir, "offset"), max_files=1)
     events = classify.valid_events(classify.classify(stream))
     once = dedup.drop_recent_stream(events).select("event_id")
     out = scratch_folder(spark, "ids")
