@@ -190,8 +190,8 @@ SELECT conv_id, count(*) AS n_turns,
        -- Each turn is wrapped in both control strings and two line ends; escapes add characters.
        CAST(sum(length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10))
          + length(regexp_replace(replace(replace(role, '\\', '\\\\'), chr(10), '\\n'),
-                                 '<(\\*)\\|', '<\\\\\\1|', 'g'))
-         + length(regexp_replace(text, '<(\\*)\\|', '<\\\\\\1|', 'g'))) AS BIGINT)
+                                 '<(\\\\*)\\|', '<\\\\\\1|', 'g'))
+         + length(regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g'))) AS BIGINT)
          AS formatted_chars
 FROM rows GROUP BY conv_id
 """
