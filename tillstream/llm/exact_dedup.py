@@ -92,13 +92,14 @@ def _holds_files(index: DigestIndex) -> bool:
 def keep_rows(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, once each, with their own columns."""
+    def key(digest: Column, doc_id: Column) -> Column:
+        return F.concat_ws(":", digest, doc_id.cast("string"))
+
     stay = decisions(docs, index, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")).distinct()
-    marked = docs.withColumns({"__digest": digest_of(F.col(text_col)),
-                               "__id": F.col(id_col).cast("long")})
-    same = (marked["__digest"] == stay["__digest"]) & marked["__id"].eqNullSafe(stay["__id"])
-    return (marked.join(stay, same, "left_semi").dropDuplicates(["__digest"])
-            .drop("__digest", "__id"))
+        key(F.col("text_sha256"), F.col("doc_id")).alias("__key")).distinct()
+    marked = docs.withColumn("__key", key(digest_of(F.col(text_col)), F.col(id_col).cast("long")))
+    # Join and folding share one key, so texts are shuffled once.
+    return marked.join(stay, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
