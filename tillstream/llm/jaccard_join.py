@@ -10,7 +10,8 @@
    each bucket, the sets that list a shingle form a signature tree: nodes hold the OR of their
    members' bitmaps and the range of their sizes, a traversal of pairs of nodes drops a pair when
    even the greatest possible overlap is too small. What is left are candidates.
-4. Candidates are verified on their whole sets. This goes in rounds: first each shingle's sets are
+4. Candidates that pass the same bound on signatures as long as their sets are verified on the
+   whole sets. This goes in rounds: first each shingle's sets are
    only compared with one centre and one neighbour, and what that links is contracted, so that a
    group of thousands of near copies costs a star instead of all its pairs; the last round
    compares all that is not yet connected and leaves nothing out.
@@ -40,6 +41,8 @@ from tillstream.llm.words import hashed, mixed, runs, words_of
 SHINGLE, PERCENT = 5, 75
 BUCKET_ROWS = 1 << 19
 LEAF, FAN, PAIRS_AT_ONCE = 16, 8, 1 << 16
+# One shingle in so many also compares neighbours in the first round.
+NEIGHBOURS = 8
 BITMAP_WORDS = 4
 
 
@@ -56,57 +59,49 @@ def least_overlap(a, b, percent: int = PERCENT):
 
 # --- one row per document --------------------------------------------------------------------
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, digest of the set); the digest is null for an empty set."""
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, digests = [], []
-            for text in batch.column(1):
-                found = shingles(text)
-                sizes.append(len(found))
-                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                               if len(found) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())],
-                names=["doc_id", "n", "digest"])
+def _bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """OR of one bit per shingle; `bits` is a power of two."""
+    found = np.zeros(bits, bool)
+    found[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(found).view(np.uint64)
 
-    return docs.mapInArrow(digest, "doc_id long, n long, digest binary")
 
+def _signature_bits(n: int) -> int:
+    """Two to four bits per shingle, so that few fall together."""
+    return max(64, 1 << (2 * n - 1).bit_length())
 
-# --- listed shingles, dealt into buckets -----------------------------------------------------
 
-def _bitmap(tokens: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITMAP_WORDS * 64, bool)
-    bits[(tokens & np.uint64(BITMAP_WORDS * 64 - 1)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.uint64)
+LISTED = ("doc_id long, n long, digest binary, bitmap binary, listed binary, signature binary")
 
 
 def _listed(docs: DataFrame, levels, percent: int) -> DataFrame:
-    """(doc_id, n, bitmap, listed shingles) of documents that have a set."""
+    """Size, digest, bitmaps and listed shingles of each document's set; nulls for an empty one."""
     def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, maps, lists = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            out: list[list] = [[] for _ in range(5)]
+            for text in batch.column(1):
                 found = shingles(text)
                 n = len(found)
-                if not n:
-                    continue
-                # A similar set is no smaller than n * p / 100 and shares all but these many.
-                take = n + percent * n // -100 + 1
-                # A scramble apart from the slot and the bitmap, and the same for all sets.
-                order = np.lexsort((mixed(found), levels.value[slot(found)]))[:take]
-                ids.append(doc_id)
-                sizes.append(n)
-                maps.append(_bitmap(found).tobytes())
-                lists.append(found[order].tobytes())
+                row: tuple = (n, None, None, None, None)
+                if n:
+                    # A similar set is no smaller than n * p / 100 and shares all but these many.
+                    take = n + percent * n // -100 + 1
+                    order = np.lexsort((mixed(found), levels.value[slot(found)]))[:take]
+                    row = (n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
+                           _bitmap(found, BITMAP_WORDS * 64).tobytes(), found[order].tobytes(),
+                           _bitmap(found, _signature_bits(n)).tobytes())
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(maps, pa.binary()), pa.array(lists, pa.binary())],
-                names=["doc_id", "n", "bitmap", "listed"])
+                [batch.column(0), pa.array(out[0], pa.int64()),
+                 *(pa.array(c, pa.binary()) for c in out[1:])],
+                names=["doc_id", "n", "digest", "bitmap", "listed", "signature"])
 
-    return docs.mapInArrow(listing, "doc_id long, n long, bitmap binary, listed binary")
+    return docs.mapInArrow(listing, LISTED)
 
 
+# --- listed shingles, dealt into buckets -----------------------------------------------------
+
 PACKED = "bucket int, tokens binary, owners binary, sizes binary, maps binary, groups binary"
 
 
@@ -212,7 +207,7 @@ class SignatureTree:
 
 
 def _near(tree_rows: tuple, token: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each row with the centre and with a neighbour in an order of the shingle's own."""
+    """Each row with the centre and, for some shingles, with a neighbour in an order of theirs."""
     owners, maps, sizes, groups = tree_rows
     tree = SignatureTree.__new__(SignatureTree)
     spare = sizes - _bits(maps)
@@ -220,7 +215,9 @@ def _near(tree_rows: tuple, token: int, percent: int) -> tuple[np.ndarray, np.nd
     rows = np.arange(len(owners))
     centre = np.full(len(owners), int(owners.argmin()))
     dealt = np.argsort(mixed(owners.view(np.uint64) ^ np.uint64(token)))
-    i, j = np.concatenate([centre, dealt[:-1]]), np.concatenate([rows, dealt[1:]])
+    i, j = centre, rows
+    if token % NEIGHBOURS == 0:
+        i, j = np.concatenate([i, dealt[:-1]]), np.concatenate([j, dealt[1:]])
     fits = (i != j) & tree._possible(0, i, j)
     return i[fits], j[fits]
 
@@ -265,7 +262,7 @@ def _candidates(dealt: DataFrame, everything: bool, percent: int) -> DataFrame:
         if not left:
             return CANDIDATES.empty_table()
         pairs = np.sort(np.stack([np.concatenate(left), np.concatenate(right)]), axis=0)
-        pairs = np.unique(pairs, axis=1)
+        pairs = np.unique(pairs[:, pairs[0] != pairs[1]], axis=1)
         return pa.table([pairs[0], pairs[1]], schema=CANDIDATES)
 
     return dealt.groupBy("bucket").applyInArrow(search, "a long, b long").distinct()
@@ -273,6 +270,35 @@ def _candidates(dealt: DataFrame, everything: bool, percent: int) -> DataFrame:
 
 # --- verification ----------------------------------------------------------------------------
 
+def _plausible(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """The pairs that could still be similar going by signatures as long as their sets.
+
+    These are a twentieth of a whole set, so whole sets travel for next to no pair in vain.
+    """
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = []
+            for n, m, x, y in zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist(),
+                                  batch.column("s_a"), batch.column("s_b"), strict=True):
+                own, other = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                # A longer signature folds down to the shorter one's length.
+                width = min(len(own), len(other))
+                own, other = (np.bitwise_or.reduce(v.reshape(-1, width)) for v in (own, other))
+                spare = min(n - int(np.bitwise_count(own).sum()),
+                            m - int(np.bitwise_count(other).sum()))
+                shared = int(np.bitwise_count(own & other).sum()) + spare
+                fits.append(min(shared, n, m) >= least_overlap(n, m, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    marks = listed.select("doc_id", "n", "signature")
+    joined = pairs
+    for side in ("a", "b"):
+        joined = joined.join(marks.select(
+            F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"),
+            F.col("signature").alias(f"s_{side}")), side)
+    return joined.mapInArrow(check, "a long, b long").distinct()
+
+
 def _whole_sets(docs: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,31 +325,32 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) of every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = written(_sets(docs), "shingle-sets")
+    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs.select("text"), shingles))
+    sets = written(_listed(docs, levels, percent), "listed")
     classes = written(sets.filter("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.min("n").alias("n")), "shingle-classes")
-    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs.select("text"), shingles))
     ids = classes.filter("id is not null").select(F.col("id").alias("doc_id"))
-    listed = written(_listed(docs.filter("doc_id is not null"), levels, percent), "listed")
-    listed = listed.join(ids, "doc_id", "left_semi")
+    listed = sets.filter("digest is not null").drop("digest").join(ids, "doc_id", "left_semi")
     total = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(64, int(total) // BUCKET_ROWS)
 
     edges, known = None, None
     for everything in (False, True):
         if known is None:
-            grouped = listed.withColumn("component", F.col("doc_id"))
+            grouped = listed.drop("signature").withColumn("component", F.col("doc_id"))
         else:
-            grouped = listed.join(known, listed["doc_id"] == known["vertex"], "left").select(
-                *listed.columns, F.coalesce("component", "doc_id").alias("component"))
+            grouped = listed.drop("signature").join(
+                known, listed["doc_id"] == known["vertex"], "left").withColumn(
+                "component", F.coalesce("component", "doc_id")).drop("vertex")
         pairs = written(_candidates(_dealt(grouped, buckets), everything, percent), "candidates")
+        pairs = written(_plausible(pairs, listed, percent), "plausible")
         new = written(_verified(pairs, docs, percent), "links")
         edges = new if edges is None else edges.union(new)
         known = written(components(edges), "components")
 
     named = classes.join(known, classes["id"] == known["vertex"], "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
-    return sets.join(named, "digest", "left").select(
+    return sets.select("doc_id", "n", "digest").join(named, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"))
 
