@@ -57,6 +57,16 @@ def test_large_group_of_near_copies(documents, prose):
     assert results(documents(rows)) == brute.components(rows)
 
 
+def test_hot_shingles_are_split(documents, prose, monkeypatch):
+    """A tiny limit splits every block of the group; nothing is lost between its parts."""
+    monkeypatch.setattr(op, "HOT_ROWS", 20)
+    rng = random.Random(6)
+    text = prose(60, 1)
+    rows = [(i, edited(text, rng.randrange(0, 4), rng)) for i in range(150)]
+    rows += [(1000 + i, prose(40, 50 + i)) for i in range(10)]
+    assert results(documents(rows)) == brute.components(rows)
+
+
 def test_tree_keeps_every_similar_pair():
     rng = np.random.default_rng(1)
     sets = []
@@ -65,9 +75,10 @@ def test_tree_keeps_every_similar_pair():
         for _ in range(5):
             drop = rng.random(len(base)) < rng.choice([0.02, 0.1, 0.3])
             sets.append(np.unique(base[~drop]) if (~drop).any() else base)
-    maps = np.stack([op._bitmap(s) for s in sets])
+    maps = np.stack([op._bitmap(s, 256) for s in sets])
     sizes = np.array([len(s) for s in sets], np.int64)
-    tree = op.SignatureTree(maps, sizes, np.arange(len(sets)))
+    tree = op.SignatureTree(maps, sizes, np.arange(len(sets)), sizes - op._bits(maps),
+                            np.ones_like(sizes))
     kept = {tuple(sorted(p)) for i, j in tree.pairs() for p in zip(i.tolist(), j.tolist())}
     count = 0
     for a in range(len(sets)):
@@ -79,6 +90,24 @@ def test_tree_keeps_every_similar_pair():
     assert count and len(kept) < len(sets) * (len(sets) - 1) / 4
 
 
+def test_bitmaps_of_different_widths_never_understate_what_is_shared():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    sets = []
+    for n in (3, 30, 100, 300, 400, 900, 1200):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        sets += [base, base[rng.random(len(base)) < 0.85]]
+    signatures = pa.array([op._bitmap(s, op._signature_bits(len(s))).tobytes() for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
+    maps, bits, repeats = op._wide_maps(signatures)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            most = op._bits(maps[[i]] & maps[[j]])[0] // min(repeats[i], repeats[j])
+            most += min(sizes[i] - bits[i], sizes[j] - bits[j])
+            assert most >= len(np.intersect1d(a, b))
+
+
 def test_odd_rows(documents, clashing, prose):
     long = prose(30_000, 4)
     rows = [(1, None), (2, ""), (3, " \t"), (4, "One two"), (5, "one TWO"), (6, "two one"),

@@ -11,10 +11,11 @@
    members' bitmaps and the range of their sizes, a traversal of pairs of nodes drops a pair when
    even the greatest possible overlap is too small. What is left are candidates.
 4. Candidates that pass the same bound on signatures as long as their sets are verified on the
-   whole sets. This goes in rounds: first each shingle's sets are
-   only compared with one centre and one neighbour, and what that links is contracted, so that a
-   group of thousands of near copies costs a star instead of all its pairs; the last round
-   compares all that is not yet connected and leaves nothing out.
+   whole sets. Where many sets list a shingle this goes in rounds: first they are only compared
+   with one centre and one neighbour, then those not connected by that with a few members of the
+   largest group, so that a group of thousands of near copies costs a few stars instead of all its
+   pairs; what was linked is contracted after each round, and the last round compares all that is
+   not yet connected and leaves nothing out.
 
 A document with no more than four words has its whole sequence as its only shingle; one without
 words, or with a null text, has no set and is linked with nothing. Rows that repeat an id get a row
@@ -26,24 +27,29 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import table, written
 from tillstream.llm.components import components
-from tillstream.llm.sketch import frequency_levels, slot
-from tillstream.llm.words import hashed, mixed, runs, words_of
+from tillstream.llm.sketch import levels_of, slot, slot_counts, usual_count
+from tillstream.llm.words import ODD, hashed, mixed, runs, words_of
 
 SHINGLE, PERCENT = 5, 75
 BUCKET_ROWS = 1 << 19
+# A shingle listed by more sets than this is split over several tasks.
+HOT_ROWS = 1 << 16
 LEAF, FAN, PAIRS_AT_ONCE = 16, 8, 1 << 16
-# One shingle in so many also compares neighbours in the first round.
-NEIGHBOURS = 8
-BITMAP_WORDS = 4
+# Blocks up to this size compare all pairs at once. In larger ones, one shingle in so many also
+# compares neighbours in the first round, and strays try so many members in the second.
+SMALL, NEIGHBOURS, PARTNERS = 8, 8, 3
+BITMAP_WORDS, WIDE_WORDS = 4, 16
 
 
 def shingles(text: pa.Scalar, n: int = SHINGLE) -> np.ndarray:
@@ -102,11 +108,14 @@ def _listed(docs: DataFrame, levels, percent: int) -> DataFrame:
 
 # --- listed shingles, dealt into buckets -----------------------------------------------------
 
-PACKED = "bucket int, tokens binary, owners binary, sizes binary, maps binary, groups binary"
+PACKED = "bucket int, tokens binary, owners binary, sizes binary, maps binary"
 
 
-def _dealt(listed: DataFrame, buckets: int) -> DataFrame:
-    """One row per batch and bucket, with the batch's listed shingles that fall into it."""
+def _dealt(listed: DataFrame, parts, buckets: int) -> DataFrame:
+    """One row per batch and bucket, with the batch's listed shingles that fall into it.
+
+    The sets that list a hot shingle go to as many places as `parts` has for it.
+    """
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -115,28 +124,27 @@ def _dealt(listed: DataFrame, buckets: int) -> DataFrame:
             lengths = [len(v) for v in lists]
             tokens = np.concatenate(lists)
             row = np.repeat(np.arange(len(lists)), lengths)
-            bucket = (mixed(tokens) % np.uint64(buckets)).astype(np.int64)
+            owners = batch.column("doc_id").to_numpy()
+            part = mixed(owners.view(np.uint64))[row] % parts.value[slot(tokens)].astype(np.uint64)
+            bucket = (mixed(tokens + part * ODD) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             tokens, row, bucket = tokens[order], row[order], bucket[order]
             edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-            owners = batch.column("doc_id").to_numpy()
-            groups = batch.column("component").to_numpy()
             sizes = batch.column("n").to_numpy()
             maps = np.frombuffer(b"".join(batch.column("bitmap").to_pylist()), np.uint64).reshape(
                 -1, BITMAP_WORDS)
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             for a, b in zip(edges, edges[1:], strict=False):
                 own, at = np.unique(row[a:b], return_inverse=True)
                 packed = np.empty(b - a, [("token", "<u8"), ("at", "<u4")])
                 packed["token"], packed["at"] = tokens[a:b], at
                 for column, value in zip(out, (
                         int(bucket[a]), packed.tobytes(), owners[own].tobytes(),
-                        sizes[own].astype(np.int32).tobytes(), maps[own].tobytes(),
-                        groups[own].tobytes()), strict=True):
+                        sizes[own].astype(np.int32).tobytes(), maps[own].tobytes()), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])],
-                names=["bucket", "tokens", "owners", "sizes", "maps", "groups"])
+                names=["bucket", "tokens", "owners", "sizes", "maps"])
 
     return listed.mapInArrow(deal, PACKED)
 
@@ -151,13 +159,13 @@ class SignatureTree:
     """Sets that list one shingle, as nodes with OR bitmaps, size ranges and contracted groups."""
 
     def __init__(self, maps: np.ndarray, sizes: np.ndarray, groups: np.ndarray,
-                 percent: int = PERCENT):
+                 spare: np.ndarray, repeats: np.ndarray, percent: int = PERCENT):
         # Alike sets should share a leaf: same group first, then size, then bits.
         self.order = np.lexsort((maps[:, 0], sizes, groups))
         self.percent = percent
-        maps, sizes, groups = maps[self.order], sizes[self.order], groups[self.order]
-        spare = sizes - _bits(maps)
-        self.levels = [(maps, sizes, sizes, spare, groups, groups)]
+        maps, sizes, groups, spare, repeats = (
+            x[self.order] for x in (maps, sizes, groups, spare, repeats))
+        self.levels = [(maps, sizes, sizes, spare, groups, groups, repeats)]
         self.fans = []
         fan = LEAF
         while len(self.levels[-1][0]) > 1:
@@ -166,14 +174,16 @@ class SignatureTree:
             self.levels.append((
                 np.bitwise_or.reduceat(low[0], starts), np.minimum.reduceat(low[1], starts),
                 np.maximum.reduceat(low[2], starts), np.maximum.reduceat(low[3], starts),
-                np.minimum.reduceat(low[4], starts), np.maximum.reduceat(low[5], starts)))
+                np.minimum.reduceat(low[4], starts), np.maximum.reduceat(low[5], starts),
+                np.minimum.reduceat(low[6], starts)))
             self.fans.append(fan)
             fan = FAN
 
     def _possible(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether members of two nodes may overlap enough and are not all connected already."""
-        maps, least, most, spare, first, last = self.levels[level]
-        shared = _bits(maps[i] & maps[j]) + np.minimum(spare[i], spare[j])
+        maps, least, most, spare, first, last, repeats = self.levels[level]
+        shared = _bits(maps[i] & maps[j]) // np.minimum(repeats[i], repeats[j])
+        shared += np.minimum(spare[i], spare[j])
         shared = np.minimum(shared, np.minimum(most[i], most[j]))
         fits = shared >= least_overlap(least[i], least[j], self.percent)
         # The larger of two sizes counts against what the smaller set can share.
@@ -206,66 +216,205 @@ class SignatureTree:
             todo.append((level - 1, a[inside], b[inside]))
 
 
-def _near(tree_rows: tuple, token: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Rows:
+    """Sets listed in a bucket, one per position."""
+
+    owners: np.ndarray
+    sizes: np.ndarray
+    maps: np.ndarray
+    groups: np.ndarray
+    # How many shingles share a bit with another one of their set, and how often a bitmap
+    # repeats itself.
+    spare: np.ndarray
+    repeats: np.ndarray
+    percent: int
+
+    def possible(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of positions that are not connected yet and may overlap enough."""
+        open_ = (self.groups[i] != self.groups[j]) & (self.owners[i] != self.owners[j])
+        i, j = i[open_], j[open_]
+        n, m = self.sizes[i], self.sizes[j]
+        shared = _bits(self.maps[i] & self.maps[j]) // np.minimum(self.repeats[i], self.repeats[j])
+        shared += np.minimum(self.spare[i], self.spare[j])
+        shared = np.minimum(shared, np.minimum(n, m))
+        fits = shared >= least_overlap(n, m, self.percent)
+        return i[fits], j[fits]
+
+
+def _all_pairs(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all pairs of several blocks of one small size."""
+    a, b = np.triu_indices(size, 1)
+    return (starts[:, None] + a).ravel(), (starts[:, None] + b).ravel()
+
+
+def _near(rows: Rows, own: np.ndarray, token: int) -> tuple[np.ndarray, np.ndarray]:
     """Each row with the centre and, for some shingles, with a neighbour in an order of theirs."""
-    owners, maps, sizes, groups = tree_rows
-    tree = SignatureTree.__new__(SignatureTree)
-    spare = sizes - _bits(maps)
-    tree.levels, tree.percent = [(maps, sizes, sizes, spare, groups, groups)], percent
-    rows = np.arange(len(owners))
-    centre = np.full(len(owners), int(owners.argmin()))
-    dealt = np.argsort(mixed(owners.view(np.uint64) ^ np.uint64(token)))
-    i, j = centre, rows
+    owners = rows.owners[own]
+    i, j = np.full(len(own), own[owners.argmin()]), own
     if token % NEIGHBOURS == 0:
+        dealt = own[np.argsort(mixed(owners.view(np.uint64) ^ np.uint64(token)))]
         i, j = np.concatenate([i, dealt[:-1]]), np.concatenate([j, dealt[1:]])
-    fits = (i != j) & tree._possible(0, i, j)
-    return i[fits], j[fits]
+    return rows.possible(i, j)
+
+
+def _strays(rows: Rows, own: np.ndarray, token: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows outside the largest group with some of its members, which differ by shingle."""
+    groups = rows.groups[own]
+    values, counts = np.unique(groups, return_counts=True)
+    largest = groups == values[counts.argmax()]
+    members, strays = own[largest], own[~largest]
+    draws = mixed(rows.owners[strays].view(np.uint64) ^ np.uint64(token))
+    order = strays[np.argsort(draws)]
+    i, j = [order[:-1]], [order[1:]]
+    for _ in range(PARTNERS):
+        i.append(strays)
+        j.append(members[(draws % np.uint64(len(members))).astype(np.int64)])
+        draws = mixed(draws)
+    return rows.possible(np.concatenate(i), np.concatenate(j))
+
+
+def _tree(rows: Rows, own: np.ndarray, _: int) -> tuple[np.ndarray, np.ndarray]:
+    """All rows with each other, as far as the signature tree does not rule it out."""
+    tree = SignatureTree(rows.maps[own], rows.sizes[own], rows.groups[own], rows.spare[own],
+                         rows.repeats[own], rows.percent)
+    found = list(tree.pairs())
+    if not found:
+        return own[:0], own[:0]
+    i, j = (own[np.concatenate(side)] for side in zip(*found, strict=True))
+    return rows.possible(i, j)
+
 
+def _blocks(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by shingle, and where in it blocks of equal shingles start and how long they are."""
+    order = np.argsort(tokens, kind="stable")
+    tokens = tokens[order]
+    starts = np.flatnonzero(np.diff(tokens, prepend=~tokens[:1]))
+    return order, starts, np.diff(starts, append=len(tokens))
 
-CANDIDATES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+def _pairs_of(rows: Rows, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Distinct pairs of owners, the smaller one first."""
+    left, right = (rows.owners[np.concatenate(side)] if found else rows.owners[:0]
+                   for side in (zip(*found, strict=True) if found else ((), ())))
+    return np.unique(np.sort(np.stack([left, right]), axis=0), axis=1)
 
-def _candidates(dealt: DataFrame, everything: bool, percent: int) -> DataFrame:
-    """(a, b), a < b: not yet connected sets that share a listed shingle and may be similar."""
+
+FIRST = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64())])
+
+
+def _first_round(dealt: DataFrame, parts, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a listed shingle and may be similar, and the large blocks.
+
+    Small blocks compare all pairs. Of large ones, and of what is here of split ones, each row is
+    compared with few others, and the block itself comes out as rows (token, a) without b.
+    """
     def search(bucket: pa.Table) -> pa.Table:
-        tokens, rows, owners, sizes, maps, groups, base = [], [], [], [], [], [], 0
-        for packed, own, n, bits, group in zip(*(bucket.column(c) for c in (
-                "tokens", "owners", "sizes", "maps", "groups")), strict=True):
+        tokens, at, owners, sizes, maps, base = [], [], [], [], [], 0
+        for packed, own, n, bits in zip(*(bucket.column(c) for c in (
+                "tokens", "owners", "sizes", "maps")), strict=True):
             listed = np.frombuffer(packed.as_buffer(), [("token", "<u8"), ("at", "<u4")])
             tokens.append(listed["token"])
-            rows.append(listed["at"].astype(np.int64) + base)
+            at.append(listed["at"].astype(np.int64) + base)
             owners.append(np.frombuffer(own.as_buffer(), np.int64))
             sizes.append(np.frombuffer(n.as_buffer(), np.int32).astype(np.int64))
             maps.append(np.frombuffer(bits.as_buffer(), np.uint64).reshape(-1, BITMAP_WORDS))
-            groups.append(np.frombuffer(group.as_buffer(), np.int64))
             base += len(owners[-1])
-        token, row = np.concatenate(tokens), np.concatenate(rows)
-        owner, size, bits, group = map(np.concatenate, (owners, sizes, maps, groups))
-        order = np.argsort(token, kind="stable")
-        token, row = token[order], row[order]
-        edges = np.flatnonzero(np.diff(token, prepend=~token[:1], append=~token[-1:]))
-        left, right = [], []
-        for a, b in zip(edges, edges[1:], strict=False):
-            if b - a < 2:
-                continue
-            own = row[a:b]
-            if (group[own] == group[own[0]]).all():
-                continue
-            if everything:
-                found = SignatureTree(bits[own], size[own], group[own], percent).pairs()
-            else:
-                found = [_near((owner[own], bits[own], size[own], group[own]), int(token[a]),
-                               percent)]
-            for i, j in found:
-                left.append(owner[own[i]])
-                right.append(owner[own[j]])
-        if not left:
-            return CANDIDATES.empty_table()
-        pairs = np.sort(np.stack([np.concatenate(left), np.concatenate(right)]), axis=0)
-        pairs = np.unique(pairs[:, pairs[0] != pairs[1]], axis=1)
-        return pa.table([pairs[0], pairs[1]], schema=CANDIDATES)
-
-    return dealt.groupBy("bucket").applyInArrow(search, "a long, b long").distinct()
+        owner, size, bits = map(np.concatenate, (owners, sizes, maps))
+        rows = Rows(owner, size, bits, owner, size - _bits(bits), np.ones_like(size), percent)
+        token, at = np.concatenate(tokens), np.concatenate(at)
+        order, starts, counts = _blocks(token)
+        token, at = token[order], at[order]
+        found = []
+        is_large = (counts > SMALL) | (parts.value[slot(token[starts])] > 1)
+        for count in range(2, SMALL + 1):
+            i, j = _all_pairs(starts[(counts == count) & ~is_large], count)
+            found.append(rows.possible(at[i], at[j]))
+        large = [slice(s, s + n) for s, n in zip(
+            starts[is_large].tolist(), counts[is_large].tolist(), strict=True)]
+        found += [_near(rows, at[block], int(token[block.start])) for block in large]
+        pairs = _pairs_of(rows, found)
+        whole = np.concatenate([np.arange(b.start, b.stop) for b in large] or [starts[:0]])
+        nothing = pa.nulls(pairs.shape[1], pa.int64()), pa.nulls(len(whole), pa.int64())
+        return pa.concat_tables([
+            pa.table([pairs[0], pairs[1], nothing[0]], schema=FIRST),
+            pa.table([owner[at[whole]], nothing[1], token[whole].view(np.int64)], schema=FIRST)])
+
+    return dealt.groupBy("bucket").applyInArrow(search, "a long, b long, token long")
+
+
+def _wide_maps(signatures: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures as bitmaps of one width, how many bits each had set, and how often it repeats.
+
+    Longer ones are folded, shorter ones repeated. What two repeated ones share, they share as
+    often as the longer of them repeats.
+    """
+    maps = np.zeros((len(signatures), WIDE_WORDS), np.uint64)
+    bits, repeats = np.zeros(len(signatures), np.int64), np.ones(len(signatures), np.int64)
+    lengths = pc.binary_length(signatures).to_numpy() // 8
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        own = np.frombuffer(b"".join(signatures.take(pa.array(at)).to_pylist()), np.uint64).reshape(
+            len(at), length)
+        if length > WIDE_WORDS:
+            own = np.bitwise_or.reduce(own.reshape(len(at), -1, WIDE_WORDS), axis=1)
+        bits[at] = _bits(own)
+        repeats[at] = max(1, WIDE_WORDS // length)
+        maps[at] = np.tile(own, max(1, WIDE_WORDS // length))
+    return maps, bits, repeats
+
+
+def _later_round(blocks: DataFrame, marks: DataFrame, compare: Callable,
+                 percent: int) -> DataFrame:
+    """Pairs (a, b) of large blocks (token, owner) that are not connected yet and may be similar.
+
+    `marks` has doc_id, n, signature and component. Blocks within one component are left out.
+    """
+    placed = blocks.join(marks.select(F.col("doc_id").alias("owner"), "component"), "owner")
+    mixed_blocks = placed.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.ceil(F.count(F.lit(1)) / HOT_ROWS).alias("parts")).filter("low < high").select(
+        "token", "parts")
+    # Every two parts of a block meet in one piece.
+    part = F.pmod(F.xxhash64("owner"), F.col("parts"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    pieces = placed.join(mixed_blocks, "token").select(
+        "token", "owner", "component", part.alias("part"), other.alias("other")).select(
+        F.xxhash64("token", F.least("part", "other"), F.greatest("part", "other")).alias("token"),
+        "owner", "component")
+    rows = written(pieces.join(marks.select(
+        F.col("doc_id").alias("owner"), "n", "signature"), "owner"), "open-blocks")
+    buckets = max(64, rows.count() // BUCKET_ROWS)
+
+    def search(bucket: pa.Table) -> pa.Table:
+        columns = {c: bucket.column(c).combine_chunks() for c in bucket.column_names}
+        token, owner, size, group = (columns[c].to_numpy() for c in (
+            "token", "owner", "n", "component"))
+        maps, bits, repeats = _wide_maps(columns["signature"])
+        rows = Rows(owner, size, maps, group, size - bits, repeats, percent)
+        order, starts, counts = _blocks(token)
+        found = []
+        for start, count in zip(starts.tolist(), counts.tolist(), strict=True):
+            own = order[start:start + count]
+            found.append(compare(rows, own, int(token[own[0]]) & ((1 << 64) - 1)))
+        a, b = _pairs_of(rows, found)
+        starts = np.flatnonzero(np.diff(a, prepend=~a[:1]))
+        ends = np.append(starts[1:], len(b))[:len(starts)]
+        return pa.table([
+            a[starts], pa.array([b[i:j].tobytes() for i, j in zip(starts, ends, strict=True)],
+                                pa.binary())], names=["a", "partners"])
+
+    def merge(part: pa.Table) -> pa.Table:
+        partners = [np.frombuffer(v.as_buffer(), np.int64) for v in part.column("partners")]
+        a = np.repeat(part.column("a").to_numpy(), [len(v) for v in partners])
+        pairs = np.unique(np.stack([a, np.concatenate(partners)]), axis=1)
+        return pa.table([pairs[0], pairs[1]], names=["a", "b"])
+
+    # Sets that are alike share many shingles; their pairs are folded before they become rows.
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    found = dealt.groupBy("bucket").applyInArrow(search, "a long, partners binary")
+    return found.groupBy(F.pmod(F.xxhash64("a"), F.lit(buckets)).alias("part")).applyInArrow(
+        merge, "a long, b long")
 
 
 # --- verification ----------------------------------------------------------------------------
@@ -325,7 +474,10 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) of every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs.select("text"), shingles))
+    counts = slot_counts(docs.select("text"), shingles)
+    share = docs.sparkSession.sparkContext.broadcast
+    levels = share(levels_of(counts, by_excess=True))
+    parts = share(np.maximum(1, (counts - usual_count(counts)) // HOT_ROWS).astype(np.int32))
     sets = written(_listed(docs, levels, percent), "listed")
     classes = written(sets.filter("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.min("n").alias("n")), "shingle-classes")
@@ -334,19 +486,20 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(64, int(total) // BUCKET_ROWS)
 
-    edges, known = None, None
-    for everything in (False, True):
-        if known is None:
-            grouped = listed.drop("signature").withColumn("component", F.col("doc_id"))
-        else:
-            grouped = listed.drop("signature").join(
-                known, listed["doc_id"] == known["vertex"], "left").withColumn(
-                "component", F.coalesce("component", "doc_id")).drop("vertex")
-        pairs = written(_candidates(_dealt(grouped, buckets), everything, percent), "candidates")
-        pairs = written(_plausible(pairs, listed, percent), "plausible")
+    first = written(_first_round(
+        _dealt(listed.drop("signature"), parts, buckets), parts, percent), "first-round")
+    blocks = first.filter("token is not null").select("token", F.col("a").alias("owner"))
+    pairs, edges, known = first.filter("token is null").select("a", "b"), None, None
+    for compare in (_strays, _tree, None):
+        pairs = written(_plausible(pairs.distinct(), listed, percent), "plausible")
         new = written(_verified(pairs, docs, percent), "links")
         edges = new if edges is None else edges.union(new)
         known = written(components(edges), "components")
+        if compare:
+            marks = listed.select("doc_id", "n", "signature").join(
+                known, listed["doc_id"] == known["vertex"], "left").withColumn(
+                "component", F.coalesce("component", "doc_id")).drop("vertex")
+            pairs = written(_later_round(blocks, marks, compare, percent), "candidates")
 
     named = classes.join(known, classes["id"] == known["vertex"], "left").select(
         "digest", F.coalesce("component", "id").alias("component"))

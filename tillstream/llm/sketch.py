@@ -16,11 +16,11 @@ def slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def frequency_levels(texts: DataFrame, hashes_of: Callable[[pa.Scalar], np.ndarray]) -> np.ndarray:
-    """Level of each slot (upper bits of a hash): 0 for usual counts, one more per doubling.
+def slot_counts(texts: DataFrame, hashes_of: Callable[[pa.Scalar], np.ndarray]) -> np.ndarray:
+    """How many hashes of all texts fall into each slot (upper bits of a hash).
 
-    `texts` has one column; `hashes_of` gives the hashes of one text. The counts of all texts go
-    into 2**20 slots, whatever the size of the input.
+    `texts` has one column; `hashes_of` gives the hashes of one text. There are 2**20 slots,
+    whatever the size of the input.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -47,8 +47,28 @@ def frequency_levels(texts: DataFrame, hashes_of: Callable[[pa.Scalar], np.ndarr
     sketch = np.zeros(((1 << SKETCH_BITS) // PART, PART), np.int64)
     for row in parts.collect():  # the sketch has a fixed size
         sketch[row["part"]] = np.frombuffer(bytes(row["counts"]), np.int64)
-    sketch = sketch.ravel()
-    # Counts near the usual one may as well be collisions.
-    usual = max(1.0, float(np.median(sketch)))
-    levels = np.log2(np.maximum(sketch, 1) / usual) - 1
+    return sketch.ravel()
+
+
+def usual_count(counts: np.ndarray) -> float:
+    """Counts near this one may as well be collisions."""
+    return max(1.0, float(np.median(counts)))
+
+
+def levels_of(counts: np.ndarray, by_excess: bool = False) -> np.ndarray:
+    """Level of each slot: 0 for usual counts, one more per doubling.
+
+    What doubles is the count, or `by_excess` what it is above the usual one, from three standard
+    deviations on.
+    """
+    usual = usual_count(counts)
+    if by_excess:
+        beyond = (counts - usual) / (3 * np.sqrt(usual))
+        levels = np.where(beyond < 1, 0, 1 + np.log2(np.maximum(beyond, 1)))
+    else:
+        levels = np.log2(np.maximum(counts, 1) / usual) - 1
     return np.clip(levels, 0, MOST_LEVEL).astype(np.int8)
+
+
+def frequency_levels(texts: DataFrame, hashes_of: Callable[[pa.Scalar], np.ndarray]) -> np.ndarray:
+    return levels_of(slot_counts(texts, hashes_of))
