@@ -90,7 +90,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("base") + F.col("within")).alias("upto"))
     timed = based.join(shares, based["source"].eqNullSafe(shares["source"])).select(
         "doc_id", "size", "shuffled", "source_size", "target",
-        F.array(*[(F.col("source_size") * k + F.col("upto")) / F.col("target")
+        F.array(*[F.try_divide(F.col("source_size") * k + F.col("upto"), F.col("target"))
                   for k in range(max_epochs)]).alias("finish"))
     timed = written(timed, "finish-times")
     return timed.withColumn("copies", _copies(timed, budget or 0, slices, max_epochs)).drop(
@@ -110,7 +110,7 @@ def _copies(timed: DataFrame, budget: int, bins: int, max_epochs: int) -> Column
     upto = F.sum("words").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     over = histogram.withColumn("upto", upto).filter(F.col("upto") > budget).orderBy("bin").first()
     if over is None:
-        return F.lit(max_epochs)
+        return F.when(F.col("target") > 0, max_epochs).otherwise(0)
     order = [F.col("time"), F.col("shuffled"), F.col("doc_id").asc_nulls_last(), F.col("copy")]
     in_bin = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     last = (copies.filter(F.col("bin") == over["bin"])
