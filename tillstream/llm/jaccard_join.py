@@ -45,6 +45,7 @@ SHINGLE, PERCENT = 5, 75
 BUCKET_ROWS = 1 << 19
 # A shingle listed by more sets than this is split over several tasks.
 HOT_ROWS = 1 << 16
+SLOTS = 1 << 20
 LEAF, FAN, PAIRS_AT_ONCE = 16, 8, 1 << 16
 # Blocks up to this size compare all pairs at once. In larger ones, one shingle in so many also
 # compares neighbours in the first round, and strays try so many members in the second.
@@ -419,7 +420,7 @@ def _later_round(blocks: DataFrame, marks: DataFrame, compare: Callable,
 
 # --- verification ----------------------------------------------------------------------------
 
-def _plausible(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+def _plausible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """The pairs that could still be similar going by signatures as long as their sets.
 
     These are a twentieth of a whole set, so whole sets travel for next to no pair in vain.
@@ -439,7 +440,6 @@ def _plausible(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
                 fits.append(min(shared, n, m) >= least_overlap(n, m, percent))
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
-    marks = listed.select("doc_id", "n", "signature")
     joined = pairs
     for side in ("a", "b"):
         joined = joined.join(marks.select(
@@ -462,7 +462,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(
         pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = written(_whole_sets(texts.join(wanted, "doc_id", "left_semi")), "candidate-sets")
+    # A broadcast of at most `SLOTS` numbers keeps most texts out of the shuffle before the join.
+    slot_of = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
+    slots = wanted.select(slot_of.alias("slot")).distinct()
+    near = texts.withColumn("slot", slot_of).join(
+        F.broadcast(slots), "slot", "left_semi").drop("slot")
+    sets = written(_whole_sets(near.join(wanted, "doc_id", "left_semi")), "candidate-sets")
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     joined = joined.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -490,16 +495,16 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _dealt(listed.drop("signature"), parts, buckets), parts, percent), "first-round")
     blocks = first.filter("token is not null").select("token", F.col("a").alias("owner"))
     pairs, edges, known = first.filter("token is null").select("a", "b"), None, None
+    marks = written(listed.select("doc_id", "n", "signature"), "marks")
     for compare in (_strays, _tree, None):
-        pairs = written(_plausible(pairs.distinct(), listed, percent), "plausible")
+        pairs = written(_plausible(pairs.distinct(), marks, percent), "plausible")
         new = written(_verified(pairs, docs, percent), "links")
         edges = new if edges is None else edges.union(new)
         known = written(components(edges), "components")
         if compare:
-            marks = listed.select("doc_id", "n", "signature").join(
-                known, listed["doc_id"] == known["vertex"], "left").withColumn(
+            placed = marks.join(known, marks["doc_id"] == known["vertex"], "left").withColumn(
                 "component", F.coalesce("component", "doc_id")).drop("vertex")
-            pairs = written(_later_round(blocks, marks, compare, percent), "candidates")
+            pairs = written(_later_round(blocks, placed, compare, percent), "candidates")
 
     named = classes.join(known, classes["id"] == known["vertex"], "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
