@@ -487,7 +487,9 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = written(sets.filter("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.min("n").alias("n")), "shingle-classes")
     ids = classes.filter("id is not null").select(F.col("id").alias("doc_id"))
-    listed = sets.filter("digest is not null").drop("digest").join(ids, "doc_id", "left_semi")
+    # There are about as many classes as documents; the join takes the same way at every size.
+    listed = sets.filter("digest is not null").drop("digest").join(
+        ids.hint("merge"), "doc_id", "left_semi")
     total = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(64, int(total) // BUCKET_ROWS)
 
