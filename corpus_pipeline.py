@@ -28,8 +28,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar texts the document with the least doc_id stays."""
-    return jaccard_join.keep_one(docs)
+    """Of each component of similar texts the document with the least doc_id stays.
+
+    Documents without id take part; one of them stays where none of the component has an id.
+    """
+    return jaccard_join.keep_one(docs, null_ids=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,20 @@ def test_repeated_ids_and_empty_table(documents, clashing, prose):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 9]
 
 
+def test_rows_without_id_are_kept_and_linked(documents, clashing, prose):
+    text, other, third = prose(40, 1), prose(40, 2), prose(40, 3)
+    rows = [(5, text), (None, text), (None, text + " end"), (None, "x"), (None, other),
+            (None, other + " end"), (None, third), (9, None), (None, None), (None, "y z")]
+    kept = op.keep_one(clashing(documents(rows)), null_ids=True)
+    assert kept.columns == clashing(documents([])).columns
+    found = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    twin = [r for r in found if r[1].startswith(other)]
+    assert len(twin) == 1
+    assert [r for r in found if r not in twin] == sorted(
+        [(5, text), (0, "x"), (0, third), (9, ""), (0, ""), (0, "y z")])
+    assert op.keep_one(documents([]), null_ids=True).count() == 0
+
+
 @pytest.mark.parametrize("edges, expected", [
     ([], {}), ([(1, 1)], {}),
     ([(i, i + 1) for i in range(40)], {i: 0 for i in range(41)}),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from suite.compare import connect, differences, type_differences
 from tillstream.llm import exact_dedup, mixing, url_filter
@@ -124,6 +125,21 @@ def test_mixed_rows_repeat_as_often_as_planned(documents, clashing, prose):
     assert mixing.mixed(documents([])).count() == 0
 
 
+def test_mixed_rows_without_id_or_with_a_shared_one(documents, clashing, prose):
+    rows = [(None, prose(5 + i, i), "ab"[i > 3]) for i in range(12)]
+    rows += [(1, prose(5 + i, 50 + i), "ab"[i > 3]) for i in range(12)]
+    rows += [(2, "same words", "a")] * 3 + [(3, "x y", None), (4, None, "a")]
+    docs = clashing(documents(rows))
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id"), F.lit(0)), "text")
+    planned, counts = {}, {}
+    for r in mixing.schedule(docs, key=key).collect():
+        planned[r["key"]] = planned.get(r["key"], 0) + r["copies"]
+    for r in mixing.mixed(docs).select(key.alias("key")).collect():
+        counts[r["key"]] = counts.get(r["key"], 0) + 1
+    assert counts == {k: n for k, n in planned.items() if n}
+    assert any(k.startswith("0:") for k in counts)
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(i, u, h, "x", 1) for i, (u, h) in enumerate(rows)],
                                  "page_id long, url string, html string, host string, rank int")

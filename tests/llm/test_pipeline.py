@@ -83,3 +83,12 @@ def test_stages_take_empty_and_odd_rows(spark, documents, sf_dir):
         for name, stage in pipeline.STAGES:
             docs = written(stage(spark, docs, sf_dir), name)
         assert (docs.count() > 0) == bool(rows)
+
+
+def test_unique_rows_without_id_reach_the_packing(spark, documents, sf_dir, prose):
+    docs = documents([(None, prose(30, i)) for i in range(4)] + [(i, prose(30, 9 + i))
+                                                               for i in range(4)])
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    assert len({r["text"] for r in docs.filter("doc_id is null").collect()}) == 4
+    assert len({r["text"] for r in docs.collect()}) == 8

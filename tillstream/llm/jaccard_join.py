@@ -515,11 +515,27 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is their component's least one, and those without id."""
-    stay = linked(docs, id_col, text_col).filter("doc_id = component_id").select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(stay, docs[id_col] == stay["__id"], "left_semi")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             null_ids: bool = False) -> DataFrame:
+    """The rows of `docs` whose id is their component's least one.
+
+    Rows without id are left out, or with `null_ids` stand under a 64-bit hash of their text and
+    are linked like any other; one of them stays where nothing with an id is in its component.
+    """
+    if not null_ids:
+        stay = linked(docs, id_col, text_col).filter("doc_id = component_id").select(
+            F.col("doc_id").alias("__id")).distinct()
+        return docs.join(stay, docs[id_col] == stay["__id"], "left_semi")
+    doc_id = F.col(id_col).cast("long")
+    keyed = docs.withColumn("__id", F.coalesce(doc_id, F.xxhash64(
+        F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))))
+    found = linked(keyed, "__id", text_col)
+    hashes = keyed.filter(doc_id.isNull()).select(
+        F.col("__id").alias("doc_id"), F.lit(True).alias("hash")).distinct()
+    first = F.min(F.struct(F.coalesce("hash", F.lit(False)).alias("hash"), "doc_id"))
+    stay = found.join(hashes, "doc_id", "left").groupBy("component_id").agg(
+        first["doc_id"].alias("__id"))
+    return keyed.join(stay, "__id", "left_semi").select(*docs.columns)
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ caps are reached in the order of size / weight, that ends in one ordered sum ove
 
 A null text has size 0, documents of size 0 add nothing, sources of size 0 have target 0, and empty
 input gives empty output. Rows that repeat an id are scheduled as documents of their own; which of
-two rows alike in id, source and size comes first makes no difference. Null ids come last. Extra
+two rows alike in id, source and size comes first makes no difference to the plan. Null ids come
+last. Extra
 columns are not read.
 """
 
@@ -61,9 +62,14 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
 
 def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
-             max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, finish (per copy), copies."""
+             max_epochs: int = MAX_EPOCHS, key: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, finish (per copy), copies.
+
+    A `key` over the columns of `docs` comes out as a further column of that name.
+    """
+    kept = [] if key is None else ["key"]
     sized = written(docs.select(
+        *([] if key is None else [key.alias("key")]),
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("~"))).alias("shuffled")), "sizes")
@@ -81,15 +87,16 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         Window.unboundedPreceding, -1)
     bases = sums.select("source", "slice", F.coalesce(
         F.sum("words").over(in_source), F.lit(0)).alias("base"))
-    in_slice = Window.partitionBy("source", "slice").orderBy("shuffled", "doc_id", "size")
+    in_slice = Window.partitionBy("source", "slice").orderBy(
+        "shuffled", "doc_id", "size", *kept)
     numbered = sliced.withColumn("within", F.sum("size").over(
         in_slice.rowsBetween(Window.unboundedPreceding, 0)))
     based = numbered.join(bases, numbered["source"].eqNullSafe(bases["source"])
                           & (numbered["slice"] == bases["slice"])).select(
-        "doc_id", numbered["source"], "size", "shuffled",
+        *kept, "doc_id", numbered["source"], "size", "shuffled",
         (F.col("base") + F.col("within")).alias("upto"))
     timed = based.join(shares, based["source"].eqNullSafe(shares["source"])).select(
-        "doc_id", "size", "shuffled", "source_size", "target",
+        *kept, "doc_id", "size", "shuffled", "source_size", "target",
         F.array(*[F.try_divide(F.col("source_size") * k + F.col("upto"), F.col("target"))
                   for k in range(max_epochs)]).alias("finish"))
     timed = written(timed, "finish-times")
@@ -136,15 +143,25 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mix itself: the rows of `docs`, once per copy, range-sorted by virtual finish time.
 
-    Ids that occur more than once get each row once for every copy that the id has on average.
+    Plan and rows meet by a key of id, source and text, none of which makes it null; rows alike in
+    all three are numbered.
     """
-    plan = schedule(docs, id_col, text_col, source_col, weights, max_epochs)
-    taken = plan.groupBy("doc_id").agg(
-        F.max_by("copies", "size").alias("__copies"), F.max_by("finish", "size").alias("__finish"))
-    taken = taken.withColumnRenamed("doc_id", "__id").filter("__copies > 0")
-    rows = docs.join(taken, docs[id_col] == taken["__id"])
-    return (rows.withColumn("__time", F.explode(F.slice("__finish", 1, F.col("__copies"))))
-            .orderBy("__time", "__id").select(*[rows[c] for c in docs.columns]))
+    key = F.sha2(F.to_json(F.struct(
+        F.col(id_col).cast("string").alias("id"), F.col(source_col).alias("source"),
+        F.sha2(F.col(text_col).cast("binary"), 256).alias("text"))), 256)
+    plan = schedule(docs, id_col, text_col, source_col, weights, max_epochs, key)
+    alike = Window.partitionBy("key").orderBy(F.element_at("finish", 1))
+    taken = written(plan.select(
+        F.col("key").alias("__key"), F.row_number().over(alike).alias("__number"),
+        F.col("doc_id").alias("__id"), F.col("copies").alias("__copies"),
+        F.col("finish").alias("__finish")), "mix-plan")
+    rows, by = docs.withColumn("__key", key), ["__key"]
+    if not taken.filter("__number > 1").isEmpty():
+        rows, by = rows.withColumn("__number", F.row_number().over(
+            Window.partitionBy("__key").orderBy(F.lit(0)))), ["__key", "__number"]
+    return (rows.join(taken.filter("__copies > 0"), by)
+            .withColumn("__time", F.explode(F.slice("__finish", 1, F.col("__copies"))))
+            .orderBy("__time", "__id").select(*docs.columns))
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
