@@ -81,6 +81,16 @@ def test_misspellings_stems_and_quotations(spark, documents, words):
     assert score(f'he said "you blorgh man" {words}') < score(f"you blorgh man {words}")
 
 
+def test_misspellings_inside_a_stem(spark, documents, words):
+    model = op.learn(*labelled(spark, documents))
+    scorer = op.Scorer(model)
+    assert model.stems and all(
+        scorer.hits(f"{words} {wrong}")[:3] == (0, 1, 0)
+        for wrong in ("zenkuta", "2ankuri", "ankulo", "znkue", "zannkuta"))
+    assert scorer.score(*scorer.hits(f"{words} z4nkuta")[:3]) > 0.5
+    assert scorer.hits(f"{words} zankuwhat")[:3] == (1, 0, 0)
+
+
 def test_odd_rows(spark, documents, clashing):
     docs, labels = labelled(spark, documents)
     model = op.learn(docs, labels)

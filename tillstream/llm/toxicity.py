@@ -4,8 +4,9 @@ Learning reads at most `SAMPLE` labelled documents outside the held-out fold (th
 hash of their id), one of each group of near copies. Words and word beginnings are counted over
 them in Spark; a term is what occurs in several toxic documents in different surroundings and
 nearly never in others. Beginnings shared by several such words become stems. Terms form a trie,
-and Levenshtein automata run over it (`automaton`), so that a word one edit away from a term counts
-as its misspelling, unless clean sample documents use that word.
+with all words of the stems that toxic documents use, and Levenshtein automata run over it
+(`automaton`), so that a word one edit away from a term counts as its misspelling, unless clean
+sample documents use that word. A stem that a word begins with exactly wins over misspellings.
 
 A document is scored from its whole text: hits are sorted into plain ones, misspelled ones and
 quoted ones (quotation marks in the context window on both sides), and a logistic model fitted to
@@ -186,11 +187,24 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     stem_list = _stems({r["stem"]: r["toxic_docs"] for r in found})
     terms = [r["word"] for r in words.filter(strong & (F.char_length("word") >= 3)).orderBy(
         F.col("toxic_docs").desc(), "word").limit(MOST_TERMS).collect()]
-    terms = [t for t in terms if not t.startswith(tuple(stem_list))] if stem_list else terms
+    terms += _family(words, set(stem_list), terms)
     model = Model(terms, stem_list)
     return _fitted(model, sample)
 
 
+def _family(words: DataFrame, stems: set[str], terms: list[str]) -> list[str]:
+    """What else toxic documents use of words that begin with a stem.
+
+    Stems match exactly, so only whole words in the trie catch a misspelling of their beginnings.
+    """
+    begins = F.array(*[F.substring("word", 1, n) for n in STEM_LENGTHS])
+    known = F.broadcast(words.sparkSession.createDataFrame(
+        [(s,) for s in sorted(stems)], "stem string"))
+    rows = words.filter((F.col("toxic_docs") > 20 * F.col("other_docs"))).withColumn(
+        "stem", F.explode(F.array_distinct(begins))).join(known, "stem", "left_semi")
+    return sorted({r["word"] for r in rows.select("word").collect()} - set(terms))
+
+
 def _stems(found: dict[str, int]) -> list[str]:
     """The shortest beginnings, made longer as long as that loses next to nothing."""
     roots: list[str] = []
