@@ -91,6 +91,33 @@ def test_misspellings_inside_a_stem(spark, documents, words):
     assert scorer.hits(f"{words} zankuwhat")[:3] == (1, 0, 0)
 
 
+def test_terms_that_clean_documents_quote(spark, documents, words):
+    docs, labels = labelled(spark, documents)
+    rng, quoting = random.Random(3), []
+    for i in range(60):
+        own = [f"w{rng.randrange(900)}" for _ in range(30)]
+        own[rng.randrange(2, 28)] = rng.choice(['"blorgh"', 'he said "you blorgh man" loudly'])
+        quoting.append((1000 + i, " ".join(own)))
+    more = spark.createDataFrame([(r[0], 1, 0) for r in quoting], labels.schema)
+    model = op.learn(docs.union(documents(quoting)), labels.union(more))
+    scorer = op.Scorer(model)
+    assert "blorgh" in model.terms
+    assert scorer.score(*scorer.hits(f"{words} blorgh")[:3]) > 0.9
+    assert scorer.score(*scorer.hits(f'he said "you blorgh man" {words}')[:3]) < 0.5
+
+
+def test_quotation_is_told_alike_when_counting(spark):
+    rng = random.Random(4)
+    for i in range(5):
+        tokens = [rng.choice(["a", "b", '"a', 'b"', '"c"', 'c",', "d"]) for _ in range(40)]
+        own = " ".join(tokens)
+        plain = {t.strip(op.TRIM) for at, t in enumerate(tokens) if not op.Scorer._quoted(
+            tokens[max(0, at - op.WINDOW):at], t, tokens[at + 1:at + 1 + op.WINDOW])}
+        sample = spark.createDataFrame([(i, 0, own, tokens)],
+                                       "doc_id long, toxic int, text string, words array<string>")
+        assert {r["word"] for r in op._counted(sample).filter("other_docs > 0").collect()} == plain
+
+
 def test_odd_rows(spark, documents, clashing):
     docs, labels = labelled(spark, documents)
     model = op.learn(docs, labels)

@@ -3,7 +3,7 @@
 Learning reads at most `SAMPLE` labelled documents outside the held-out fold (the first ones by a
 hash of their id), one of each group of near copies. Words and word beginnings are counted over
 them in Spark; a term is what occurs in several toxic documents in different surroundings and
-nearly never in others. Beginnings shared by several such words become stems. Terms form a trie,
+nearly never in others, unless quoted there. Beginnings shared by several such words become stems. Terms form a trie,
 with all words of the stems that toxic documents use, and Levenshtein automata run over it
 (`automaton`), so that a word one edit away from a term counts as its misspelling, unless clean
 sample documents use that word. A stem that a word begins with exactly wins over misspellings.
@@ -78,7 +78,7 @@ class Scorer:
         return 2 if match[1] else 1
 
     def hits(self, text: str | None) -> tuple[int, int, int, list[str]]:
-        """Numbers of plain, misspelled and quoted hits, and the misspelled words."""
+        """Numbers of plain, misspelled and quoted hits, and the misspelled words not quoted."""
         tokens = (text or "").lower().split()
         kept = self.kept
         if len(kept) > WORDS_KEPT:
@@ -98,7 +98,8 @@ class Scorer:
             if kind:
                 before = tokens[max(0, at - WINDOW):at]
                 after = tokens[at + 1:at + 1 + WINDOW]
-                counts[3 if self._quoted(before, token, after) else kind] += 1
+                kind = 3 if self._quoted(before, token, after) else kind
+                counts[kind] += 1
                 if kind == 2:
                     wrong.append(token.strip(TRIM))
         return counts[1], counts[2], counts[3], wrong
@@ -141,17 +142,35 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
 
 
 def _counted(sample: DataFrame) -> DataFrame:
-    """Per word of the sample: toxic and other documents, different surroundings in toxic ones."""
+    """Per word of the sample: toxic and other documents, different surroundings in toxic ones.
+
+    Where other documents quote a word it does not count: that is what `quoted_hits` weighs.
+    """
+    marks = f"[{''.join(sorted(QUOTES))}]"
+    opens = F.transform("words", lambda word: F.substring(word, 1, 1).rlike(marks))
+    closes = F.transform("words", lambda word: F.substring(word, -2, 2).rlike(marks))
+    marked = sample.withColumn("quotes", (F.col("toxic") == 0) & F.col("text").rlike(marks))
+    marked = marked.withColumns({name: F.when(F.col("quotes"), found) for name, found in (
+        ("opens", opens), ("closes", closes))})
+
+    def quoted(at: Column) -> Column:
+        # As in `Scorer._quoted`, with the word itself on both sides.
+        before = F.slice("opens", F.greatest(at - WINDOW, F.lit(0)) + 1,
+                         F.least(at, F.lit(WINDOW)) + 1)
+        after = F.slice("closes", at + 1, F.lit(WINDOW + 1))
+        return F.array_contains(before, True) & F.array_contains(after, True)
+
     # The surroundings are looked up before words become rows, or each row would carry the text.
     placed = F.transform("words", lambda word, at: F.struct(
         F.btrim(word, F.lit(TRIM)).alias("word"),
-        F.xxhash64(F.get("words", at - 1), F.get("words", at + 1)).alias("context")))
-    found = sample.select("doc_id", "toxic", F.explode(placed).alias("p")).select(
+        F.xxhash64(F.get("words", at - 1), F.get("words", at + 1)).alias("context"),
+        F.when(F.col("quotes"), quoted(at)).otherwise(False).alias("quoted")))
+    found = marked.select("doc_id", "toxic", F.explode(placed).alias("p")).select(
         "doc_id", "toxic", "p.*").filter("word != ''")
     return found.groupBy("word", "doc_id", "toxic").agg(
-        F.min("context").alias("context")).groupBy("word").agg(
+        F.min("context").alias("context"), F.min("quoted").alias("quoted")).groupBy("word").agg(
         F.count_if(F.col("toxic") == 1).alias("toxic_docs"),
-        F.count_if(F.col("toxic") == 0).alias("other_docs"),
+        F.count_if((F.col("toxic") == 0) & ~F.col("quoted")).alias("other_docs"),
         F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("context")), 0.05)
         .alias("contexts"))
 
