@@ -118,6 +118,21 @@ def test_quotation_is_told_alike_when_counting(spark):
         assert {r["word"] for r in op._counted(sample).filter("other_docs > 0").collect()} == plain
 
 
+def test_shared_passages_do_not_fold_the_sample(spark, documents, prose):
+    header = prose(30, 99)
+    rows = [(i, f"{header} {prose(30, i)}") for i in range(100)]
+    rows += [(100 + i, prose(30, 98)) for i in range(20)]
+    docs = documents([*rows, (200, None), (201, "")])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(202)],
+                                   "doc_id long, quality int, toxic int")
+    sample = op._sample(docs, labels, op.SAMPLE).collect()
+    usable = {r["doc_id"] for r in docs.filter(~op.is_held_out(docs["doc_id"])).collect()}
+    own = [i for i in usable if i < 100]
+    assert sum(r["doc_id"] < 100 for r in sample) >= len(own) - 2
+    # Copies fold to one row per label.
+    assert sorted(r["toxic"] for r in sample if 100 <= r["doc_id"] < 200) == [0, 1]
+
+
 def test_odd_rows(spark, documents, clashing):
     docs, labels = labelled(spark, documents)
     model = op.learn(docs, labels)

@@ -1,12 +1,13 @@
 """Toxicity from a learned lexicon, matched with misspellings and weighed by context.
 
 Learning reads at most `SAMPLE` labelled documents outside the held-out fold (the first ones by a
-hash of their id), one of each group of near copies. Words and word beginnings are counted over
-them in Spark; a term is what occurs in several toxic documents in different surroundings and
-nearly never in others, unless quoted there. Beginnings shared by several such words become stems. Terms form a trie,
-with all words of the stems that toxic documents use, and Levenshtein automata run over it
-(`automaton`), so that a word one edit away from a term counts as its misspelling, unless clean
-sample documents use that word. A stem that a word begins with exactly wins over misspellings.
+hash of their id), one of each group of near copies with one label. Words and word beginnings are
+counted over them in Spark; a term is what occurs in several toxic documents in different
+surroundings and nearly never in others, unless quoted there. Beginnings shared by several such
+words become stems. Terms form a trie, with all words of the stems that toxic documents use, and
+Levenshtein automata run over it (`automaton`), so that a word one edit away from a term counts as
+its misspelling, unless clean sample documents use that word. A stem that a word begins with
+exactly wins over misspellings.
 
 A document is scored from its whole text: hits are sorted into plain ones, misspelled ones and
 quoted ones (quotation marks in the context window on both sides), and a logistic model fitted to
@@ -34,6 +35,8 @@ from tillstream.llm.common import WORD, table, written
 
 SAMPLE = 20_000
 FOLDS = 5
+# Least hashes that near copies share; texts with a share j of common shingles do by j ** 8.
+FOLD_HASHES = 8
 LEAST_DOCS, LEAST_ODDS = 3, 25.0
 # How many words may look like terms by chance alone.
 CHANCE = 0.01
@@ -125,7 +128,7 @@ def features(plain: int, wrong: int, quoted: int) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
-    """(doc_id, toxic, text) to learn from, near copies folded to one."""
+    """(doc_id, toxic, text, words) to learn from, near copies of one label folded to one."""
     usable = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()
                            & ~is_held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
@@ -134,10 +137,16 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     pairs = F.transform(F.slice(F.col("words"), 1, F.greatest(F.size("words") - 2, F.lit(1))),
                         lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
-    keyed = texts.withColumn("words", words).withColumn("group", F.coalesce(
-        F.array_min(pairs), F.xxhash64("doc_id")))
-    # One document speaks for all that share their least shingle.
-    return keyed.groupBy("group").agg(
+
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform("pairs", lambda pair: F.xxhash64(pair, F.lit(seed))))
+
+    # Texts without words have no least shingles and stand for themselves.
+    alike = F.when(F.size("pairs") > 0, F.array(*map(least, range(FOLD_HASHES)))).otherwise(
+        F.array(F.xxhash64("doc_id")))
+    keyed = texts.withColumn("words", words).withColumn("pairs", pairs).withColumn("alike", alike)
+    # One document speaks for all of its label that share every least shingle.
+    return keyed.groupBy("toxic", "alike").agg(
         F.min_by(F.struct("doc_id", "toxic", "text", "words"), "doc_id").alias("d")).select("d.*")
 
 
