@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstream.llm import toxicity as op
 from tillstream.llm.automaton import TermMachine
@@ -156,6 +157,21 @@ def test_without_labels(spark, documents):
     assert op.learn(documents([]), labels).terms == []
 
 
+def test_rich_lexicons_and_samples_without_words(spark, documents):
+    docs, labels = labelled(spark, documents, 30)
+    model = op.learn(docs.withColumn("text", F.lit("")), labels)
+    assert model.terms == [] and op.scored(docs, model).filter("predicted = 1").count() == 0
+    # 4,500 words, each in half of the toxic documents and between other words each time.
+    rng, terms, rows = random.Random(5), [f"{i:x}q{i * 7919 % 4500}z" for i in range(4500)], []
+    for i in range(100):
+        own = [t for at, t in enumerate(terms) if (at + i) % 2 == 0]
+        rng.shuffle(own)
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, f"clean words {i}")]
+    model = op.learn(documents(rows), spark.createDataFrame(
+        [(r[0], 1, 1 - r[0] % 2) for r in rows], labels.schema))
+    assert len(model.terms) > 4000
+
+
 def test_held_out_labels_are_not_read(spark, documents):
     docs, labels = labelled(spark, documents)
     from pyspark.sql import functions as F

@@ -40,7 +40,6 @@ FOLD_HASHES = 8
 LEAST_DOCS, LEAST_ODDS = 3, 25.0
 # How many words may look like terms by chance alone.
 CHANCE = 0.01
-MOST_TERMS = 4000
 STEM_LENGTHS = (4, 5, 6)
 LEAST_STEM_WORDS, SAME = 3, 0.95
 WINDOW = 6
@@ -197,10 +196,13 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     if not n_toxic or not n_other:
         return Model()
     words = written(_counted(sample), "toxicity-words")
+    n_words = words.count()
+    if not n_words:
+        return Model()
     odds = _odds(n_toxic, n_other)
     # A word of that many documents meets only toxic ones with a chance of (share of toxic)**n.
     least = max(LEAST_DOCS, math.ceil(
-        math.log(words.count() / CHANCE) / math.log((n_toxic + n_other) / n_toxic)))
+        math.log(n_words / CHANCE) / math.log((n_toxic + n_other) / n_toxic)))
     strong = ((F.col("toxic_docs") >= least) & (F.col("contexts") >= least)
               & (odds >= LEAST_ODDS) & (F.col("toxic_docs") > 20 * F.col("other_docs")))
     begun = words.withColumn("stem", F.explode(F.array(*[
@@ -210,11 +212,11 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
         F.sum("toxic_docs").alias("toxic_docs"), F.sum("other_docs").alias("other_docs"),
         F.sum("contexts").alias("contexts"),
         F.count_if(F.col("toxic_docs") > 0).alias("n_words"))
-    found = stems.filter(strong & (F.col("n_words") >= LEAST_STEM_WORDS)).orderBy(
-        F.col("toxic_docs").desc(), "stem").limit(MOST_TERMS).collect()
+    # What the sample holds bounds the rows collected here and below.
+    found = stems.filter(strong & (F.col("n_words") >= LEAST_STEM_WORDS)).collect()
     stem_list = _stems({r["stem"]: r["toxic_docs"] for r in found})
     terms = [r["word"] for r in words.filter(strong & (F.char_length("word") >= 3)).orderBy(
-        F.col("toxic_docs").desc(), "word").limit(MOST_TERMS).collect()]
+        F.col("toxic_docs").desc(), "word").collect()]
     terms += _family(words, set(stem_list), terms)
     model = Model(terms, stem_list)
     return _fitted(model, sample)
@@ -235,12 +237,12 @@ def _family(words: DataFrame, stems: set[str], terms: list[str]) -> list[str]:
 
 def _stems(found: dict[str, int]) -> list[str]:
     """The shortest beginnings, made longer as long as that loses next to nothing."""
-    roots: list[str] = []
+    longer: dict[str, list[str]] = {}
     for stem in sorted(found, key=lambda s: (len(s), s)):
-        if not stem.startswith(tuple(roots)):
-            roots.append(stem)
-    return [max((s for s in found if s.startswith(root) and found[s] >= SAME * found[root]),
-                key=lambda s: (len(s), found[s], s)) for root in roots]
+        root = next((stem[:n] for n in STEM_LENGTHS if stem[:n] in longer), stem)
+        longer.setdefault(root, []).append(stem)
+    return [max((s for s in own if found[s] >= SAME * found[root]),
+                key=lambda s: (len(s), found[s], s)) for root, own in longer.items()]
 
 
 def _fitted(model: Model, sample: DataFrame) -> Model:
