@@ -70,3 +70,21 @@ def test_few_repeated_and_no_rows(spark):
 def test_components_beyond_exact_sums_are_refused(spark):
     with pytest.raises(Exception, match="or more"):
         found(vectors(spark, [(0, [1e9]), (1, [1.0])]))
+
+
+def test_large_components_do_not_cost_the_query(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(120)]
+    rows += [(200, [7e4, -3.0, 0.5, 1.0]), (201, [-9e5, 1.0, 1.0, 2e6]), (202, [0.0, 0.0, 1e11, 0.0])]
+    vectors(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(r) for r in op.op9_exact_topk(spark, str(tmp_path)).collect())
+    assert got == brute.top_k(whole(rows), [0, 50, 100, 200])
+
+
+def test_products_beyond_64_bits():
+    found = np.array([[1 << 40, -(1 << 40)], [3, 4], [1 << 40, 1 << 40]], np.int64)
+    query = np.array([1 << 40, 1 << 40], np.int64)
+    assert op._products(found[:2], query).tolist() == [0, 7 << 40]
+    assert op._products(-found[2:], query).tolist() == [op.LOWEST]
+    with pytest.raises(OverflowError):
+        op._products(found, query)

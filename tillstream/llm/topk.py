@@ -11,9 +11,9 @@ The chunks' best k per query are merged by a ranking that Spark limits before it
 
 Vectors that are null, empty, without vec_id, or hold a null or non-finite component take no part. Shorter vectors
 count as padded with zeros. Ties go to the smaller vec_id. A query does not find rows with its
-own vec_id; of query rows that repeat an id, one is used. Quantised components have to stay below
-2**24 in size for exact sums; larger ones are refused with an error. An empty table gives no rows.
-Extra columns are not read.
+own vec_id; of query rows that repeat an id, one is used. An empty table gives no rows. Extra columns
+are not read. Components of 2**24 or more after quantising need `wide` rows, which the query takes
+by itself. Refused with an error is what the 64 bits of a score or component cannot hold, as in SQL.
 """
 
 from __future__ import annotations
@@ -23,27 +23,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import table, written
 
 K, SCALE, HEAD = 5, 256, 24
+# Products of lengths from here on are summed in Python's integers, which do not wrap. Scores below
+# 64 bits stand as LOWEST until it is known whether they are among the best.
+WRAPS, LOWEST = 2.0 ** 62, np.iinfo(np.int64).min + 2
 QUERY_BLOCK, LEAST_CHUNK, MOST_CHUNK, STRIP = 2048, 1024, 1 << 18, 1024
 
 
+def _beyond(vector: Column, limit: float) -> Column:
+    return F.exists(vector, lambda c: F.abs(c) >= limit)
+
+
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-              scale: int = SCALE) -> DataFrame:
-    """(vec_id, v) with integer components floor(scale * x) of all vectors that take part."""
+              scale: int = SCALE, wide: bool = False) -> DataFrame:
+    """(vec_id, v) with integer components floor(scale * x) of all vectors that take part.
+
+    Components are 32-bit integers below 2**24, or with `wide` 64-bit ones below 2**62.
+    """
     x = F.col(vector_col)
-    limit = 2.0 ** 24 / scale
+    limit = 2.0 ** (62 if wide else 24) / scale
     sound = x.isNotNull() & (F.size(x) > 0) & F.forall(
         x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    held = F.when(F.exists(x, lambda c: F.abs(c) >= limit), F.raise_error(F.lit(
+    held = F.when(_beyond(x, limit), F.raise_error(F.lit(
         f"a component is {limit} or more"))).otherwise(x)
     return vectors.filter(sound & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("vec_id"), F.transform(
-            held, lambda c: F.floor(c.cast("double") * scale).cast("int")).alias("v"))
+            held, lambda c: F.floor(c.cast("double") * scale).cast("long" if wide else "int")
+        ).alias("v"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -75,6 +86,14 @@ def rotation(rows: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh(matrix.reshape(width, width))[1][:, ::-1].copy()
 
 
+def _products(found: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Scores that might not fit 64 bits; too high ones are an error, too low ones `LOWEST`."""
+    scores = (found.astype(object) @ query.astype(object)).tolist()
+    if max(scores) > np.iinfo(np.int64).max:
+        raise OverflowError("one of the best scores does not fit 64 bits")
+    return np.array([max(score, LOWEST) for score in scores], np.int64)
+
+
 def best_in_chunk(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray,
                   found_ids: np.ndarray, axes: np.ndarray, k: int = K, head: int = HEAD,
                   strip: int = STRIP) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -105,7 +124,9 @@ def best_in_chunk(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray,
             if not len(columns):
                 continue
             scored += len(columns)
-            scores = np.concatenate([best[row], found[a + columns] @ queries[row]])
+            # Sums below 2**63 are exact even if they wrap on the way.
+            exact = np.matmul if q_norms[row] * norms[a] < WRAPS else _products
+            scores = np.concatenate([best[row], exact(found[a + columns], queries[row])])
             ids = np.concatenate([best_ids[row], found_ids[a + columns]])
             top = np.lexsort((ids, -scores))[:k]
             best[row], best_ids[row] = scores[top], ids[top]
@@ -145,14 +166,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, head: int = HEAD)
         search, "query_id long, vec_id long, score long")
     ranked = near.withColumn("rank", F.row_number().over(
         Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.col("score") == int(LOWEST), F.raise_error(F.lit(
+        "one of the best scores does not fit 64 bits"))).otherwise(F.col("score"))
+    return ranked.filter(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", score.alias("score"))
 
 
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = written(quantised(table(spark, sf_dir, "embeddings")), "vectors")
+    embeddings = table(spark, sf_dir, "embeddings")
+    # Twice the bytes only where a component needs them.
+    wide = not embeddings.filter(_beyond(F.col("embedding"), 2.0 ** 24 / SCALE)).isEmpty()
+    vectors = written(quantised(embeddings, wide=wide), "vectors")
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
