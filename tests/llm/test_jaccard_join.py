@@ -127,6 +127,19 @@ def test_repeated_ids_and_empty_table(documents, clashing, prose):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 9]
 
 
+def test_signatures_are_folded_before_they_meet_blocks(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    signatures = [bytes(rng.integers(0, 256, 8 << n, dtype=np.uint8)) for n in range(13)]
+    marks = spark.createDataFrame([(i, 9, bytearray(s)) for i, s in enumerate(signatures)],
+                                  "owner long, n long, signature binary")
+    folded = [bytes(r["signature"]) for r in op._folded(marks).orderBy("owner").collect()]
+    assert max(map(len, folded)) == 8 * op.WIDE_WORDS
+    for whole, less in zip(op._wide_maps(pa.array(signatures)), op._wide_maps(pa.array(folded))):
+        assert (whole == less).all()
+
+
 def test_rows_without_id_are_kept_and_linked(documents, clashing, prose):
     text, other, third = prose(40, 1), prose(40, 2), prose(40, 3)
     rows = [(5, text), (None, text), (None, text + " end"), (None, "x"), (None, other),

@@ -365,6 +365,22 @@ def _wide_maps(signatures: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return maps, bits, repeats
 
 
+def _folded(marks: DataFrame) -> DataFrame:
+    """`marks` with signatures of at most `WIDE_WORDS` words, which is all a bucket looks at."""
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for signature in batch.column("signature"):
+                own = np.frombuffer(signature.as_buffer(), np.uint64)
+                if len(own) > WIDE_WORDS:
+                    own = np.bitwise_or.reduce(own.reshape(-1, WIDE_WORDS))
+                out.append(own.tobytes())
+            place = batch.schema.get_field_index("signature")
+            yield batch.set_column(place, "signature", pa.array(out, pa.binary()))
+
+    return marks.mapInArrow(fold, marks.schema)
+
+
 def _later_round(blocks: DataFrame, marks: DataFrame, compare: Callable,
                  percent: int) -> DataFrame:
     """Pairs (a, b) of large blocks (token, owner) that are not connected yet and may be similar.
@@ -383,8 +399,9 @@ def _later_round(blocks: DataFrame, marks: DataFrame, compare: Callable,
         "token", "owner", "component", part.alias("part"), other.alias("other")).select(
         F.xxhash64("token", F.least("part", "other"), F.greatest("part", "other")).alias("token"),
         "owner", "component")
-    rows = written(pieces.join(marks.select(
-        F.col("doc_id").alias("owner"), "n", "signature"), "owner"), "open-blocks")
+    # Folded first, a row is bounded in bytes, so a bucket bounded in rows is as well.
+    rows = written(pieces.join(_folded(marks.select(
+        F.col("doc_id").alias("owner"), "n", "signature")), "owner"), "open-blocks")
     buckets = max(64, rows.count() // BUCKET_ROWS)
 
     def search(bucket: pa.Table) -> pa.Table:
