@@ -11,8 +11,8 @@ The chunks' best k per query are merged by a ranking that Spark limits before it
 
 Vectors that are null, empty, without vec_id, or hold a null or non-finite component take no part. Shorter vectors
 count as padded with zeros. Ties go to the smaller vec_id. A query does not find rows with its
-own vec_id; of query rows that repeat an id, one is used. An empty table gives no rows. Extra columns
-are not read. Components of 2**24 or more after quantising need `wide` rows, which the query takes
+own vec_id; of query rows that repeat an id, one is used. An empty table gives no rows. Extra
+columns are not read. Components of 2**24 or more after quantising need `wide` rows, which the query takes
 by itself. Refused with an error is what the 64 bits of a score or component cannot hold, as in SQL.
 """
 
