@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillstream.llm.chat_format import OP8_SQL, op8_chat_format
 from tillstream.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from tillstream.llm.imatch import OP11_SQL, op11_imatch
 from tillstream.llm.jaccard_join import op6_jaccard_join
 from tillstream.llm.mixing import OP5_SQL, op5_source_mixing
 from tillstream.llm.packing import op10_best_fit_packing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_topk": op9_exact_topk,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_imatch": op11_imatch,
 }
 
 # The others depend on a tokenizer or a learned model, or are too slow in SQL on whole tables
@@ -34,4 +36,5 @@ ORACLES = {
     "op7_url_filter": OP7_SQL,
     "op8_chat_format": OP8_SQL,
     "op9_exact_topk": OP9_SQL,
+    "op11_imatch": OP11_SQL,
 }
