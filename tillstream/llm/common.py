@@ -65,3 +65,18 @@ def ascii_lower(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _nibble(value: int) -> int:
+    for _ in range(4):
+        value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 as DuckDB SQL, four bits at a time, low ones first."""
+    steps = ", ".join(str(_nibble(value)) for value in range(16))
+    digits = (f"list_transform(range(2 * octet_length(encode({text}))), lambda k: "
+              f"instr('0123456789ABCDEF', hex(encode({text}))[xor(k, 1) + 1]) - 1)")
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, {digits}), "
+            f"lambda c, d: xor(c >> 4, [{steps}][(xor(c, d) & 15) + 1])))")

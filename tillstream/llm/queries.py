@@ -8,6 +8,7 @@ from tillstream.llm.imatch import OP11_SQL, op11_imatch
 from tillstream.llm.jaccard_join import op6_jaccard_join
 from tillstream.llm.mixing import OP5_SQL, op5_source_mixing
 from tillstream.llm.packing import op10_best_fit_packing
+from tillstream.llm.spelling import OP13_SQL, op13_spelling_variants
 from tillstream.llm.substring_dedup import op1_substring_dedup
 from tillstream.llm.token_counts import op4_token_counts
 from tillstream.llm.topk import OP9_SQL, op9_exact_topk
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_imatch": op11_imatch,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # The others depend on a tokenizer or a learned model, or are too slow in SQL on whole tables
@@ -37,4 +39,5 @@ ORACLES = {
     "op8_chat_format": OP8_SQL,
     "op9_exact_topk": OP9_SQL,
     "op11_imatch": OP11_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
