@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillstream.llm.chat_format import OP8_SQL, op8_chat_format
+from tillstream.llm.conversation_trie import OP12_SQL, op12_conversation_trie
 from tillstream.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from tillstream.llm.imatch import OP11_SQL, op11_imatch
 from tillstream.llm.jaccard_join import op6_jaccard_join
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_imatch": op11_imatch,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -39,5 +41,6 @@ ORACLES = {
     "op8_chat_format": OP8_SQL,
     "op9_exact_topk": OP9_SQL,
     "op11_imatch": OP11_SQL,
+    "op12_conversation_trie": OP12_SQL,
     "op13_spelling_variants": OP13_SQL,
 }
