@@ -124,9 +124,9 @@ def to_messages(spark, sf_dir):
 @query
 def idempotent_insert(spark, sf_dir):
     """Rows a table that already holds some events gains from all messages."""
-    store = EventStore(spark, scratch_folder(spark, "store"))
-    store.insert(fx.stored_events(spark, sf_dir).drop("event_date"))
-    store.insert(classify.valid_events(fx.classified(spark, sf_dir)))
+    with EventStore(spark, scratch_folder(spark, "store")) as store:
+        store.insert(fx.stored_events(spark, sf_dir).drop("event_date"))
+        store.insert(classify.valid_events(fx.classified(spark, sf_dir)))
     return _plain(store.events().drop("ingested_at", "event_date"))
 
 
@@ -561,11 +561,10 @@ def _message_files(spark, sf_dir, by: str = "key") -> str:
     return _files(fx.messages(spark, sf_dir), "messages", by)
 
 
-def _ingested(spark, sf_dir) -> EventStore:
+def _ingested(spark, sf_dir, on_batch=None) -> EventStore:
     stream = message_source.file_stream(spark, _message_files(spark, sf_dir), max_files=2)
     store = EventStore(spark, scratch_folder(spark, "store"))
-    ingest.start(stream, store, scratch_folder(spark, "offsets"),
-                 until_drained=True).awaitTermination()
+    ingest.drain(stream, store, scratch_folder(spark, "offsets"), on_batch=on_batch)
     return store
 
 
@@ -594,8 +593,8 @@ def stream_retry(spark, sf_dir):
         message_source.file_stream(spark, _files(rows, "retry", "offset"), max_files=1))
     store = EventStore(spark, scratch_folder(spark, "store"))
     skipped = []
-    ingest.start(stream, store, scratch_folder(spark, "offsets"), until_drained=True,
-                 on_batch=lambda _, counts: skipped.append(counts["skipped"])).awaitTermination()
+    ingest.drain(stream, store, scratch_folder(spark, "offsets"),
+                 on_batch=lambda _, counts: skipped.append(counts["skipped"]))
     letters = store.dead_letters().where("retry_count > 0").drop("failed_at")
     return _plain(letters).withColumn("skipped", F.lit(sum(skipped)).cast("long"))
 

@@ -17,6 +17,21 @@ from tillstream.streaming import sales as sales_stream
 FAST = Settings(write_attempts=2, write_backoff_seconds=0.0)
 
 
+@pytest.fixture(autouse=True)
+def closed_stores(monkeypatch):
+    """Ends the streams of all stores that a test opened."""
+    opened, init = [], EventStore.__init__
+
+    def watched(self, *args):
+        opened.append(self)
+        init(self, *args)
+
+    monkeypatch.setattr(EventStore, "__init__", watched)
+    yield
+    for store in opened:
+        store.close()
+
+
 def store_at(spark, path):
     return EventStore(spark, str(path))
 
@@ -25,9 +40,7 @@ def run(spark, source, store, offsets, on_batch=None, settings=FAST, retry=None,
     stream = file_stream(spark, str(source), max_files)
     if retry:
         stream = ingest.with_retries(stream, file_stream(spark, str(retry)))
-    query = ingest.start(stream, store, str(offsets), settings, until_drained=True,
-                         on_batch=on_batch)
-    query.awaitTermination()
+    ingest.drain(stream, store, str(offsets), settings, on_batch)
 
 
 def publish(frame, path):
@@ -46,7 +59,22 @@ def test_end_to_end(spark, tmp_path, messages, event):
     assert (letter.reason, letter.errors, letter.retry_count, letter.key) == (
         "VALIDATION_FAILED", ["invalid quantity: 'NOT_A_NUMBER'"], 0, "user_1")
     assert counts == [
-        {"consumed": 4, "skipped": 0, "invalid": 1, "inserted": 2, "duplicates": 1}]
+        {"consumed": 4, "skipped": 0, "invalid": 1, "inserted": 2, "duplicates": 1,
+         "batch_duplicates": 1, "table_duplicates": 0}]
+
+
+def test_counters_of_batches_without_valid_rows(spark, tmp_path, messages, event):
+    """Only broken messages, only copies, copies of both kinds: one set of counters each."""
+    for offset, payloads in enumerate([["{", "["], [event(event_id="a")] * 2,
+                                       [event(event_id="a")] * 2 + [event(event_id="b")] * 3]):
+        publish(messages(payloads, first_offset=10 * offset), tmp_path / "in")
+        counts = []
+        store = store_at(spark, tmp_path / "store")
+        run(spark, tmp_path / "in", store, tmp_path / "offsets", lambda _, c: counts.append(c))
+        assert len(counts) == 1
+        figures = [counts[0][k] for k in ("consumed", "invalid", "inserted", "batch_duplicates",
+                                          "table_duplicates")]
+        assert figures == [[2, 2, 0, 0, 0], [2, 0, 1, 1, 0], [5, 0, 1, 3, 1]][offset]
 
 
 def test_shuffled_copies(spark, tmp_path, messages, event):
@@ -132,7 +160,7 @@ def test_cost_follows_the_batch(spark, tmp_path, messages, event, monkeypatch):
     store = store_at(spark, tmp_path / "store")
     store.insert(valid_events(classify(messages([event(event_id="first")]))))
     read = []
-    monkeypatch.setattr(store, "events", lambda: 1 / 0)
+    monkeypatch.setattr(store, "events", lambda: 1 / 0)  # called only when the stream starts
     append = store._append
 
     def watch(fresh):
@@ -238,9 +266,8 @@ def test_retry_path_of_a_running_job(spark, tmp_path, messages, event):
     counts, sent = [], []
     stream = ingest.with_retries(file_stream(spark, str(tmp_path / "in")),
                                  file_stream(spark, str(tmp_path / "retry")))
-    ingest.start(stream, store, str(tmp_path / "offsets2"), FAST, until_drained=True,
-                 on_batch=lambda _, c: counts.append(c),
-                 publish=lambda m: sent.append(m.count())).awaitTermination()
+    ingest.drain(stream, store, str(tmp_path / "offsets2"), FAST,
+                 on_batch=lambda _, c: counts.append(c), publish=lambda m: sent.append(m.count()))
     assert sum(c["skipped"] for c in counts) == 2
     assert [r.event_id for r in store.events().collect()] == ["x"]
     again = store.dead_letters().where("retry_count > 0").collect()
@@ -257,11 +284,49 @@ def test_stop_lets_the_batch_end(spark, tmp_path, messages, event):
                          on_batch=lambda *_: ended.append(1))
     while not query.status["isTriggerActive"] and not ended:
         pass
-    ingest.stop_after_batch(query)
+    assert ingest.stop_after_batch(query)
     assert not query.isActive and query.exception() is None
     assert store.events().count() == len(ended) <= 1
 
 
+def test_a_batch_that_begins_while_stopping_writes_nothing(spark, tmp_path, messages, event):
+    publish(messages([event()]), tmp_path / "in")
+    store, ended = store_at(spark, tmp_path / "store"), []
+    stream = file_stream(spark, str(tmp_path / "in"))
+    query = ingest.start(stream, store, str(tmp_path / "o"), FAST,
+                         on_batch=lambda *_: ended.append(1))
+    ingest._gates[query].closed = True
+    query.stop()
+    assert store.events().count() == 0 and not ended
+    run(spark, tmp_path / "in", store, tmp_path / "o")
+    assert store.events().count() == 1
+
+
+def test_state_stays_loaded(spark, tmp_path, messages, event):
+    """The twentieth batch loads no snapshot and replays no changelog, nor does any but the first."""
+    rows = messages([event(event_id=f"e{i}") for i in range(300)])
+    with store_at(spark, tmp_path / "store") as store:
+        assert store.insert(valid_events(classify(rows))) == 300
+        query, run_id = store._query, store._query.runId
+        for batch in range(19):
+            more = messages([event(event_id=f"b{batch}-{i}") for i in range(20)]
+                            + [event(event_id="e1")])
+            assert store.insert(valid_events(classify(more))) == 20
+        assert store._query is query and query.runId == run_id
+        for progress in [p for p in query.recentProgress if p["numInputRows"]][1:]:
+            figures = progress["stateOperators"][0]["customMetrics"]
+            assert figures["rocksdbReplayChangelogFileCount" if "rocksdbReplayChangelogFileCount"
+                           in figures else "rocksdbNumReplayChangelogFiles"] == 0, figures
+    assert not query.isActive
+
+
+def test_two_stores_on_a_folder_take_turns(spark, tmp_path, messages, event):
+    rows = [valid_events(classify(messages([event(event_id=i) for i in ids]))) for ids in ("ab", "bc")]
+    one, two = (store_at(spark, tmp_path / "store") for _ in range(2))
+    assert [one.insert(rows[0]), two.insert(rows[1]), one.insert(rows[1])] == [2, 1, 0]
+    assert one.events().count() == 3
+
+
 def test_read_dlq_defaults_and_skips(spark):
     rows = spark.createDataFrame(
         [(b"k", b'{"dlq_id": "1"}'), (None, b"[1]"), (None, b"{"), (None, b'{"dlq_id":"2"} x')],

@@ -2,22 +2,26 @@
 
 Parquet has no unique constraint, so there must be one writer at a time. What a batch wants to add
 is written as candidates, each id once; a stream reads these, drops the ids its state has seen and
-appends the rest to the events. The state holds every id ever stored (in RocksDB, saved as
-changes), so what a batch costs follows the batch and not the history. Candidates are deleted once
+appends the rest to the events. The stream starts with the first batch and keeps running, so its
+state (every id ever stored, in RocksDB) is loaded once and stays loaded: a batch saves its changes,
+and snapshots go up in the background. `close` ends the stream; the next batch starts it again. A
+second store on the same folder takes the stream over from the first. Candidates are deleted once
 they are stored. Should the state be lost, it is filled again from the ids of the stored events.
 """
 
 from __future__ import annotations
 
 import logging
+import threading
 import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.dedup import first_wins, new_rows, stored_hits
 from tillstream.schemas import DLQ_SCHEMA, RAW_TABLE_SCHEMA
@@ -32,6 +36,8 @@ DEAD_LETTER_SCHEMA = T.StructType([
 CANDIDATE_SCHEMA = T.StructType([
     *(T.StructField(f.name, f.dataType) for f in RAW_TABLE_SCHEMA),
     T.StructField("stored", T.BooleanType())])
+# How often a waiting stream looks for candidates.
+POLLING = ("spark.sql.streaming.pollingDelay", "50ms")
 
 
 class EventStore:
@@ -48,6 +54,24 @@ class EventStore:
         # Whether candidates of a run that was cut off may be waiting, or be half stored.
         self._unsettled = True
         self._settling = self._rebuilding = False
+        self._query: StreamingQuery | None = None
+        self._added: list[int] = []
+        self._lock = threading.RLock()
+        # How many rows the last batch had after its own copies were folded.
+        self.candidates = 0
+
+    def __enter__(self) -> EventStore:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Ends the stream between two batches; whatever was inserted is stored."""
+        with self._lock:
+            if self._query is not None:
+                self._query.stop()
+                self._query = None
 
     @property
     def events_path(self) -> str:
@@ -78,20 +102,28 @@ class EventStore:
 
         What an earlier, failed call left behind is stored first and counted as well.
         """
-        inserted = self._settle()
-        self._unsettled = True
-        self._add_candidates(first_wins(events).withColumns({
-            "event_date": F.col("event_timestamp").cast("date"), "stored": F.lit(False)}))
-        inserted += self._drain()
-        self._unsettled = False
-        return inserted
+        with self._lock:
+            inserted = self._settle()
+            self._unsettled = True
+            seen = Observation()
+            self._add_candidates(first_wins(events).withColumns({
+                "event_date": F.col("event_timestamp").cast("date"), "stored": F.lit(False),
+            }).observe(seen, F.count(F.lit(1)).alias("rows")))
+            self.candidates = seen.get["rows"]
+            inserted += self._drain()
+            self._unsettled = False
+            return inserted
 
     def _settle(self) -> int:
         if not self._unsettled:
             return 0
-        if not self._has_state() and not self.events().isEmpty():
-            self._rebuilding = True
-            self._add_candidates(self.events().withColumn("stored", F.lit(True)))
+        if not self._has_state():
+            if not self.events().isEmpty():
+                self._rebuilding = True
+                self._add_candidates(self.events().withColumn("stored", F.lit(True)))
+            elif self.spark.read.schema(CANDIDATE_SCHEMA).parquet(self.candidates_path).isEmpty():
+                self._unsettled = False
+                return 0
         self._settling = True
         inserted = self._drain()
         self._unsettled = self._settling = self._rebuilding = False
@@ -108,38 +140,52 @@ class EventStore:
             self.candidates_path)
 
     def _drain(self) -> int:
-        """Passes waiting candidates through the stream that knows all ids."""
-        added: list[int] = []
-
-        def append(batch: DataFrame, _: int) -> None:
-            added.append(self._append(batch.where("NOT stored").drop("stored")))
-
-        waiting = self.spark.readStream.schema(CANDIDATE_SCHEMA).option(
-            "cleanSource", "delete").parquet(self.candidates_path)
-        waiting.dropDuplicates(["event_id"]).writeStream.foreachBatch(append).option(
-            "checkpointLocation", self.state_path).trigger(availableNow=True).start(
-        ).awaitTermination()
-        return sum(added)
+        """Waits until the stream that knows all ids has passed the waiting candidates."""
+        self._added.clear()
+        query = self._running()
+        query.processAllAvailable()
+        if not query.isActive:
+            raise RuntimeError("the stream of stored ids was stopped by another store or session")
+        return sum(self._added)
+
+    def _running(self) -> StreamingQuery:
+        if self._query is None or not self._query.isActive:
+            waiting = self.spark.readStream.schema(CANDIDATE_SCHEMA).option(
+                "cleanSource", "delete").parquet(self.candidates_path)
+            before = self.spark.conf.get(POLLING[0], None)
+            self.spark.conf.set(*POLLING)
+            try:
+                self._query = waiting.dropDuplicates(["event_id"]).writeStream.foreachBatch(
+                    lambda batch, _: self._added.append(
+                        self._append(batch.where("NOT stored").drop("stored")))).option(
+                    "checkpointLocation", self.state_path).start()
+            finally:
+                if before is None:
+                    self.spark.conf.unset(POLLING[0])
+                else:
+                    self.spark.conf.set(POLLING[0], before)
+        return self._query
 
     def _append(self, fresh: DataFrame) -> int:
         """Adds rows with new ids; a batch that was cut off while it was added comes again."""
-        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-        rest = fresh
+        again = self._rebuilding or self._settling
+        rest = fresh.persist(StorageLevel.MEMORY_AND_DISK) if again else fresh
+        seen = Observation()
         try:
             if self._rebuilding:
                 rest = new_rows(fresh, self.events())
             elif self._settling and not fresh.isEmpty():
                 rest = self._not_in_events(fresh)
-            count = rest.count()
-            if count:
-                self._add_events(rest)
+            # Counted above the exchange: below it the count would go where nothing is left to add.
+            self._add_events(rest.hint("rebalance", "event_date").observe(
+                seen, F.count(F.lit(1)).alias("rows")))
+            return seen.get["rows"]
         finally:
-            fresh.unpersist()
-        return count
+            if again:
+                fresh.unpersist()
 
     def _add_events(self, rows: DataFrame) -> None:
-        rows.hint("rebalance", "event_date").write.mode("append").partitionBy(
-            "event_date").parquet(self.events_path)
+        rows.write.mode("append").partitionBy("event_date").parquet(self.events_path)
 
     def _not_in_events(self, fresh: DataFrame) -> DataFrame:
         first, last = fresh.agg(F.min("event_date"), F.max("event_date")).first()
