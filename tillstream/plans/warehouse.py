@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators import quality
+from tillstream.plans.publish import Published
 from tillstream.plans.sales import sales_by_interval, sales_totals
 from tillstream.plans.staging import stg_events
 from tillstream.schemas import EVENT_TYPES, RAW_TABLE_SCHEMA
@@ -54,21 +55,48 @@ def create_staging_view(spark: SparkSession) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW staging.stg_events AS SELECT {names} FROM raw.events")
 
 
-def materialize(model: DataFrame, table: str, partition_by: str | None = None) -> None:
-    """Rebuilds a table from scratch."""
-    writer = model.write.format("parquet").mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
+def materialize(model: DataFrame, table: str, partition_by: str | None = None,
+                checks: list | None = None) -> DataFrame | None:
+    """Rebuilds a table from scratch; returns the report of its data tests.
+
+    The new rows are written aside and tested there. Only then the catalog's location is set to them,
+    in one step: until then, and for good if a test fails, the table stays as it was.
+    """
+    spark = model.sparkSession
+    layer, name = table.split(".")
+    root = spark.catalog.getDatabase(layer).locationUri
+    versions = Published(spark, f"{root}/_{name}", model.schema)
+    version, report = versions.stage(model, partition_by), None
+    if checks:
+        report = quality.report(versions.rows(version), checks)
+        quality.enforce(report)
+    folder = versions.folder(version)
+    known = spark.catalog.tableExists(table) and not partition_by
+    if known and spark.table(table).schema == model.schema:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        # Of partitions the catalog knows the folders one by one, so such a table is described anew.
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in model.schema)
+        split = f"PARTITIONED BY ({partition_by})" if partition_by else ""
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {split} LOCATION '{folder}'")
+        if partition_by:
+            spark.catalog.recoverPartitions(table)
+    versions.publish(version)
+    versions.vacuum()
+    return report
 
 
 def build_sales(spark: SparkSession) -> DataFrame:
-    """Runs the models in order, tests them, and returns the test report; raises on a failure."""
+    """Runs and tests the models in order and returns the test report. A failed test raises, and the
+    sales table of the build before stays."""
     create_staging_view(spark)
     staged = spark.table("staging.stg_events")
-    materialize(sales_by_interval(staged), "analytics.sales_by_interval")
-    report = quality.report(staged, STAGING_CHECKS).unionByName(
-        quality.report(spark.table("analytics.sales_by_interval"), SALES_CHECKS))
+    report = quality.report(staged, STAGING_CHECKS)
     quality.enforce(report)
-    return report
+    return report.unionByName(materialize(
+        sales_by_interval(staged), "analytics.sales_by_interval", checks=SALES_CHECKS))
 
 
 def refresh_sales(events: DataFrame, path: str, first: date, last: date) -> None:

@@ -2,7 +2,8 @@
 
 The state is one row per interval that ever saw a purchase, whatever the number of events, and is
 never given up: an event counts however late it comes. Every micro-batch rebuilds the small table
-from it, as a scheduled rebuild would; a repeated batch writes the same rows again.
+from it, as a scheduled rebuild would; a repeated batch writes the same rows again. The new table is
+written aside and published in one step, so there is always a whole one to read.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tillstream.plans.publish import Published
 from tillstream.plans.sales import sales_totals
 
 SALES_SCHEMA = "interval_start timestamp, orders bigint, units_sold bigint, revenue decimal(31,2)"
@@ -17,10 +19,13 @@ SALES_SCHEMA = "interval_start timestamp, orders bigint, units_sold bigint, reve
 
 def start(
     events: DataFrame, path: str, checkpoint: str, interval: str = "15 minutes",
-    until_drained: bool = False,
+    until_drained: bool = False, checks: list | None = None,
 ) -> StreamingQuery:
+    """`checks` are data tests; a table that fails one is not published, and the stream ends."""
+    table = Published(events.sparkSession, path, SALES_SCHEMA)
+
     def rebuild(batch: DataFrame, _: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)
+        table.replace(batch.coalesce(1), checks)
 
     writer = sales_totals(events, interval).writeStream.outputMode("complete").foreachBatch(
         rebuild).option("checkpointLocation", checkpoint)
@@ -30,4 +35,4 @@ def start(
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SALES_SCHEMA).parquet(path)
+    return Published(spark, path, SALES_SCHEMA).current()
