@@ -1,15 +1,18 @@
 """I-Match fingerprints: hashes of the distinct terms that randomised subsets of a lexicon keep.
 
-A term is a run of ASCII letters and digits (A-Z lower-cased) and of any characters beyond ASCII.
+A term is a lower-cased run of ASCII letters, digits, underscores and any characters beyond ASCII.
 The lexicon holds the terms whose inverse document frequency lies in a band: in at most one of
 `COMMON` documents (or in one document only) and in at least one of `RARE`. It has at most `RARE`
 times as many terms as a document has distinct ones on average, whatever the size of the corpus. A
 text that more than one of `HOT` documents share counts once; there are fewer than `HOT` such texts.
 
-Subset j (of `SUBSETS`) keeps a term at level l if the j-th 16-bit part of the term's SHA-256 is
-below 2**(16-l), so every level halves the subsets. A document is hashed at three levels chosen from
-its number of distinct terms, which leave some 2 to 4, 1 to 2 and at most 1 of its terms in a subset
-before the lexicon is asked; a document, however long, looks up some `SUBSETS` * 4 terms. A fingerprint is a kind, the first level and `SUBSETS` hashes a level, each the start of the
+The lexicon is parted at random into `SUBSETS` parts (by four bits of a term's scrambled CRC-32), and
+each part is thinned to nested subsets: at level l it keeps a term if 16 other bits are below
+2**(16-l). A document is hashed at three levels chosen from its number of distinct terms, which leave
+some 2 to 4, 1 to 2 and at most 1 of its terms in each part before the lexicon is asked (documents of
+few terms start at level 0, with all of them); a document, however long, looks up some `SUBSETS` * 4
+terms.
+A fingerprint is a kind, the first level and `SUBSETS` hashes a level, each the start of the
 MD5 of the subset's sorted terms, dots where nothing is left. Kinds: `b` terms in the band; `a` all
 terms, for documents of up to `FEW` distinct terms of which none is in the band; `-` the text's MD5,
 where there is neither. Likeness is the share of equal hashes among those of the levels in common
@@ -27,18 +30,20 @@ give no rows. Columns other than id and text are not looked at.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import UPPER, ascii_lower, table, written
+from tillstream.llm.common import crc32_sql, table, written
 
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+TERM = r"[\w\x{80}-\x{10FFFF}]+"
 COMMON, RARE, HOT = 20, 10_000, 1000
 SUBSETS, LEVELS, HEX = 16, 3, 8
 BLOCKS = SUBSETS * LEVELS
 FEW = 64
+FACTOR = 2654435761 % 2**31
 EMPTY = "." * HEX
 # Texts of a slice, and how many slices at most (their bounds are part of the plan).
 SLICE_BYTES, MOST_SLICES = 64 << 20, 1 << 16
@@ -47,7 +52,7 @@ BROADCAST_TERMS = 4_000_000
 
 
 def terms_of(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(ascii_lower(text), F.lit(TERM), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -61,8 +66,9 @@ def lexicon(docs: DataFrame, copies: DataFrame, total: int) -> DataFrame:
     hot = copies.filter(F.col("n") * HOT > total).select("text_hash", "first_id")
     counted = docs.join(F.broadcast(hot), "text_hash", "left").filter(
         F.col("first_id").isNull() | F.col("doc_id").eqNullSafe(F.col("first_id")))
-    counts = (counted.select(F.explode(terms_of(F.col("text"))).alias("term"))
-              .groupBy(F.xxhash64("term").alias("term_hash")).agg(F.count(F.lit(1)).alias("df")))
+    # Outer, since Spark would split every text twice to leave out those without terms.
+    counts = (counted.select(F.explode_outer(terms_of(F.col("text"))).alias("term"))
+              .filter("term IS NOT NULL").groupBy(F.xxhash64("term").alias("term_hash")).agg(F.count(F.lit(1)).alias("df")))
     df = F.col("df")
     return written(counts.filter((df * RARE >= total) & ((df * COMMON <= total) | (df == 1)))
                    .select("term_hash"), "lexicon")
@@ -95,8 +101,10 @@ def _sliced(docs: DataFrame, slices: int) -> DataFrame:
     # The last slice is followed by the first one.
     ghosts = [(firsts[i - 1][0], doc_id, text_hash)
               for i, (_, doc_id, text_hash) in enumerate(firsts)]
-    heads = docs.sparkSession.createDataFrame(
-        ghosts, "slice int, head_id long, head_hash long")
+    heads = docs.sparkSession.range(1).select(F.inline(F.from_json(
+        F.lit(json.dumps([dict(zip(("slice", "head_id", "head_hash"), row, strict=True))
+                          for row in ghosts])),
+        "array<struct<slice: int, head_id: bigint, head_hash: bigint>>")))
     again = docs.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head_id"))
                       & (F.col("text_hash") == F.col("head_hash"))).select(
         *docs.columns, "slice", F.lit(True).alias("ghost"))
@@ -104,19 +112,24 @@ def _sliced(docs: DataFrame, slices: int) -> DataFrame:
 
 
 def _level(distinct: Column) -> Column:
-    """The first of the three levels: 2**(level+1) is at most the number of terms."""
-    return F.least(F.greatest(F.length(F.bin(distinct.cast("long"))) - 2, F.lit(0)),
+    """The first of the three levels: 2**(level+5) is at most the number of terms, or it is 0."""
+    return F.least(F.greatest(F.length(F.bin(distinct.cast("long"))) - 6, F.lit(0)),
                    F.lit(17 - LEVELS))
 
 
 def _highest(level: Column) -> Column:
-    """The largest 16-bit part, as hexadecimal text, that a subset of the level keeps."""
-    return F.lower(F.lpad(F.hex(F.call_function("shiftright", F.lit(65535), level)), 4, "0"))
+    """The largest number that is kept at the level."""
+    return F.call_function("shiftright", F.lit(65535), level)
 
 
-def _part(digest: Column, j: Column | int) -> Column:
-    at = F.lit(4 * j + 1) if isinstance(j, int) else j * 4 + 1
-    return F.substring(digest, at, F.lit(4))
+def _scrambled(term: Column) -> Column:
+    """32 bits: the lowest four tell the part, the upper half the level."""
+    mixed = (F.crc32(term) * F.lit(FACTOR).cast("long")).bitwiseAND(F.lit(2**32 - 1))
+    return mixed.bitwiseXOR(F.shiftright(mixed, 15))
+
+
+def _number(scrambled: Column) -> Column:
+    return F.shiftright(scrambled, 16)
 
 
 def _with_fingerprint(rows: DataFrame) -> DataFrame:
@@ -124,8 +137,11 @@ def _with_fingerprint(rows: DataFrame) -> DataFrame:
 
     Each step is a projection of its own, so that nothing is computed anew per subset.
     """
-    def kept(members: Column, j: int, step: int) -> Column:
-        return F.filter(members, lambda x: _part(x["digest"], j) <= F.col(f"highest{step}"))
+    def kept(j: int, step: int) -> Column:
+        if not step:
+            return F.filter("members", lambda x: x["bits"].bitwiseAND(F.lit(SUBSETS - 1)) == j)
+        return F.filter(f"kept{step - 1}_{j}",
+                        lambda x: _number(x["bits"]) <= F.col(f"highest{step}"))
 
     def hashed(name: str) -> Column:
         joined = F.array_join(F.transform(F.col(name), lambda x: x["term"]), " ")
@@ -134,11 +150,10 @@ def _with_fingerprint(rows: DataFrame) -> DataFrame:
 
     rows = rows.withColumns({
         "members": F.transform("terms", lambda t: F.struct(
-            t.alias("term"), F.sha2(t.cast("binary"), 256).alias("digest"))),
-        **{f"highest{step}": _highest(F.col("level") + step) for step in range(LEVELS)}})
+            t.alias("term"), _scrambled(t).alias("bits"))),
+        **{f"highest{step}": _highest(F.col("level") + step) for step in range(1, LEVELS)}})
     for step in range(LEVELS):
-        rows = rows.withColumns({f"kept{step}_{j}": kept(
-            F.col(f"kept{step - 1}_{j}" if step else "members"), j, step) for j in range(SUBSETS)})
+        rows = rows.withColumns({f"kept{step}_{j}": kept(j, step) for j in range(SUBSETS)})
     blocks = [hashed(f"kept{step}_{j}") for step in range(LEVELS) for j in range(SUBSETS)]
     return rows.withColumn("fingerprint", F.when(F.size("terms") == 0, F.concat(
         F.lit("-00"), "whole")).otherwise(F.concat("kind", F.lpad(
@@ -169,19 +184,18 @@ def _terms_to_look_up(rows: DataFrame) -> DataFrame:
         F.array(F.lit(0), F.lit(1)))))
     text = sides.withColumn("text", F.when(F.col("side") == 0, F.col("text")).otherwise(
         F.col("edited")))
-    listed = text.withColumns({"terms": terms_of(F.col("text")),
+    # The lambda keeps this projection out of the code that explodes, which would otherwise split the
+    # text again for every row that it makes.
+    listed = text.withColumns({"terms": F.filter(terms_of(F.col("text")), F.isnotnull),
                                "whole": F.md5(F.col("text").cast("binary"))})
     sized = listed.withColumn("distinct", F.size("terms")).withColumn(
         "highest", _highest(_level(F.col("distinct"))))
     single = sized.select(
         "slice", "position", "ghost", "side", "distinct", "highest", "doc_id", "n_chars",
         "whole", "edited_sha256",
-        F.explode(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term"))
-    digested = single.withColumn("term_digest", F.sha2(F.col("term").cast("binary"), 256))
-    kept = F.col("term").isNull()
-    for j in range(SUBSETS):
-        kept = kept | (_part(F.col("term_digest"), j) <= F.col("highest"))
-    return digested.filter(kept).drop("highest", "term_digest")
+        F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term"))
+    return single.filter(F.col("term").isNull() | (
+        _number(_scrambled(F.col("term"))) <= F.col("highest"))).drop("highest")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -280,8 +294,8 @@ texts AS (
   SELECT doc_id, 1, substring(text, 1, n_chars - n_chars // 4)
                     || substring(next_text, 1, n_chars // 4) FROM placed),
 termed AS (
-  SELECT doc_id, side, text, list_distinct(regexp_extract_all(
-    translate(text, '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS terms FROM texts),
+  SELECT doc_id, side, text, list_distinct(regexp_extract_all(lower(text), '{TERM}')) AS terms
+  FROM texts),
 lexicon AS (
   SELECT term FROM (
     SELECT unnest(t.terms) AS term FROM termed t LEFT JOIN hot h ON h.text = t.text
@@ -290,12 +304,15 @@ lexicon AS (
   HAVING count(*) * {RARE} >= total AND (count(*) * {COMMON} <= total OR count(*) = 1)),
 leveled AS (
   SELECT doc_id, side, text, len(terms) AS n, terms,
-         least(greatest(length(bin(len(terms))) - 2, 0), {17 - LEVELS}) AS level FROM termed),
+         least(greatest(length(bin(len(terms))) - 6, 0), {17 - LEVELS}) AS level FROM termed),
 single AS (SELECT doc_id, side, n, level, unnest(terms) AS term FROM leveled),
+mixes AS (
+  SELECT term, ({crc32_sql('term')}::BIGINT * {FACTOR}) & 4294967295 AS mix
+  FROM (SELECT DISTINCT term FROM single)),
 parts AS (
-  SELECT s.*, l.term IS NOT NULL AS banded, j,
-         ('0x' || substring(sha256(s.term), 4 * j::INT + 1, 4))::INT AS part
-  FROM single s LEFT JOIN lexicon l ON l.term = s.term, range({SUBSETS}) AS r(j)),
+  SELECT s.*, l.term IS NOT NULL AS banded, xor(mix, mix >> 15) & {SUBSETS - 1} AS j,
+         xor(mix, mix >> 15) >> 16 AS part
+  FROM single s JOIN mixes m ON m.term = s.term LEFT JOIN lexicon l ON l.term = s.term),
 kept AS (SELECT * FROM parts WHERE part <= (65535 >> level)),
 kinds AS (
   SELECT doc_id, side, bool_or(banded) AS banded FROM kept WHERE banded OR n <= {FEW}
