@@ -43,9 +43,8 @@ def ingest_rate(spark, sf_dir: str) -> tuple[float, float]:
     fixtures.messages(spark, sf_dir).write.parquet(folder)
     count = spark.read.parquet(folder).count()
     store = EventStore(spark, scratch_folder(spark, "store"))
-    seconds = timed(lambda: ingest.start(
-        file_stream(spark, folder), store, scratch_folder(spark, "offsets"),
-        until_drained=True).awaitTermination())
+    seconds = timed(lambda: ingest.drain(
+        file_stream(spark, folder), store, scratch_folder(spark, "offsets")))
     return seconds, count / seconds
 
 

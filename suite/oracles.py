@@ -280,6 +280,10 @@ ORACLES = {
         {PRICE}, CASE WHEN outcome = 'VALID' THEN 'right' ELSE 'left' END AS only_in,
         CAST(1 AS BIGINT) AS copies FROM msg
         WHERE (outcome <> 'VALID' AND copy = 0) OR (outcome = 'VALID' AND copy = 1)""",
+    "snapshot_partitions": f"""WITH {MSG} SELECT event_id, event_type, user_id, product_id, quantity,
+        {PRICE}, CASE WHEN outcome = 'VALID' THEN 'right' ELSE 'left' END AS only_in,
+        CAST(1 AS BIGINT) AS copies FROM msg
+        WHERE (outcome <> 'VALID' AND copy = 0) OR (outcome = 'VALID' AND copy = 1)""",
     "delete_prefix": f"""WITH {RAW} SELECT event_id, event_type, event_timestamp, user_id,
         product_id, quantity FROM raw WHERE event_id NOT LIKE 'evt\\_1%' ESCAPE '\\'""",
     "dedup_first": f"WITH {MSG} {FIRST}",
@@ -389,6 +393,12 @@ ORACLES = {
         SELECT * FROM r WHERE rank <= 3""",
     "events_per_minute": f"""WITH {RAW} SELECT {BUCKET.format('1 minute')} AS minute,
         count(*) AS events, round(count(*) / 60, 4) AS events_per_second FROM raw GROUP BY 1""",
+    "sketched_users": f"""WITH {RAW} SELECT CAST(date_trunc('month', event_timestamp) AS DATE)
+        AS month, count(DISTINCT CAST(event_timestamp AS DATE)) AS days,
+        count(DISTINCT user_id) AS exact, TRUE AS within FROM raw GROUP BY 1""",
+    "sketched_latency": """WITH l AS (SELECT event_id % 90 AS seconds FROM events)
+        SELECT CAST(p AS DOUBLE) AS p, count(*) AS events, max(seconds) AS max_seconds,
+        TRUE AS within FROM l, (VALUES (0.5), (0.95), (0.99)) v(p) GROUP BY p""",
     "processing_latency": """WITH l AS (SELECT event_id % 90 AS seconds FROM events)
         SELECT count(*) AS events, max(seconds) AS max_seconds,
         quantile_cont(seconds, 0.5) AS p50_seconds, quantile_cont(seconds, 0.95) AS p95_seconds,
@@ -482,6 +492,19 @@ ORACLES = {
           count(*) FILTER (WHERE orders < 0 OR units_sold < 0 OR revenue < 0) FROM sales)
         SELECT *, failures = 0 AS passed FROM k""",
     "stream_ingest": f"WITH {MSG} {FIRST}",
+    "stream_stats": f"""WITH {MSG} SELECT count(*) AS consumed,
+        count(*) FILTER (WHERE outcome = 'VALID' AND copy = 0) AS inserted,
+        count(*) FILTER (WHERE outcome <> 'VALID') AS invalid,
+        count(*) FILTER (WHERE outcome = 'VALID' AND copy <> 0) AS duplicates FROM msg""",
+    "stream_alerts": f"""WITH {BASE}, source AS (SELECT * FROM metrics
+        WHERE metric = 'kafka_consumergroup_lag_sum'),
+        {_islands('source', f'value > {LAG_LIMIT}', LAG_HOURS)}
+        SELECT a AS consumergroup, b AS topic, 'ConsumerLagGrowingUnbounded' AS alert,
+        'critical' AS severity, ts, value, active_since, state,
+        a || ' lag stuck above {LAG_LIMIT} on ' || b AS summary,
+        'Consumer group ' || a || chr(39) || 's lag on ' || b || ' has been above {LAG_LIMIT} '
+        || 'messages for at least {LAG_HOURS * 60} minutes (' || CAST(value AS BIGINT)
+        || ' now): it is not keeping up or has stopped.' AS description FROM alerts""",
     "stream_dead_letters": f"""WITH {DLQ} SELECT key, dlq_id, outcome AS reason, errors,
         original_topic, original_partition, original_offset, raw_payload, retry_count,
         CAST(NULL AS VARCHAR) AS severity FROM dlq""",

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from suite import fixtures as fx
 from tillstream.functions.timing import time_range
 from tillstream.operators import alerts, classify, deadletter, dedup, lag, quality, series, topics
-from tillstream.plans import accounting, business, sales, snapshot, staging, warehouse
+from tillstream.plans import accounting, business, rollups, sales, snapshot, staging, warehouse
 from tillstream.schemas import EVENT_TYPES
 from tillstream.session import scratch_folder
 from tillstream.sinks import messages as message_sink
 from tillstream.sinks.event_store import EventStore
 from tillstream.sources import messages as message_source
+from tillstream.streaming import alerts as live_alerts
 from tillstream.streaming import ingest
 from tillstream.streaming import sales as sales_stream
 
@@ -141,6 +142,15 @@ def snapshot_diff(spark, sf_dir):
     return _plain(snapshot.difference(kept, again))
 
 
+@query
+def snapshot_partitions(spark, sf_dir):
+    """The same, by digests per type: partitions that hold the same rows are not compared."""
+    columns = ["event_id", "event_type", "user_id", "product_id", "quantity", "unit_price"]
+    kept = fx.raw_events(spark, sf_dir).select(*columns)
+    again = classify.valid_events(fx.classified(spark, sf_dir)).select(*columns)
+    return _plain(snapshot.difference_by_partition(kept, again, "event_type"))
+
+
 @query
 def delete_prefix(spark, sf_dir):
     return _plain(business.without_id_prefix(
@@ -366,6 +376,36 @@ def events_per_minute(spark, sf_dir):
     return business.events_per_minute(fx.raw_events(spark, sf_dir))
 
 
+@query
+def sketched_users(spark, sf_dir):
+    """Distinct users per month from one row a day; whether that is as near as stated."""
+    events = fx.raw_events(spark, sf_dir)
+    month = F.date_trunc("month", "day").cast("date").alias("month")
+    about = rollups.active_users(rollups.daily_sketches(events), month)
+    exact = events.groupBy(F.date_trunc("month", "event_timestamp").cast("date").alias(
+        "month")).agg(F.count_distinct("user_id").alias("exact"))
+    within = F.abs(F.col("active_users") - F.col("exact")) <= rollups.USERS_ERROR * F.col("exact")
+    return about.join(exact, "month").select("month", "days", "exact", within.alias("within"))
+
+
+@query
+def sketched_latency(spark, sf_dir):
+    """Percentiles of latency from one row a day; whether their ranks are as near as stated."""
+    events = fx.raw_events(spark, sf_dir)
+    about = rollups.processing_latency(rollups.daily_sketches(events))
+    seconds = rollups.latency_seconds()
+    picked = about.select("events", "max_seconds", F.explode(F.map_from_arrays(
+        F.array(*[F.lit(p) for p in (0.5, 0.95, 0.99)]),
+        F.array("p50_seconds", "p95_seconds", "p99_seconds"))).alias("p", "value"))
+    ranks = events.select(seconds.alias("seconds")).join(F.broadcast(picked)).groupBy(
+        "events", "max_seconds", "p").agg(
+        F.avg((F.col("seconds") < F.col("value")).cast("int")).alias("below"),
+        F.avg((F.col("seconds") <= F.col("value")).cast("int")).alias("upto"))
+    within = (F.col("below") - rollups.RANK_ERROR <= F.col("p")) & (
+        F.col("p") <= F.col("upto") + rollups.RANK_ERROR)
+    return ranks.select("p", "events", "max_seconds", within.alias("within"))
+
+
 @query
 def processing_latency(spark, sf_dir):
     return business.processing_latency(fx.raw_events(spark, sf_dir))
@@ -573,6 +613,41 @@ def stream_ingest(spark, sf_dir):
     return _plain(_ingested(spark, sf_dir).events().drop("ingested_at", "event_date"))
 
 
+@query
+def stream_stats(spark, sf_dir):
+    """The counters that the running job observed, over all of its micro-batches."""
+    counts = []
+    _ingested(spark, sf_dir, lambda _, c: counts.append(c))
+    names = ("consumed", "inserted", "invalid", "duplicates")
+    return spark.range(1).select(*[
+        F.lit(sum(c[name] for c in counts)).cast("long").alias(name) for name in names])
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    """The lag alert on a stream of samples that come in the order of time, in four pieces."""
+    samples = scratch_folder(spark, "samples")
+    fx.metrics(spark, sf_dir).write.parquet(samples)
+    samples = spark.read.parquet(samples)
+    first, last = samples.agg(F.min("ts"), F.max("ts")).first()
+    pieces = 4
+    width = F.lit((last - first) / pieces).cast("interval day to second")
+    folder = scratch_folder(spark, "sample-stream")
+    for piece in range(pieces):
+        begin, end = F.lit(first) + width * piece, F.lit(first) + width * (piece + 1)
+        within = F.col("ts") >= begin if piece == pieces - 1 else F.col("ts").between(
+            begin, end - F.expr("INTERVAL 1 MICROSECOND"))
+        samples.where(within).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    rows = live_alerts.lag_alert(stream, threshold=LAG_LIMIT, max_gap_seconds=3600,
+                                 hold_seconds=LAG_HOURS * 3600)
+    out = scratch_folder(spark, "alerts")
+    rows.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", scratch_folder(spark, "offsets")).trigger(
+        availableNow=True).start().awaitTermination()
+    return _labelled(spark.read.schema(rows.schema).parquet(out), "consumergroup", "topic")
+
+
 @query
 def stream_dead_letters(spark, sf_dir):
     return _plain(_ingested(spark, sf_dir).dead_letters().drop("failed_at"))

@@ -73,7 +73,12 @@ def evaluate(samples: DataFrame, rule: Rule, breach: Column, max_gap_seconds: in
     """A rule's pending and firing samples, with severity, summary and description."""
     rows = samples.withColumn("series", series.series_key(F.col("labels")))
     hold = rule.hold_seconds if hold_seconds is None else hold_seconds
-    rows = sustained(rows, breach, hold, ["series"], max_gap_seconds)
+    return described(sustained(rows, breach, hold, ["series"], max_gap_seconds), rule, hold,
+                     threshold)
+
+
+def described(rows: DataFrame, rule: Rule, hold: int, threshold: float | None = None) -> DataFrame:
+    """Adds the rule's name, severity and texts to `labels, ts, value, active_since, state`."""
     known = {"value": F.format_string(rule.value_format, "value"), "hold": F.lit(f"{hold / 60:g}"),
              "threshold": F.lit(f"{threshold or 0:g}")}
     return rows.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -61,3 +62,17 @@ def enable_checkpoints(spark: SparkSession) -> None:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, for the tables and checkpoints of one run."""
     return os.path.join(shared_folder(spark), f"{name}-{os.urandom(6).hex()}")
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package known to the executors' Python, once per application."""
+    context, package = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if context.applicationId not in _shipped and os.path.isdir(package):
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="package-"), "tillstream"), "zip",
+            os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
