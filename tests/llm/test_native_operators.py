@@ -46,6 +46,17 @@ def test_dedup_odd_rows(spark, documents, clashing):
     assert found[8][0] == 8 and found[9][0] == 9
 
 
+def test_an_index_keeps_its_number_of_buckets(spark, documents):
+    own = exact_dedup.DigestIndex(spark, scratch_folder(spark, "digest-index"), 8)
+    docs = documents([(i, f"text {i}") for i in range(200)])
+    assert exact_dedup.keep_rows(docs, own).count() == 200
+    again = exact_dedup.DigestIndex(spark, own.folder, 16)
+    assert again.buckets == 8
+    rows = exact_dedup.decisions(docs, again).collect()
+    assert len(rows) == 200 and not any(r["kept"] for r in rows)
+    assert again.rows().count() == 200
+
+
 def test_dedup_over_batches(spark, documents):
     own = index(spark)
     first = exact_dedup.keep_rows(documents([(1, "a"), (2, "A"), (3, "b")]), own).collect()
@@ -67,13 +78,14 @@ def test_dedup_keeps_one_of_repeated_rows_and_takes_empty_tables(spark, document
     assert own.rows().count() == 0
 
 
-def test_the_index_is_not_shuffled(spark, documents):
+def test_a_second_batch_does_not_shuffle_the_index(spark, documents):
     own = index(spark)
-    own.append_new(exact_dedup.decisions(documents([(1, "a")]), own).selectExpr(
-        "doc_id", "unhex(text_sha256) AS digest"))
-    new = own.rows().select("digest").distinct()
-    joined = new.join(own.rows().hint("merge").select("digest"), "digest", "left_anti")
-    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert exact_dedup.decisions(documents([(1, "a"), (2, "b")]), own).count() == 2
+    batch = documents([(3, "a"), (4, "c")]).select(
+        "doc_id", F.unhex(exact_dedup.digest_of(F.col("text"))).alias("digest"))
+    plan = own.looked_up(batch)._jdf.queryExecution().executedPlan().toString()
+    # One exchange, of the batch's own digests; the index is read bucket by bucket.
+    assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 4 out of 4" in plan
 
 
 def taken(docs, **options):

@@ -2,8 +2,10 @@
 
 The index is a table (digest, keep_id, group_size), bucketed and sorted by digest. A new batch is
 folded to one row per digest (partial aggregation, so a text with a third of all rows sends one row
-per task), anti-joined to the index bucket by bucket, and what is new is appended. Documents then
-look their digest up; that join is an ordinary shuffle, so that Spark can split a skewed digest.
+per task) and joined to the index bucket by bucket; digests without a partner are new and appended.
+Documents then look up the batch's own digests; that join is an ordinary shuffle, so that Spark can
+split a skewed digest. The index is read once a batch, and neither copied nor shuffled. The number of
+buckets belongs to the folder: an index that is opened again keeps the one it began with.
 
 Texts are equal when identical after lower-casing A-Z only; a null text counts as empty. Within a
 batch the largest doc_id of a digest stays; a digest that an earlier batch stored keeps that
@@ -35,10 +37,16 @@ def digest_of(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Opens the index in a folder, or begins one there."""
+    """Opens the index in a folder, or begins one there with so many buckets.
+
+    A new index should have some 100 MB of digests a bucket once it is full.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
-        self.spark, self.folder, self.buckets = spark, folder, buckets
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("ignore").parquet(
+            f"{folder}.buckets")
+        self.spark, self.folder = spark, folder
+        self.buckets = buckets = spark.read.parquet(f"{folder}.buckets").first()["buckets"]
         self.name = f"digest_index_{os.urandom(6).hex()}"
         spark.sql(
             f"CREATE TABLE {self.name} ({INDEX_SCHEMA}) USING parquet "
@@ -47,20 +55,25 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def files(self) -> DataFrame:
-        """The same rows without the bucketing, for joins whose other side may be skewed."""
-        return self.spark.read.schema(INDEX_SCHEMA).parquet(self.folder)
-
-    def append_new(self, digests: DataFrame) -> None:
-        """Adds the digests (doc_id, digest) that the index does not hold yet."""
+    def looked_up(self, digests: DataFrame) -> DataFrame:
+        """Each digest of a batch (doc_id, digest) with its keep_id, group_size and is_new."""
         folded = digests.groupBy("digest").agg(
-            F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        new = folded.join(self.rows().hint("merge").select("digest"), "digest", "left_anti")
-        # Written aside first: a table cannot be read and appended to in one job.
-        staged = written(new, "new-digests")
-        (staged.repartition(self.buckets, "digest").write.mode("append").format("parquet")
-         .bucketBy(self.buckets, "digest").sortBy("digest")
+            F.max("doc_id").alias("new_id"), F.count(F.lit(1)).alias("new_size"))
+        stored = self.rows().hint("merge").withColumn("known", F.lit(True))
+        known = F.col("known").isNotNull()
+        return folded.join(stored, "digest", "left").select(
+            "digest", F.when(known, F.col("keep_id")).otherwise(F.col("new_id")).alias("keep_id"),
+            F.when(known, F.col("group_size")).otherwise(F.col("new_size")).alias("group_size"),
+            (~known).alias("is_new"))
+
+    def add(self, digests: DataFrame) -> DataFrame:
+        """Adds the digests that the index does not hold yet; returns what was looked up."""
+        # Written aside: a table cannot be read and appended to in one job.
+        batch = written(self.looked_up(digests), "batch-digests")
+        (batch.filter("is_new").drop("is_new").repartition(self.buckets, "digest").write
+         .mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
          .option("path", self.folder).saveAsTable(self.name))
+        return batch
 
 
 def decisions(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
@@ -72,23 +85,12 @@ def decisions(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     digests = written(docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.unhex(digest_of(F.col(text_col))).alias("digest")), "digests")
-    before = index.files() if _holds_files(index) else None
-    known = written(before.select(F.col("digest"), F.lit(True).alias("known")), "known") \
-        if before is not None else None
-    index.append_new(digests)
-    found = digests.join(index.files(), "digest")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    if known is not None:
-        found = found.join(known, "digest", "left")
-        kept = kept & F.col("known").isNull()
+    found = digests.join(index.add(digests), "digest")
+    kept = F.col("is_new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"),
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def _holds_files(index: DigestIndex) -> bool:
-    return not index.rows().isEmpty()
-
-
 def keep_rows(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, once each, with their own columns."""
