@@ -9,10 +9,10 @@ each pair of a chunk and a block is one bounded group. Inside, candidates come b
    bounds the score; only what could still reach the k-th best is computed in full, in integers.
 The chunks' best k per query are merged by a ranking that Spark limits before its shuffle.
 
-Vectors that are null, empty, without vec_id, or hold a null or non-finite component take no part. Shorter vectors
-count as padded with zeros. Ties go to the smaller vec_id. A query does not find rows with its
-own vec_id; of query rows that repeat an id, one is used. An empty table gives no rows. Extra
-columns are not read. Components of 2**24 or more after quantising need `wide` rows, which the query takes
+Vectors that are null or hold a null or non-finite component take no part. Shorter vectors, empty ones
+among them, count as padded with zeros. Ties go to the smaller vec_id, null last. A query does not
+find its own row; rows that repeat an id, or have none, are rows like any other, and a repeated id
+asks as often as it comes. An empty table gives no rows. Extra columns are not read. Components of 2**24 or more after quantising need `wide` rows, which the query takes
 by itself. Refused with an error is what the 64 bits of a score or component cannot hold, as in SQL.
 """
 
@@ -41,18 +41,20 @@ def _beyond(vector: Column, limit: float) -> Column:
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
               scale: int = SCALE, wide: bool = False) -> DataFrame:
-    """(vec_id, v) with integer components floor(scale * x) of all vectors that take part.
+    """(row, vec_id, v) with integer components floor(scale * x) of all vectors that take part.
+
+    `row` tells rows apart; write the result before using it more than once.
 
     Components are 32-bit integers below 2**24, or with `wide` 64-bit ones below 2**62.
     """
     x = F.col(vector_col)
     limit = 2.0 ** (62 if wide else 24) / scale
-    sound = x.isNotNull() & (F.size(x) > 0) & F.forall(
+    sound = x.isNotNull() & F.forall(
         x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     held = F.when(_beyond(x, limit), F.raise_error(F.lit(
         f"a component is {limit} or more"))).otherwise(x)
-    return vectors.filter(sound & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("vec_id"), F.transform(
+    return vectors.filter(sound).select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.transform(
             held, lambda c: F.floor(c.cast("double") * scale).cast("long" if wide else "int")
         ).alias("v"))
 
@@ -96,16 +98,22 @@ def _products(found: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 def best_in_chunk(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray,
                   found_ids: np.ndarray, axes: np.ndarray, k: int = K, head: int = HEAD,
-                  strip: int = STRIP) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query row, vec_id, score) of each query's best k in a chunk, and how many were scored."""
+                  strip: int = STRIP, ties: np.ndarray | None = None,
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query row, found id, score) of each query's best k in a chunk, and how many were scored.
+
+    A query does not find its own id. Ties go to the least of `ties`, or else of the ids.
+    """
+    ties = found_ids if ties is None else ties
     turned_q, turned = queries @ axes, found @ axes
     norms, q_norms = np.linalg.norm(turned, axis=1), np.linalg.norm(turned_q, axis=1)
-    order = np.lexsort((found_ids, -norms))
+    order = np.lexsort((ties, -norms))
     found, found_ids, turned, norms = found[order], found_ids[order], turned[order], norms[order]
+    ties = ties[order]
     rest, q_rest = (np.linalg.norm(m[:, head:], axis=1) for m in (turned, turned_q))
     none = np.iinfo(np.int64).min + 1
     best = np.full((len(queries), k), none)
-    best_ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+    best_ids, best_ties = (np.full((len(queries), k), np.iinfo(np.int64).max) for _ in range(2))
     scored = 0
     for a in range(0, len(found), strip):
         b = min(a + strip, len(found))
@@ -128,8 +136,10 @@ def best_in_chunk(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray,
             exact = np.matmul if q_norms[row] * norms[a] < WRAPS else _products
             scores = np.concatenate([best[row], exact(found[a + columns], queries[row])])
             ids = np.concatenate([best_ids[row], found_ids[a + columns]])
-            top = np.lexsort((ids, -scores))[:k]
-            best[row], best_ids[row] = scores[top], ids[top]
+            tied = np.concatenate([best_ties[row], ties[a + columns]])
+            # Places that are still empty come after all found ones, whatever their tie.
+            top = np.lexsort((tied, -scores))[:k]
+            best[row], best_ids[row], best_ties[row] = scores[top], ids[top], tied[top]
     rows, places = np.nonzero(best != none)
     return rows, best_ids[rows, places], best[rows, places], scored
 
@@ -137,42 +147,48 @@ def best_in_chunk(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray,
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, head: int = HEAD) -> DataFrame:
     """query_id, rank, vec_id, score; both sides are `quantised` rows, `vectors` stored ones."""
     count, width = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    wanted = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    width = max(width or 0, 1)
     if not count:
         return vectors.sparkSession.createDataFrame(
             [], "query_id long, rank int, vec_id long, score long")
     axes = rotation(vectors, width)
     chunk = min(max(8 * math.isqrt(count), LEAST_CHUNK), MOST_CHUNK)
-    chunks, blocks = math.ceil(count / chunk), math.ceil(wanted.count() / QUERY_BLOCK) or 1
+    chunks, blocks = math.ceil(count / chunk), math.ceil(queries.count() / QUERY_BLOCK) or 1
 
     def dealt(rows: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
         return rows.select(
-            "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias(own),
+            "row", "vec_id", "v", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
 
-    left = dealt(wanted, "block", blocks, "chunk", chunks)
+    left = dealt(queries, "block", blocks, "chunk", chunks)
     right = dealt(vectors, "chunk", chunks, "block", blocks)
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
         parts = [t.combine_chunks() for t in (asked, held)]
-        ids = [t.column("vec_id").to_numpy() for t in parts]
-        if not len(ids[0]) or not len(ids[1]):
+        at = [t.column("row").to_numpy() for t in parts]
+        if not len(at[0]) or not len(at[1]):
             return FOUND.empty_table()
         m = [_matrix(t.column("v").combine_chunks(), width) for t in parts]
-        rows, found, score, _ = best_in_chunk(m[0], ids[0], m[1], ids[1], axes, k, head)
-        return pa.table([ids[0][rows], found, score], schema=FOUND)
+        ids = parts[1].column("vec_id")
+        ties = ids.fill_null(np.iinfo(np.int64).max).to_numpy()
+        asking, found, score, _ = best_in_chunk(
+            m[0], at[0], m[1], at[1], axes, k, head, ties=ties)
+        order = np.argsort(at[1])
+        place = order[np.searchsorted(at[1], found, sorter=order)]
+        return pa.table([at[0][asking], parts[0].column("vec_id").take(pa.array(asking)),
+                         ids.take(pa.array(place)), score], schema=FOUND)
 
     near = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInArrow(
-        search, "query_id long, vec_id long, score long")
+        search, "row long, query_id long, vec_id long, score long")
     ranked = near.withColumn("rank", F.row_number().over(
-        Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")))
+        Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())))
     score = F.when(F.col("score") == int(LOWEST), F.raise_error(F.lit(
         "one of the best scores does not fit 64 bits"))).otherwise(F.col("score"))
     return ranked.filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", score.alias("score"))
 
 
-FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+FOUND = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,17 +200,18 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = """
-WITH vectors AS (
-  SELECT vec_id, list_transform(
-           embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-  FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(
+WITH sizes AS (SELECT greatest(max(len(embedding)), 1) AS width FROM embeddings),
+vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, list_resize(list_transform(
+           embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)), width, 0) AS v
+  FROM embeddings, sizes
+  WHERE embedding IS NOT NULL AND len(list_filter(
     embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.row, q.vec_id AS query_id, c.vec_id,
          CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+  FROM vectors q JOIN vectors c ON q.row <> c.row WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS rank
   FROM scored) WHERE rank <= 5
 """
