@@ -2,35 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tillstream
-from tillstream.session import scratch_folder
+from tillstream.session import scratch_folder, ship  # noqa: F401
 
 # A word is a run of anything but ASCII white space (as Java regular expression).
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Makes this package known to the executors' Python, once per application."""
-    context, package = spark.sparkContext, os.path.dirname(os.path.abspath(tillstream.__file__))
-    if context.applicationId not in _shipped and os.path.isdir(package):
-        archive = shutil.make_archive(
-            os.path.join(tempfile.mkdtemp(prefix="package-"), "tillstream"), "zip",
-            os.path.dirname(package), os.path.basename(package))
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
