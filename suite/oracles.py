@@ -338,6 +338,8 @@ ORACLES = {
     "user_events": f"""WITH {RAW} SELECT event_id, event_type, event_timestamp, user_id,
         product_id, quantity, {PRICE}, ingested_at, kafka_partition, kafka_offset FROM raw
         WHERE user_id = 'user_7'""",
+    "event_lookup": f"""WITH {RAW} SELECT event_id, event_type, event_timestamp, user_id,
+        product_id, quantity FROM raw WHERE event_id IN ('evt_12', 'evt_77', 'evt_')""",
     "prefix_lookup": f"""WITH {RAW} SELECT event_id, event_type, event_timestamp, user_id,
         product_id, quantity FROM raw WHERE event_id LIKE 'evt\\_12%' ESCAPE '\\'""",
     "recent_events": f"""WITH {RAW} SELECT event_id, event_type, event_timestamp, user_id,

@@ -274,6 +274,12 @@ def user_events(spark, sf_dir):
     return _plain(business.user_events(fx.raw_events(spark, sf_dir), "user_7").drop("event_date"))
 
 
+@query
+def event_lookup(spark, sf_dir):
+    return _plain(business.by_id(
+        fx.raw_events(spark, sf_dir), "evt_12", "evt_77", "evt_").select(*EVENT_FIELDS))
+
+
 @query
 def prefix_lookup(spark, sf_dir):
     return _plain(business.with_id_prefix(

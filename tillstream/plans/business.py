@@ -166,6 +166,11 @@ def user_events(events: DataFrame, user_id: str) -> DataFrame:
     return events.where(F.col("user_id") == user_id)
 
 
+def by_id(events: DataFrame, *ids: str) -> DataFrame:
+    """The events with exactly these ids; the list reaches the scan as a filter."""
+    return events.where(F.col("event_id").isin(*ids))
+
+
 def with_id_prefix(events: DataFrame, prefix: str) -> DataFrame:
     return events.where(F.col("event_id").startswith(prefix))
 
