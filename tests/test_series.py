@@ -184,3 +184,22 @@ def test_consumer_lag_and_trend(spark):
         "topic string, partition int, ts timestamp, lag long")
     trend = lag.with_trend(history, ["topic", "partition"]).orderBy("ts").collect()
     assert [r.trend for r in trend] == [" ", "^", "=", "v"]
+
+
+def test_what_steps_shuffle_does_not_depend_on_the_lookback(spark):
+    """Samples are copied to the steps they serve after the last exchange, each step once."""
+    import re
+
+    rows = spark.range(2000).select(
+        F.lit("m").alias("metric"), F.create_map(F.lit("i"), (F.col("id") % 3).cast("string")).alias(
+            "labels"), F.timestamp_seconds(F.col("id") * 37).alias("ts"),
+        F.col("id").cast("double").alias("value"))
+    for lookback in (60, 86_400):
+        steps = series.at_steps(rows, 15, lookback)
+        plan = steps._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.index("Generate") < plan.index("Exchange")
+        assert len(re.findall("Generate", plan)) == 1
+        assert steps.groupBy("series", "ts").count().where("count > 1").isEmpty()
+    # A step has the last sample before it, also from the day before.
+    at = steps.where("ts = TIMESTAMP '1970-01-01 20:00:00'").collect()
+    assert sorted(r.value for r in at) == [1943.0, 1944.0, 1945.0]

@@ -76,8 +76,9 @@ def at_steps(samples: DataFrame, step_seconds: int, lookback_seconds: int = 300)
     """The value of each series at every step: its last sample, unless older than the lookback.
 
     Steps are multiples of `step_seconds`, the same for all series, so that sums and differences
-    of series sampled at different times line up. Only the last sample before a step counts, and
-    only that is passed on to the steps within the lookback.
+    of series sampled at different times line up. Only the last sample before a step counts; it
+    serves the steps until the next one does, or the lookback ends, and is copied to these when
+    nothing is shuffled any more: what is shuffled does not depend on the lookback.
     """
     step = step_seconds * 1_000_000
     last = samples.withColumn("series", series_key(F.col("labels"))).groupBy(
@@ -85,10 +86,11 @@ def at_steps(samples: DataFrame, step_seconds: int, lookback_seconds: int = 300)
         F.max_by("labels", "ts").alias("labels"), F.max_by("value", "ts").alias("value"),
         F.max(F.unix_micros("ts")).alias("at"))
     reach = F.col("at") + lookback_seconds * 1_000_000 - 1
-    served = last.where(F.col("first") <= reach).withColumn(
-        "step", F.explode(F.sequence("first", reach, F.lit(step).cast("long"))))
-    return served.groupBy("metric", "series", "step").agg(
-        F.max_by("labels", "at").alias("labels"), F.max_by("value", "at").alias("value")).select(
+    followed = timeline.with_next(last, ["metric", "series"], "first")
+    until = F.least(reach, F.col("next") - step)
+    served = followed.withColumn("until", until).where("first <= until").withColumn(
+        "step", F.explode(F.sequence("first", "until", F.lit(step).cast("long"))))
+    return served.select(
         "metric", "series", "labels", F.timestamp_micros("step").alias("ts"), "value")
 
 

@@ -32,6 +32,18 @@ def with_previous(
         "previous", F.coalesce("inside", "carried")).drop("inside", "carried", "slice")
 
 
+def with_next(rows: DataFrame, keys: list[str], at: str, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Adds `next`: the time `at`, in microseconds, of the row after; null at the end."""
+    sliced = rows.withColumn("slice", F.floor(F.col(at) / F.lit(seconds * 1_000_000)))
+    in_slice = Window.partitionBy(*keys, "slice").orderBy(at)
+    over_slices = Window.partitionBy(*keys).orderBy("slice")
+    carried = sliced.groupBy(*keys, "slice").agg(F.min(at).alias("first_at")).select(
+        *keys, "slice", F.lead("first_at").over(over_slices).alias("carried"))
+    inside = sliced.withColumn("inside", F.lead(at).over(in_slice))
+    return inside.join(carried, [*keys, "slice"], "left").withColumn(
+        "next", F.coalesce("inside", "carried")).drop("inside", "carried", "slice")
+
+
 def with_run_start(
     rows: DataFrame, keys: list[str], ts: str, flag: str, max_gap_seconds: float,
     seconds: int = SLICE_SECONDS,
