@@ -92,6 +92,16 @@ def taken(docs, **options):
     return {r["doc_id"]: r for r in mixing.schedule(docs, **options).collect()}
 
 
+def test_a_bin_of_equal_times_is_split(spark, documents, monkeypatch):
+    """A source each, all of one size: every finish time is the same."""
+    docs = documents([(i, "w " * 7, f"s{i:04}") for i in range(600)])
+    whole = taken(docs)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 40)
+    split = taken(docs)
+    assert split == whole
+    assert sum(r["copies"] * r["size"] for r in split.values()) == 600 * 7
+
+
 def test_targets_are_capped_and_reshared(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 490), (None, 100)],
                                   "source string, source_size long")

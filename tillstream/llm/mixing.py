@@ -31,6 +31,8 @@ from tillstream.llm.common import table, word_count, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
+# Copies whose finish times are numbered in one task, about.
+RANGE_ROWS = 1 << 16
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
@@ -113,18 +115,30 @@ def _copies(timed: DataFrame, budget: int, bins: int, max_epochs: int) -> Column
     copies = timed.filter("size > 0").select(
         "size", "shuffled", "doc_id", F.posexplode("finish").alias("copy", "time"))
     copies = copies.withColumn("bin", bin_of(F.col("time")))
-    histogram = copies.groupBy("bin").agg(F.sum("size").alias("words"))
+    histogram = copies.groupBy("bin").agg(
+        F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
     upto = F.sum("words").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     over = histogram.withColumn("upto", upto).filter(F.col("upto") > budget).orderBy("bin").first()
     if over is None:
         return F.when(F.col("target") > 0, max_epochs).otherwise(0)
     order = [F.col("time"), F.col("shuffled"), F.col("doc_id").asc_nulls_last(), F.col("copy")]
-    in_bin = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    last = (copies.filter(F.col("bin") == over["bin"])
-            .withColumn("upto", F.sum("size").over(in_bin) + (over["upto"] - over["words"]))
-            .filter(F.col("upto") <= budget)
-            .orderBy(F.col("upto").desc(), F.col("time").desc(), F.col("shuffled").desc(),
-                     F.col("copy").desc()).first())
+    before = over["upto"] - over["words"]
+    # Times may be equal throughout a bin, so it is range-sorted and only the range with the end in
+    # it is numbered row by row.
+    ranged = written(
+        copies.filter(F.col("bin") == over["bin"]).repartitionByRange(
+            1 + over["n"] // RANGE_ROWS, *order).withColumn("part", F.spark_partition_id()),
+        "last-bin")
+    parts = ranged.groupBy("part").agg(F.sum("size").alias("words")).withColumn("upto", F.sum(
+        "words").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) + before)
+    cut = parts.filter(F.col("upto") > budget).orderBy("part").first()
+    in_part = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    backwards = [F.col("time").desc(), F.col("shuffled").desc(), F.col("copy").desc()]
+    last = (ranged.filter(F.col("part") == cut["part"])
+            .withColumn("upto", F.sum("size").over(in_part) + (cut["upto"] - cut["words"]))
+            .filter(F.col("upto") <= budget).orderBy(F.col("upto").desc(), *backwards).first())
+    if last is None:
+        last = ranged.filter(F.col("part") < cut["part"]).orderBy(*backwards).first()
     total = F.lit(0)
     for k in range(max_epochs):
         time = F.element_at("finish", k + 1)
