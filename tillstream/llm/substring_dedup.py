@@ -26,6 +26,7 @@ read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -165,7 +166,12 @@ def _first_places(passages: DataFrame, shards: int, window: int) -> DataFrame:
     def match(shard: pa.Table) -> pa.Table:
         rows = list(zip(*(shard.column(c).to_pylist() for c in ("words", "doc_id", "start")),
                         strict=True))
-        firsts = first_places(rows, window)
+        # The automaton's many small objects hold no cycles; looking for some takes time.
+        gc.disable()
+        try:
+            firsts = first_places(rows, window)
+        finally:
+            gc.enable()
         return pa.table([shard.column("passage"), pa.array(firsts, FIRST_KIND)],
                         names=["passage", "firsts"])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 
 
 class SuffixAutomaton:
@@ -19,12 +19,31 @@ class SuffixAutomaton:
         self.earliest: list[int] = [NOWHERE]
 
     def add(self, words: Iterable[int], place: int) -> None:
-        last = 0
-        for at, word in enumerate(words):
-            last = self._extended(last, word)
-            end = place + at
-            if end < self.earliest[last]:
-                self.earliest[last] = end
+        moves, link, length, earliest = self.moves, self.link, self.length, self.earliest
+        last, end = 0, place
+        for word in words:
+            known = moves[last].get(word)
+            if known is None:
+                state = self._state({}, length[last] + 1, 0)
+                at = last
+                while at >= 0:
+                    own = moves[at]
+                    if word in own:
+                        known = own[word]
+                        link[state] = known if length[known] == length[at] + 1 else self._split(
+                            at, word, known)
+                        break
+                    own[word] = state
+                    at = link[at]
+                last = state
+            elif length[known] == length[last] + 1:
+                # The run is there already, from this or an earlier passage.
+                last = known
+            else:
+                last = self._split(last, word, known)
+            if end < earliest[last]:
+                earliest[last] = end
+            end += 1
 
     def _state(self, moves: dict[int, int], length: int, link: int) -> int:
         self.moves.append(moves)
@@ -33,24 +52,6 @@ class SuffixAutomaton:
         self.earliest.append(NOWHERE)
         return len(self.moves) - 1
 
-    def _extended(self, last: int, word: int) -> int:
-        moves, link, length = self.moves, self.link, self.length
-        known = moves[last].get(word)
-        if known is not None:
-            # The run is there already, from this or an earlier passage.
-            if length[known] == length[last] + 1:
-                return known
-            return self._split(last, word, known)
-        state = self._state({}, length[last] + 1, 0)
-        at = last
-        while at >= 0 and word not in moves[at]:
-            moves[at][word] = state
-            at = link[at]
-        if at >= 0:
-            known = moves[at][word]
-            link[state] = known if length[known] == length[at] + 1 else self._split(at, word, known)
-        return state
-
     def _split(self, at: int, word: int, known: int) -> int:
         """A state of its own for the shorter runs of `known` that end with a move from `at`."""
         copy = self._state(dict(self.moves[known]), self.length[at] + 1, self.link[known])
@@ -68,25 +69,27 @@ class SuffixAutomaton:
             if earliest[state] < earliest[shorter]:
                 earliest[shorter] = earliest[state]
 
-    def matches(self, words: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    def matches(self, words: Sequence[int], most: int) -> list[tuple[int, int]]:
         """Matching statistics, cut at `most`: after each word, the length of the longest run that
         ends there and is known, and the earliest place where that run ends."""
         moves, link, length, earliest = self.moves, self.link, self.length, self.earliest
-        state, matched = 0, 0
+        state, matched, found = 0, 0, []
         for word in words:
-            while state and word not in moves[state]:
+            after = moves[state].get(word)
+            while after is None and state:
                 state = link[state]
                 matched = length[state]
-            after = moves[state].get(word)
+                after = moves[state].get(word)
             if after is None:
-                yield 0, NOWHERE
+                found.append((0, NOWHERE))
                 continue
             state, matched = after, matched + 1
             if matched > most:
                 matched = most
-            while state and length[link[state]] >= matched:
+            while length[link[state]] >= matched:
                 state = link[state]
-            yield matched, earliest[state]
+            found.append((matched, earliest[state]))
+        return found
 
 
 NOWHERE = 1 << 200
