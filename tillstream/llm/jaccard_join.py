@@ -74,8 +74,8 @@ def _bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _signature_bits(n: int) -> int:
-    """Two to four bits per shingle, so that few fall together."""
-    return max(64, 1 << (2 * n - 1).bit_length())
+    """Four to eight bits per shingle, so that few fall together, and no less than a bucket's."""
+    return max(WIDE_WORDS * 64, 1 << (4 * n - 1).bit_length())
 
 
 LISTED = ("doc_id long, n long, digest binary, bitmap binary, listed binary, signature binary")
@@ -279,11 +279,11 @@ def _tree(rows: Rows, own: np.ndarray, _: int) -> tuple[np.ndarray, np.ndarray]:
     """All rows with each other, as far as the signature tree does not rule it out."""
     tree = SignatureTree(rows.maps[own], rows.sizes[own], rows.groups[own], rows.spare[own],
                          rows.repeats[own], rows.percent)
-    found = list(tree.pairs())
+    found = [rows.possible(own[i], own[j]) for i, j in tree.pairs()]
     if not found:
         return own[:0], own[:0]
-    i, j = (own[np.concatenate(side)] for side in zip(*found, strict=True))
-    return rows.possible(i, j)
+    i, j = (np.concatenate(side) for side in zip(*found, strict=True))
+    return i, j
 
 
 def _blocks(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -382,10 +382,11 @@ def _folded(marks: DataFrame) -> DataFrame:
 
 
 def _later_round(blocks: DataFrame, marks: DataFrame, compare: Callable,
-                 percent: int) -> DataFrame:
+                 percent: int) -> DataFrame | None:
     """Pairs (a, b) of large blocks (token, owner) that are not connected yet and may be similar.
 
-    `marks` has doc_id, n, signature and component. Blocks within one component are left out.
+    `marks` has doc_id, n, signature and component. Blocks within one component are left out; None
+    if all are.
     """
     placed = blocks.join(marks.select(F.col("doc_id").alias("owner"), "component"), "owner")
     mixed_blocks = placed.groupBy("token").agg(
@@ -402,7 +403,10 @@ def _later_round(blocks: DataFrame, marks: DataFrame, compare: Callable,
     # Folded first, a row is bounded in bytes, so a bucket bounded in rows is as well.
     rows = written(pieces.join(_folded(marks.select(
         F.col("doc_id").alias("owner"), "n", "signature")), "owner"), "open-blocks")
-    buckets = max(64, rows.count() // BUCKET_ROWS)
+    open_rows = rows.count()
+    if not open_rows:
+        return None
+    buckets = max(64, open_rows // BUCKET_ROWS)
 
     def search(bucket: pa.Table) -> pa.Table:
         columns = {c: bucket.column(c).combine_chunks() for c in bucket.column_names}
@@ -440,7 +444,7 @@ def _later_round(blocks: DataFrame, marks: DataFrame, compare: Callable,
 def _plausible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """The pairs that could still be similar going by signatures as long as their sets.
 
-    These are a twentieth of a whole set, so whole sets travel for next to no pair in vain.
+    These are a tenth of a whole set or 128 bytes, so few whole sets travel in vain.
     """
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -513,17 +517,20 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = written(_first_round(
         _dealt(listed.drop("signature"), parts, buckets), parts, percent), "first-round")
     blocks = first.filter("token is not null").select("token", F.col("a").alias("owner"))
-    pairs, edges, known = first.filter("token is null").select("a", "b"), None, None
+    pairs, known = first.filter("token is null").select("a", "b"), None
     marks = written(listed.select("doc_id", "n", "signature"), "marks")
     for compare in (_strays, _tree, None):
         pairs = written(_plausible(pairs.distinct(), marks, percent), "plausible")
-        new = written(_verified(pairs, docs, percent), "links")
-        edges = new if edges is None else edges.union(new)
-        known = written(components(edges), "components")
+        edges = _verified(pairs, docs, percent)
+        # What was linked before is there as one edge per vertex, not as all its links.
+        known = written(components(edges if known is None else edges.union(known)), "components")
         if compare:
             placed = marks.join(known, marks["doc_id"] == known["vertex"], "left").withColumn(
                 "component", F.coalesce("component", "doc_id")).drop("vertex")
-            pairs = written(_later_round(blocks, placed, compare, percent), "candidates")
+            found = _later_round(blocks, placed, compare, percent)
+            if found is None:
+                break
+            pairs = written(found, "candidates")
 
     named = classes.join(known, classes["id"] == known["vertex"], "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
