@@ -635,15 +635,15 @@ def stream_alerts(spark, sf_dir):
     samples = scratch_folder(spark, "samples")
     fx.metrics(spark, sf_dir).write.parquet(samples)
     samples = spark.read.parquet(samples)
-    first, last = samples.agg(F.min("ts"), F.max("ts")).first()
+    at = F.unix_micros("ts")
+    first, last = samples.agg(F.min(at), F.max(at)).first()
     pieces = 4
-    width = F.lit((last - first) / pieces).cast("interval day to second")
+    width = ((last or 0) - (first or 0)) // pieces + 1
+    # Samples without a time come with the first piece.
+    piece_of = F.coalesce(F.floor((at - (first or 0)) / F.lit(width)), F.lit(0))
     folder = scratch_folder(spark, "sample-stream")
     for piece in range(pieces):
-        begin, end = F.lit(first) + width * piece, F.lit(first) + width * (piece + 1)
-        within = F.col("ts") >= begin if piece == pieces - 1 else F.col("ts").between(
-            begin, end - F.expr("INTERVAL 1 MICROSECOND"))
-        samples.where(within).coalesce(1).write.mode("append").parquet(folder)
+        samples.where(piece_of == piece).coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     rows = live_alerts.lag_alert(stream, threshold=LAG_LIMIT, max_gap_seconds=3600,
                                  hold_seconds=LAG_HOURS * 3600)

@@ -7,9 +7,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from suite.compare import connect, differences
+from suite.oracles import ORACLES
+from suite.queries import QUERIES
 from tillstream.operators import alerts
 from tillstream.streaming import alerts as live
 
+SF_DIR = "/root/testdata/sf0.001"
+
 SCHEMA = "metric string, labels map<string,string>, ts timestamp, value double"
 
 
@@ -67,3 +72,33 @@ def test_late_samples_are_left_out_and_nulls_do_not_breach(spark, tmp_path):
     found = stream(spark, tmp_path, parts, hold_seconds=30).orderBy("ts").collect()
     assert [(r.ts.second, r.state) for r in found] == [(40, "pending"), (10, "firing")]
     assert found[1].active_since == found[0].ts and "above 1000" in found[1].description
+
+
+@pytest.fixture
+def plain(spark):
+    """A session with the state store that Spark takes when nothing is set."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass",
+                     "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    return session
+
+
+def test_any_state_store_will_do(plain, tmp_path):
+    rows = some_rows(2)
+    options = {"threshold": 1000, "hold_seconds": 60}
+    expected = alerts.lag_alert(samples(plain, rows), **options)
+    assert as_set(stream(plain, tmp_path, [rows[:130], rows[130:]], **options)) == as_set(expected)
+
+
+def test_the_query_needs_no_setting(plain):
+    assert differences(QUERIES["stream_alerts"](plain, SF_DIR),
+                       connect(SF_DIR).execute(ORACLES["stream_alerts"])) == []
+
+
+def test_samples_without_a_time_stand_alone(plain, tmp_path):
+    group = "ingestion-service"
+    parts = [[(group, 100, 2000), (group, None, 2000)], [(group, None, 500), (group, 130, 2000)]]
+    options = {"hold_seconds": 30}
+    expected = alerts.lag_alert(samples(plain, sum(parts, [])), **options)
+    assert as_set(stream(plain, tmp_path, parts, **options)) == as_set(expected)
+    assert expected.where("ts IS NULL AND active_since IS NULL AND state = 'pending'").count() == 1

@@ -2,18 +2,19 @@
 
 Per series the state is one row: the last sample's time and, if that sample breached, since when the
 run lasts. It is never given up, so the state grows with the number of series and not with time; no
-timer is needed, as a pause is seen at the sample that ends it. Samples of a series arrive in the order of their times over micro-batches; inside
-one they are sorted. A sample that is not newer than the last one of an earlier batch is left out.
+timer is needed, as a pause is seen at the sample that ends it. Any state store will do, also the
+default one. Samples of a series arrive in the order of their times over micro-batches; inside one
+they are sorted. A sample that is not newer than the last one of an earlier batch is left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tillstream.operators import alerts, series
 from tillstream.session import ship
@@ -22,38 +23,40 @@ RUN = "last long, since long"
 OUT = "labels_json string, ts_micros long, value double, since long"
 
 
-class Runs(StatefulProcessor):
-    """Breaching samples with the start of their run, in microseconds."""
+def _runs(max_gap_seconds: int) -> Callable[..., Iterator[pd.DataFrame]]:
+    """Breaching samples of a series with the start of their run, in microseconds."""
+    gap = max_gap_seconds * 1_000_000
 
-    def __init__(self, max_gap_seconds: int):
-        self.gap = max_gap_seconds * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", RUN)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def follow(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState
+               ) -> Iterator[pd.DataFrame]:
         samples = pd.concat(list(rows)).sort_values("ts_micros", kind="stable")
-        last, since = self.run.get() if self.run.exists() else (None, None)
+        last, since = state.get if state.exists else (None, None)
         oldest, found = last, []
         for labels, ts, value, breach in zip(
                 samples["labels_json"], samples["ts_micros"], samples["value"], samples["breach"],
                 strict=True):
+            if pd.isna(ts):
+                # As in the batch form, a sample without a time belongs to no run.
+                if breach:
+                    found.append((labels, None, value, None))
+                continue
+            ts = int(ts)
             if oldest is not None and ts <= oldest:
                 continue
             if not breach:
                 since = None
             else:
-                if since is None or ts - last > self.gap:
+                if since is None or ts - last > gap:
                     since = ts
                 found.append((labels, ts, value, since))
             last = ts
         if last is not None:
-            self.run.update((int(last), None if since is None else int(since)))
+            state.update((last, since))
         if found:
-            yield pd.DataFrame(found, columns=["labels_json", "ts_micros", "value", "since"])
+            yield pd.DataFrame(found, columns=["labels_json", "ts_micros", "value", "since"]).astype(
+                {"ts_micros": "Int64", "since": "Int64"})
 
-    def close(self) -> None:
-        pass
+    return follow
 
 
 def evaluate(samples: DataFrame, rule: alerts.Rule, breach: Column, max_gap_seconds: int = 300,
@@ -66,8 +69,8 @@ def evaluate(samples: DataFrame, rule: alerts.Rule, breach: Column, max_gap_seco
         F.to_json("labels").alias("labels_json"), F.unix_micros("ts").alias("ts_micros"),
         F.col("value").cast("double").alias("value"),
         F.coalesce(breach, F.lit(False)).alias("breach"))
-    runs = keyed.groupBy("series").transformWithStateInPandas(
-        Runs(max_gap_seconds), OUT, outputMode="append", timeMode="None")
+    runs = keyed.groupBy("series").applyInPandasWithState(
+        _runs(max_gap_seconds), OUT, RUN, "append", GroupStateTimeout.NoTimeout)
     hold = rule.hold_seconds if hold_seconds is None else hold_seconds
     held = F.col("ts_micros") - F.col("since") >= hold * 1_000_000
     rows = runs.select(
