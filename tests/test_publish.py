@@ -96,6 +96,24 @@ def test_sales_stream_keeps_the_table_that_passed(spark, tmp_path, messages, eve
     assert [(r.orders, float(r.revenue)) for r in rows] == [(1, 39.98)]
 
 
+def test_sales_state_is_not_put_into_one_task(spark, tmp_path, messages, event):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "7")
+    rows = valid_events(classify(messages([
+        event(event_id=f"e{hour}", timestamp=f"2024-01-15T{hour:02}:00:00Z") for hour in range(24)])))
+    rows.write.parquet(str(tmp_path / "ev"))
+    stream = session.readStream.schema(rows.schema).parquet(str(tmp_path / "ev"))
+    query = sales_stream.start(stream, str(tmp_path / "sales"), str(tmp_path / "o"),
+                               until_drained=True)
+    query.awaitTermination()
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(str(query.runId))]
+    tasks = [tracker.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+    # The state's stage has a task per partition; before, one task held all their hash maps.
+    assert 7 in tasks
+    assert sales_stream.current(session, str(tmp_path / "sales")).count() == 24
+
+
 def test_failing_build_leaves_the_sales_table(spark, tmp_path, messages, event):
     rows = valid_events(classify(messages([event(event_id="a")])))
     folder = str(tmp_path / "events")
